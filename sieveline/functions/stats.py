@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 Z95 = 1.96  # fixed value
 
@@ -86,7 +87,7 @@ def _t_two_sided(t: float, df: float) -> float:
     return float(min(1.0, 2.0 * area))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def p_value(statistic: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p: normal where ``df`` is NULL, else Student's t; NaN gives 1.
 

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed value: the characters Python's str.split() treats as whitespace. Java's
 # \s is ASCII only, so the class is spelled out.
@@ -40,7 +41,7 @@ def full_text(title: Column | str = "title", text: Column | str = "text") -> Col
     return F.concat_ws(" ", F.when(title != "", title), _c(text))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,10 +15,20 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def norm(a: Column) -> Column:
-    return F.sqrt(dot(a, a))
+    squares = F.aggregate(
+        a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")
+    )
+    return F.sqrt(squares)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def l2_normalize(a: Column) -> Column:
     """Unit vector; a zero vector stays zero."""
-    n = norm(a)
-    return F.transform(a, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)))
+    def divide(v: Column, n: Column) -> Column:
+        return F.transform(v, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)))
+
+    return let(a, lambda v: let(norm(v), lambda n: divide(v, n)))

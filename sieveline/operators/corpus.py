@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.config import MAX_TOKENS, STRIDE
 from sieveline.functions.text import full_text, strip, strip_or_empty, words
+from sieveline.functions.vectors import norm
 from sieveline.operators.ranking import bucketed_rank, sequence_bucket
 
 
@@ -37,10 +38,11 @@ def chunk_documents(
     max_tokens: int = MAX_TOKENS,
     stride: int = STRIDE,
     tokenize: Callable[[Column], Column] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Overlapping token windows; ``tokenize`` maps a text column to a token array.
 
-    A text of at most ``max_tokens`` tokens is one chunk with its original text.
+    ``carry`` names further document columns to keep. A text of at most ``max_tokens`` tokens is one chunk with its original text.
     The windows of a document are built inside its own row, so there is no
     shuffle and the token array is never copied per chunk.
     """
@@ -53,6 +55,7 @@ def chunk_documents(
         *(["orig_id"] if "orig_id" in docs.columns else []),
         "domain",
         *(["title"] if "title" in docs.columns else []),
+        *carry,
         strip(full_text("title" if "title" in docs.columns else F.lit(""), "text")).alias("_full"),
     ).withColumn("_tokens", token_array)
     n = F.size("_tokens")
@@ -123,16 +126,14 @@ def docstore_lookup(hits: DataFrame, chunks: DataFrame) -> DataFrame:
 
 def index_metadata(vectors: DataFrame, model: str, kind: str = "exact") -> DataFrame:
     """What an index holds, computed from its vectors rather than declared."""
-    norm = F.sqrt(
-        F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    )
+    length = norm(F.col("embedding"))
     return vectors.groupBy("domain").agg(
         F.lit(model).alias("encoder_model"),
         F.max(F.size("embedding")).alias("dimension"),
         (F.min(F.size("embedding")) == F.max(F.size("embedding"))).alias("uniform_dimension"),
         F.count(F.lit(1)).alias("num_vectors"),
         F.lit(kind).alias("index_type"),
-        (F.max(F.abs(norm - 1.0)) < 1e-3).alias("normalized"),
+        (F.max(F.abs(length - 1.0)) < 1e-3).alias("normalized"),
     )
 
 
