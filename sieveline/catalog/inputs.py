@@ -17,8 +17,9 @@ from sieveline.functions.vectors import l2_normalize
 from sieveline.operators.answers import with_response_type
 from sieveline.operators.classify import classify_queries
 from sieveline.operators.corpus import chunk_documents, clean_docs, dedup_docs
-from sieveline.operators.lexical import Bm25Index, bm25_index
+from sieveline.operators.lexical import Bm25Index, save_index
 from sieveline.operators.ranking import top_k
+from sieveline.sources.writers import scratch_path
 
 DOMAINS = ("en", "de", "es", "fr")
 GENERAL = "en"
@@ -98,7 +99,11 @@ class Inputs:
 
     @cached_property
     def index(self) -> Bm25Index:
-        return bm25_index(self.chunks)
+        """Stored index: tokenised once, read by the statistics and by the search."""
+        path = scratch_path(self.spark, "bm25")
+        name = "sieveline_" + path.rsplit("-", 1)[1]
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return save_index(self.chunks, name, path, buckets)
 
     @cached_property
     def page_titles(self) -> DataFrame:

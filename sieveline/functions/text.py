@@ -9,8 +9,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Fixed value: the characters Python's str.split() treats as whitespace. Java's
-# \s is ASCII only, so the class is spelled out.
+# Fixed value: every character that counts as whitespace. Java's \s is ASCII only.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 WS = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 # Fixed value: control characters replaced by a space when queries are normalised.
@@ -23,7 +26,7 @@ def _c(col: Column | str) -> Column:
 
 def strip(col: Column | str) -> Column:
     """Remove leading and trailing whitespace of every kind."""
-    return F.regexp_replace(_c(col), rf"\A{WS}+|{WS}+\z", "")
+    return F.trim(_c(col), F.lit(SPACES))
 
 
 def strip_or_empty(col: Column | str) -> Column:
@@ -31,8 +34,13 @@ def strip_or_empty(col: Column | str) -> Column:
 
 
 def words(col: Column | str) -> Column:
-    """Whitespace tokens; an empty text has none."""
-    return F.array_remove(F.split(_c(col), f"{WS}+"), "")
+    """Whitespace tokens; an empty text has none.
+
+    A one-character separator splits without a regular expression, which is
+    several times faster than a class of all whitespace characters.
+    """
+    spaced = F.translate(_c(col), SPACES, " " * len(SPACES))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def full_text(title: Column | str = "title", text: Column | str = "text") -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sieveline.config import BASE_SEED, MAX_BROADCAST_VECTOR_CELLS, TOPK_DENSE
 from sieveline.functions.vectors import dot, l2_normalize
+from sieveline.operators.blocks import RunningTopK, block_rows
 from sieveline.operators.broadcasting import total_size
 from sieveline.operators.ranking import top_k
 
@@ -39,20 +40,12 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype("float64")
 
 
-def _block_topk(
-    query_ids: np.ndarray, queries: np.ndarray, part: pd.DataFrame, k: int
+def _block_hits(
+    query_ids: np.ndarray, queries: np.ndarray, part: pd.DataFrame, running: RunningTopK
 ) -> pd.DataFrame:
-    """Hits of one block of queries in one block of vectors, cut to the best k.
-
-    Everything that ties with the k-th score stays; the final rank settles ties.
-    """
+    """Hits of one block of queries in one block of vectors that may be in the top-k."""
     scores = np.round(queries @ _matrix(part["embedding"]).T, 6)
-    n = scores.shape[1]
-    if n > k:
-        kth = np.partition(scores, n - k, axis=1)[:, n - k]
-        rows, cols = np.nonzero(scores >= kth[:, None])
-    else:
-        rows, cols = np.divmod(np.arange(scores.size), n)
+    rows, cols = running.select(scores)
     return pd.DataFrame(
         {
             "query_id": query_ids[rows],
@@ -97,11 +90,16 @@ def _against_broadcast(q: DataFrame, v: DataFrame, cell: list[str], k: int) -> D
     shared = q.sparkSession.sparkContext.broadcast(blocks)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[tuple, RunningTopK] = {}
         for batch in batches:
             for key, part in batch.groupby(cell):
-                if key in shared.value:
-                    ids, matrix = shared.value[key]
-                    yield _block_topk(ids, matrix, part, k)
+                if key not in shared.value:
+                    continue
+                ids, matrix = shared.value[key]
+                running = seen.setdefault(key, RunningTopK(len(ids), k))
+                step = block_rows(len(ids))
+                for at in range(0, len(part), step):
+                    yield _block_hits(ids, matrix, part.iloc[at : at + step], running)
 
     return v.mapInPandas(score, _HIT_SCHEMA)
 
@@ -120,9 +118,8 @@ def _block_by_block(
     def score(queries: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or part.empty:
             return pd.DataFrame(columns=["query_id", "domain", "doc_id", "chunk_id", "score"])
-        return _block_topk(
-            queries["query_id"].to_numpy(), _matrix(queries["embedding"]), part, k
-        )
+        ids = queries["query_id"].to_numpy()
+        return _block_hits(ids, _matrix(queries["embedding"]), part, RunningTopK(len(ids), k))
 
     keys = [*cell, "qb", "vb"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, _HIT_SCHEMA)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.config import (
@@ -15,6 +19,7 @@ from sieveline.config import (
     TOPK_BM25,
 )
 from sieveline.functions.text import full_text, words
+from sieveline.operators.blocks import RunningTopK, block_rows
 from sieveline.operators.broadcasting import salted_join, total_size
 from sieveline.operators.ranking import top_k
 
@@ -27,47 +32,26 @@ class Bm25Index:
     terms: DataFrame  # domain, term, df, idf
     corpus: DataFrame  # domain, n_chunks, avgdl, avg_idf
 
-    def save(self, name: str, path: str, buckets: int) -> None:
-        """Write the three tables under ``path``.
-
-        Postings are bucketed by document, so that the per-chunk sums of a later
-        search run without a shuffle.
-        """
-        (
-            self.postings.write.mode("overwrite")
-            .option("path", f"{path}/postings")
-            .bucketBy(buckets, "doc_id")
-            .sortBy("doc_id")
-            .saveAsTable(f"{name}_postings")
-        )
-        for part in ("terms", "corpus"):
-            (
-                getattr(self, part).write.mode("overwrite")
-                .option("path", f"{path}/{part}")
-                .saveAsTable(f"{name}_{part}")
-            )
-
-    @staticmethod
-    def load(spark: SparkSession, name: str) -> Bm25Index:
-        return Bm25Index(*(spark.table(f"{name}_{p}") for p in ("postings", "terms", "corpus")))
 
+def count_postings(chunks: DataFrame) -> DataFrame:
+    """Term counts per chunk.
 
-def bm25_index(chunks: DataFrame, epsilon: float = BM25_EPSILON) -> Bm25Index:
-    """Index of a chunk table; statistics are kept per domain.
-
-    Postings are counted per (document, chunk, term). Chunks that come out of
-    ``dedup_docs`` are still partitioned by ``doc_id``, so this adds no shuffle.
+    Chunks that come out of ``dedup_docs`` are still partitioned by ``doc_id``,
+    so counting adds no shuffle.
     """
-    tokens = chunks.select(
-        "domain", "doc_id", "chunk_id", words(F.lower(full_text())).alias("_tokens")
-    )
-    sized = tokens.select("*", F.size("_tokens").cast("long").alias("dl"))
-    postings = (
-        sized.select("domain", "doc_id", "chunk_id", "dl", F.explode("_tokens").alias("term"))
+    tokens = chunks.select("domain", "doc_id", "chunk_id", words(F.lower(full_text())).alias("_t"))
+    sized = tokens.withColumn("dl", F.size("_t").cast("long"))
+    return (
+        sized.select("domain", "doc_id", "chunk_id", "dl", F.explode("_t").alias("term"))
         .groupBy("domain", "doc_id", "chunk_id", "dl", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    lengths = sized.groupBy("domain").agg(
+
+
+def index_of(postings: DataFrame, epsilon: float = BM25_EPSILON) -> Bm25Index:
+    """Statistics per domain; a negative idf becomes a share of the mean idf."""
+    per_chunk = postings.groupBy("domain", "doc_id", "chunk_id").agg(F.max("dl").alias("dl"))
+    lengths = per_chunk.groupBy("domain").agg(
         F.count(F.lit(1)).alias("n_chunks"), F.avg("dl").alias("avgdl")
     )
     df = postings.groupBy("domain", "term").agg(F.count(F.lit(1)).alias("df"))
@@ -86,13 +70,57 @@ def bm25_index(chunks: DataFrame, epsilon: float = BM25_EPSILON) -> Bm25Index:
     return Bm25Index(postings, terms, lengths.join(mean_idf, "domain"))
 
 
-def query_terms(queries: DataFrame) -> DataFrame:
-    """``(query_id, domain, term, qtf)`` of a table of normalised queries."""
-    return (
+def bm25_index(chunks: DataFrame, epsilon: float = BM25_EPSILON) -> Bm25Index:
+    """Index of a chunk table as lazy frames."""
+    return index_of(count_postings(chunks), epsilon)
+
+
+def save_index(
+    chunks: DataFrame, name: str, path: str, buckets: int, epsilon: float = BM25_EPSILON
+) -> Bm25Index:
+    """Write an index under ``path`` as tables ``name_*`` and return the stored form.
+
+    Postings are tokenised once and bucketed by document: the document-wise sums
+    of the statistics and of every later search then run without a shuffle.
+    """
+    spark = chunks.sparkSession
+    (
+        count_postings(chunks)
+        .repartition(buckets, "doc_id")
+        .write.mode("overwrite")
+        .option("path", f"{path}/postings")
+        .bucketBy(buckets, "doc_id")
+        .saveAsTable(f"{name}_postings")
+    )
+    lazy = index_of(spark.table(f"{name}_postings"), epsilon)
+    for part in ("terms", "corpus"):
+        (
+            getattr(lazy, part).write.mode("overwrite")
+            .option("path", f"{path}/{part}")
+            .saveAsTable(f"{name}_{part}")
+        )
+    return load_index(spark, name)
+
+
+def load_index(spark: SparkSession, name: str) -> Bm25Index:
+    return Bm25Index(*(spark.table(f"{name}_{part}") for part in ("postings", "terms", "corpus")))
+
+
+def query_weights(queries: DataFrame, index: Bm25Index) -> DataFrame:
+    """``(query_id, domain, term, w)``; a repeated query term counts repeatedly."""
+    counted = (
         queries.select("query_id", "domain", F.explode(words("text")).alias("term"))
         .groupBy("query_id", "domain", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )
+    return counted.join(index.terms, ["domain", "term"]).select(
+        "query_id", "domain", "term", (F.col("qtf") * F.col("idf")).alias("w")
+    )
+
+
+def _impact(k1: float, b: float) -> Column:
+    tf, dl = F.col("tf"), F.col("dl")
+    return tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / F.col("avgdl")))
 
 
 def bm25_topk(
@@ -107,25 +135,135 @@ def bm25_topk(
     """Top-k chunks per (query, domain) with positive score.
 
     ``queries`` has one row per (query_id, domain to search, normalised text).
-    Within the bound, the weighted query terms are broadcast and the postings
-    stream past them without a shuffle; beyond it, the join is salted by chunk,
-    since one frequent term may own a large share of all postings.
+    Within the bound, the query terms go to every task and whole blocks of
+    chunks are scored there, so that only top-k rows are shuffled and a term
+    that occurs everywhere costs no more than its postings. Beyond the bound,
+    postings and query terms are joined with a salt per chunk.
     """
-    weights = (
-        query_terms(queries)
-        .join(index.terms, ["domain", "term"])
-        .join(index.corpus.select("domain", "avgdl"), "domain")
-        .select("query_id", "domain", "term", "avgdl", (F.col("qtf") * F.col("idf")).alias("w"))
-    )
+    weights = query_weights(queries, index)
     if total_size(queries, F.size(words("text"))) <= broadcast_bound:
-        pairs = index.postings.join(F.broadcast(weights), ["domain", "term"])
+        hits = _score_blocks(weights, index, k, k1, b)
     else:
-        pairs = salted_join(index.postings, weights, ["domain", "term"], "chunk_id", salts)
-    tf, dl = F.col("tf"), F.col("dl")
-    gain = F.col("w") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / F.col("avgdl")))
-    scored = (
+        hits = _score_pairs(weights, index, k1, b, salts)
+    return top_k(hits, ["query_id", "domain"], [F.col("bm25_score").desc(), F.col("chunk_id")], k)
+
+
+def _score_pairs(
+    weights: DataFrame, index: Bm25Index, k1: float, b: float, salts: int
+) -> DataFrame:
+    """Scores of all (query, chunk) pairs that share a term, by joins alone."""
+    weighted = weights.join(index.corpus.select("domain", "avgdl"), "domain")
+    pairs = salted_join(index.postings, weighted, ["domain", "term"], "chunk_id", salts)
+    return (
         pairs.groupBy("query_id", "domain", "doc_id", "chunk_id")
-        .agg(F.round(F.sum(gain), 6).alias("bm25_score"))
+        .agg(F.round(F.sum(F.col("w") * _impact(k1, b)), 6).alias("bm25_score"))
         .filter("bm25_score > 0")
     )
-    return top_k(scored, ["query_id", "domain"], [F.col("bm25_score").desc(), F.col("chunk_id")], k)
+
+
+_HITS = pa.schema(
+    [
+        ("query_id", pa.string()),
+        ("domain", pa.string()),
+        ("doc_id", pa.string()),
+        ("chunk_id", pa.string()),
+        ("bm25_score", pa.float64()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class _QueryTerms:
+    """Query weights of one domain, grouped by term number."""
+
+    query_ids: np.ndarray
+    starts: np.ndarray
+    queries: np.ndarray
+    weights: np.ndarray
+
+
+def _by_domain(pdf: pd.DataFrame) -> tuple[dict[str, _QueryTerms], pd.DataFrame]:
+    """Per-domain weights, and the vocabulary that numbers their terms."""
+    blocks, vocabulary = {}, []
+    for domain, part in pdf.groupby("domain"):
+        term_no, terms = pd.factorize(part["term"])
+        query_no, query_ids = pd.factorize(part["query_id"])
+        order = np.argsort(term_no, kind="stable")
+        starts = np.searchsorted(term_no[order], np.arange(len(terms) + 1))
+        blocks[domain] = _QueryTerms(
+            np.asarray(query_ids), starts, query_no[order], part["w"].to_numpy()[order]
+        )
+        vocabulary.append(
+            pd.DataFrame({"domain": domain, "term": terms, "term_no": np.arange(len(terms))})
+        )
+    return blocks, pd.concat(vocabulary) if vocabulary else pd.DataFrame()
+
+
+def _score_blocks(
+    weights: DataFrame, index: Bm25Index, k: int, k1: float, b: float
+) -> DataFrame:
+    spark = weights.sparkSession
+    blocks, vocabulary = _by_domain(weights.toPandas())  # its size was checked by the caller
+    if not blocks:
+        return spark.createDataFrame([], "query_id string, domain string, doc_id string, "
+                                         "chunk_id string, bm25_score double")
+    shared = spark.sparkContext.broadcast(blocks)
+    numbered = spark.createDataFrame(vocabulary, "domain string, term string, term_no int")
+    local_terms = numbered.join(index.corpus.select("domain", "avgdl"), "domain")
+    chunk = ["domain", "doc_id", "chunk_id"]
+    rows = (
+        index.postings.join(F.broadcast(local_terms), ["domain", "term"])
+        .groupBy(*chunk)
+        .agg(F.collect_list(F.struct("term_no", _impact(k1, b).alias("impact"))).alias("terms"))
+    )
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, RunningTopK] = {}
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            domains = table.column("domain").to_numpy()
+            for domain in np.unique(domains):
+                terms = shared.value[domain]
+                n = len(terms.query_ids)
+                running = seen.setdefault(domain, RunningTopK(n, k))
+                mine = np.flatnonzero(domains == domain)
+                for at in range(0, len(mine), block_rows(n)):
+                    part = table.take(pa.array(mine[at : at + block_rows(n)]))
+                    yield _block_hits(part, terms, running, domain)
+
+    return rows.mapInArrow(score, "query_id string, domain string, doc_id string, "
+                                  "chunk_id string, bm25_score double")
+
+
+def _block_hits(
+    part: pa.Table, terms: _QueryTerms, running: RunningTopK, domain: str
+) -> pa.RecordBatch:
+    """Scores of one block of chunks: an outer product per shared term."""
+    lists = part.column("terms").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    flat = lists.flatten()
+    chunk_no = np.repeat(np.arange(len(sizes)), sizes)
+    term_no = flat.field("term_no").to_numpy()
+    impact = flat.field("impact").to_numpy()
+    order = np.argsort(term_no, kind="stable")
+    chunk_no, term_no, impact = chunk_no[order], term_no[order], impact[order]
+    cuts = np.flatnonzero(np.diff(term_no, prepend=-1))
+    scores = np.zeros((len(terms.query_ids), len(sizes)))
+    for lo, hi in zip(cuts, np.append(cuts[1:], len(term_no))):
+        t = term_no[lo]
+        q = slice(terms.starts[t], terms.starts[t + 1])
+        scores[np.ix_(terms.queries[q], chunk_no[lo:hi])] += np.outer(
+            terms.weights[q], impact[lo:hi]
+        )
+    scores = np.round(scores, 6)
+    rows, cols = running.select(np.where(scores > 0, scores, -np.inf))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(terms.query_ids[rows], pa.string()),
+            pa.array([domain] * len(rows), pa.string()),
+            part.column("doc_id").combine_chunks().take(pa.array(cols)),
+            part.column("chunk_id").combine_chunks().take(pa.array(cols)),
+            pa.array(scores[rows, cols]),
+        ],
+        schema=_HITS,
+    )
