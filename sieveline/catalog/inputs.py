@@ -6,18 +6,18 @@ view of the same name, prefixed ``f_``, in ``catalog.oracle``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sieveline.config import CONDITIONS, TOPK_PASSAGES
 from sieveline.functions.text import hex_int, md5_of, normalize_query
-from sieveline.functions.vectors import l2_normalize
+from sieveline.functions.vectors import l2_normalize, let
 from sieveline.operators.answers import with_response_type
 from sieveline.operators.classify import classify_queries
 from sieveline.operators.corpus import chunk_documents, clean_docs, dedup_docs
-from sieveline.operators.lexical import Bm25Index, save_index
+from sieveline.operators.lexical import Bm25Index, load_index, save_index
 from sieveline.operators.ranking import top_k
 from sieveline.sources.writers import scratch_path
 
@@ -35,6 +35,9 @@ SEED_TEXTS = {
     "fr": ["quel est le la les des", "comment et dans une", "pour que qui est sur"],
 }
 
+# Names of the stored indexes by session, data directory and state of its files.
+_STORED_INDEXES: dict[tuple, str] = {}
+
 
 def encode(text: Column) -> Column:
     """Stand-in encoder: unit vector of letter counts of the whole text."""
@@ -99,11 +102,20 @@ class Inputs:
 
     @cached_property
     def index(self) -> Bm25Index:
-        """Stored index: tokenised once, read by the statistics and by the search."""
-        path = scratch_path(self.spark, "bm25")
-        name = "sieveline_" + path.rsplit("-", 1)[1]
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return save_index(self.chunks, name, path, buckets)
+        """Stored index of the corpus, built once per session and state of its files."""
+        state = self.table("documents").agg(
+            F.max("_metadata.file_modification_time").alias("modified"),
+            F.count_distinct("_metadata.file_path").alias("files"),
+        ).first()
+        key = (self.spark.sparkContext.applicationId, self.path, state["modified"], state["files"])
+        if key not in _STORED_INDEXES:
+            path = scratch_path(self.spark, "bm25")
+            name = "sieveline_" + path.rsplit("-", 1)[1]
+            cores = self.spark.sparkContext.defaultParallelism
+            buckets = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores)
+            save_index(self.chunks, name, path, buckets)
+            _STORED_INDEXES[key] = name
+        return load_index(self.spark, _STORED_INDEXES[key])
 
     @cached_property
     def page_titles(self) -> DataFrame:
@@ -164,21 +176,19 @@ class Inputs:
         weights = F.array(*[
             F.struct(F.lit(d).alias("domain"), weight(F.lit(d)).alias("p")) for d in DOMAINS
         ])
-        total = F.aggregate(F.col("w"), F.lit(0.0), lambda a, s: a + s["p"])
-        return (
-            self.raw_queries.select("query_id", "domain", weights.alias("w"))
-            .withColumn("total", total)
-            .select(
-                "query_id",
-                "domain",
-                F.transform(
-                    "w",
+        def shares(w: Column) -> Column:
+            total = F.aggregate(w, F.lit(0.0), lambda a, s: a + s["p"])
+            return let(
+                total,
+                lambda t: F.transform(
+                    w,
                     lambda s: F.struct(
-                        s["domain"].alias("domain"), F.round(s["p"] / F.col("total"), 6).alias("p")
+                        s["domain"].alias("domain"), F.round(s["p"] / t, 6).alias("p")
                     ),
-                ).alias("probs"),
+                ),
             )
-        )
+
+        return self.raw_queries.select("query_id", "domain", let(weights, shares).alias("probs"))
 
     @cached_property
     def classified(self) -> DataFrame:
@@ -245,13 +255,14 @@ class Inputs:
 
     @cached_property
     def answers(self) -> DataFrame:
-        """Every assistant turn as an answer; the other turns are its passages.
+        """Every assistant turn as an answer; the first five other turns are its passages.
 
         The n-th exchange of a conversation stands for the n-th condition.
         """
         conv = self.table("conversations")
+        others = conv.filter(F.col("role") != "assistant")
         passages = (
-            conv.filter(F.col("role") != "assistant")
+            top_k(others, ["conv_id"], [F.col("turn"), F.col("text")], TOPK_PASSAGES)
             .groupBy("conv_id")
             .agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("_p"))
         )
@@ -270,10 +281,7 @@ class Inputs:
         )
         body = F.when(bucket == 15, F.lit("I don't know.")).otherwise(F.concat(head, F.col("text"), mark))
         nth = F.floor((F.col("turn") - 1) / F.lit(2)).cast("int")
-        names = F.array(*[F.lit(c) for c in (
-            "normal", "no_retrieval", "swapped_context", "random_in_domain",
-            "shuffled_order", "corrupted_context",
-        )])
+        names = F.array(*[F.lit(c) for c in CONDITIONS])
         items = F.transform(
             "_p",
             lambda p: F.struct(
@@ -362,6 +370,3 @@ class Inputs:
             )
 
         return entry(1).unionByName(entry(2)).filter("h < 36000").drop("h")
-
-
-Query = Callable[[SparkSession, str], DataFrame]

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from sieveline.catalog.inputs import DOMAINS, LETTERS, SEED_TEXTS, SEEDS
+from sieveline.config import CONDITIONS
 from sieveline.operators.answers import ABSTENTION_PHRASES, INSTRUCTIONS, NO_PASSAGES
 from sieveline.operators.abtest import PROPORTIONS, TESTS
 from sieveline.plans.evaluation import CONDITIONS as ABLATION
@@ -185,8 +186,6 @@ ROUTES = {
     ),
 }
 
-COND_NAMES = ("normal", "no_retrieval", "swapped_context", "random_in_domain", "shuffled_order", "corrupted_context")
-
 VIEWS: dict[str, str] = {
     "f_docs": """
     select lang || ':' || doc_id as doc_id, doc_id::varchar as orig_id, lang as domain,
@@ -319,7 +318,7 @@ VIEWS: dict[str, str] = {
     "f_answers": f"""
     select query_id, condition, seed, answer, latency_ms,
            case when condition = 'no_retrieval' then [] else coalesce(passages, []) end as passages
-    from (select 'c' || a.conv_id as query_id, {listed(COND_NAMES)}[nth % 6 + 1] as condition, 42 + nth // 6 as seed,
+    from (select 'c' || a.conv_id as query_id, {listed(CONDITIONS)}[nth % 6 + 1] as condition, 42 + nth // 6 as seed,
                  case when h = 15 then 'I don''t know.' else
                    (case h when 0 then 'SUPPORTED. ' when 1 then 'Refuted: ' when 2 then 'Not enough info. '
                            when 3 then 'UNSUPPORTED ' else '' end) || a.text ||
@@ -330,7 +329,8 @@ VIEWS: dict[str, str] = {
             (select conv_id, list({{'doc_id': 'c' || conv_id || ':' || turn,
                                     'title': case when turn = 0 then 'opening' else '' end,
                                     'text': text}} order by turn, text) as passages
-             from conversations where role <> 'assistant' group by conv_id) p on p.conv_id = a.conv_id)
+             from (select *, row_number() over (partition by conv_id order by turn, text) as r
+                   from conversations where role <> 'assistant') where r <= 5 group by conv_id) p on p.conv_id = a.conv_id)
     where r = 1""",
     "f_marked": f"""
     select *, regexp_matches(lower(answer), {lit('|'.join(ABSTENTION_PHRASES))}) as abstained,

@@ -81,19 +81,21 @@ def lists(i: Inputs, pairs: DataFrame, cfg: SearchConfig = CONFIG) -> DataFrame:
 
 
 def final_hits(i: Inputs) -> DataFrame:
-    """Hybrid search of all queries; the scores stand for an external reranker."""
+    """Hybrid search of all queries; the scores stand for an external reranker.
+
+    Candidates are stored, as they would be for a model that scores them.
+    """
     fused = hybrid_search(
         i.raw_queries, i.classified.drop("domain"), i.index, i.doc_vectors, i.page_vectors,
         CONFIG.with_(rerank=False),
     ).drop("rerank_score")
+    fused = writers.stage(fused, "candidates")
     return fusion.rerank_merge(fused, i.external_scores(fused), RERANK_CAP)
 
 
-def judged_hits(i: Inputs) -> DataFrame:
+def judged(hits: DataFrame) -> DataFrame:
     judge = (hex_int(md5_of("query_id", "doc_id"), 1, 2) % 3).cast("double")
-    return final_hits(i).filter("rank <= 10").select(
-        "query_id", "doc_id", "rank", judge.alias("judged")
-    )
+    return hits.filter("rank <= 10").select("query_id", "doc_id", "rank", judge.alias("judged"))
 
 
 def own_metrics(i: Inputs) -> DataFrame:
@@ -438,7 +440,7 @@ QUERIES["hybrid_search"] = QUERIES.pop("hybrid_retrieval")
 
 @query
 def rerank_merge(i: Inputs) -> DataFrame:
-    fused = fusion.rrf_fuse(lists(i, routed(i)))
+    fused = writers.stage(fusion.rrf_fuse(lists(i, routed(i))), "candidates")
     return fusion.rerank_merge(fused, i.external_scores(fused), 20).select(
         "query_id", "rank", "doc_id", "rerank_score"
     )
@@ -472,7 +474,7 @@ QUERIES["depth_sweep"] = QUERIES.pop("depth_sweep_query")
 
 @query
 def ablation(i: Inputs) -> DataFrame:
-    candidates = lists(i, everywhere(i))
+    candidates = writers.stage(lists(i, everywhere(i)), "candidates")
     return ablation_table(
         candidates, i.classified, i.queries, i.qrels, i.external_scores(candidates), DOMAINS, GENERAL
     )
@@ -513,7 +515,7 @@ def latency_stats(i: Inputs) -> DataFrame:
 def cross_domain_metrics(i: Inputs) -> DataFrame:
     hits = final_hits(i)
     return metrics.cross_domain_metrics(
-        hits, i.cross_queries.select("query_id", "expected_domains"), judged_hits(i)
+        hits, i.cross_queries.select("query_id", "expected_domains"), judged(hits)
     )
 
 
@@ -526,13 +528,13 @@ def topn_domains(i: Inputs) -> DataFrame:
 
 @query
 def minmax_judge(i: Inputs) -> DataFrame:
-    scores = i.external_scores(lists(i, everywhere(i)))
+    scores = writers.stage(i.external_scores(lists(i, everywhere(i))), "scores")
     return metrics.minmax_judge(scores).select("query_id", "doc_id", "judged")
 
 
 @query
 def judged_ndcg(i: Inputs) -> DataFrame:
-    return metrics.judged_ndcg(judged_hits(i))
+    return metrics.judged_ndcg(judged(final_hits(i)))
 
 
 # Classification.

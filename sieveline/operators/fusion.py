@@ -26,16 +26,16 @@ def active_domains(
     """Array of domains to search, in enabled order, from top-1/top-2 columns."""
     if mode not in ROUTING_MODES:
         raise ValueError(f"unknown routing mode {mode!r}")
-    everything = F.array(*[F.lit(d) for d in enabled])
     if mode == "broadcast":
-        return everything
-    chosen = [F.col("top1_domain")]
-    if mode == "routed_with_general":
-        chosen.append(F.lit(general))
-    chosen.append(F.when(F.col("top1_prob") < threshold, F.col("top2_domain")))
-    # Domains are compared through coalesce: a NULL (no second domain) selects nothing.
-    selected = F.array(*[F.coalesce(c, F.lit("")) for c in chosen])
-    return F.filter(everything, lambda d: F.array_contains(selected, d))
+        return F.array(*[F.lit(d) for d in enabled])
+    second = F.when(F.col("top1_prob") < threshold, F.col("top2_domain"))
+
+    def chosen(domain: str) -> Column:
+        named = (F.col("top1_domain") == domain) | F.coalesce(second == domain, F.lit(False))
+        always = mode == "routed_with_general" and domain == general
+        return F.lit(domain) if always else F.when(named, F.lit(domain))
+
+    return F.array_compact(F.array(*[chosen(d) for d in enabled]))
 
 
 def route_queries(

@@ -48,31 +48,42 @@ def count_postings(chunks: DataFrame) -> DataFrame:
     )
 
 
-def index_of(postings: DataFrame, epsilon: float = BM25_EPSILON) -> Bm25Index:
-    """Statistics per domain; a negative idf becomes a share of the mean idf."""
+def chunk_lengths(postings: DataFrame) -> DataFrame:
+    """Chunk count and mean length per domain."""
     per_chunk = postings.groupBy("domain", "doc_id", "chunk_id").agg(F.max("dl").alias("dl"))
-    lengths = per_chunk.groupBy("domain").agg(
+    return per_chunk.groupBy("domain").agg(
         F.count(F.lit(1)).alias("n_chunks"), F.avg("dl").alias("avgdl")
     )
-    df = postings.groupBy("domain", "term").agg(F.count(F.lit(1)).alias("df"))
-    raw = df.join(lengths, "domain").withColumn(
-        "raw_idf", F.log(F.col("n_chunks") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
-    )
-    mean_idf = raw.groupBy("domain").agg(F.avg("raw_idf").alias("avg_idf"))
-    terms = raw.join(mean_idf, "domain").select(
-        "domain",
-        "term",
-        "df",
-        F.when(F.col("raw_idf") < 0, F.col("avg_idf") * epsilon)
-        .otherwise(F.col("raw_idf"))
-        .alias("idf"),
-    )
-    return Bm25Index(postings, terms, lengths.join(mean_idf, "domain"))
+
+
+def document_frequencies(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("domain", "term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def _raw_idf() -> Column:
+    return F.log(F.col("n_chunks") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
+
+
+def corpus_statistics(frequencies: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Lengths plus the mean idf over the whole vocabulary, negatives included."""
+    idf = frequencies.join(lengths, "domain").select("domain", _raw_idf().alias("raw_idf"))
+    return lengths.join(idf.groupBy("domain").agg(F.avg("raw_idf").alias("avg_idf")), "domain")
+
+
+def term_weights(frequencies: DataFrame, corpus: DataFrame, epsilon: float) -> DataFrame:
+    """idf per term; a negative one becomes a share of the mean idf."""
+    raw = frequencies.join(corpus, "domain").withColumn("raw_idf", _raw_idf())
+    floor = F.col("avg_idf") * epsilon
+    idf = F.when(F.col("raw_idf") < 0, floor).otherwise(F.col("raw_idf"))
+    return raw.select("domain", "term", "df", idf.alias("idf"))
 
 
 def bm25_index(chunks: DataFrame, epsilon: float = BM25_EPSILON) -> Bm25Index:
     """Index of a chunk table as lazy frames."""
-    return index_of(count_postings(chunks), epsilon)
+    postings = count_postings(chunks)
+    frequencies = document_frequencies(postings)
+    corpus = corpus_statistics(frequencies, chunk_lengths(postings))
+    return Bm25Index(postings, term_weights(frequencies, corpus, epsilon), corpus)
 
 
 def save_index(
@@ -80,30 +91,28 @@ def save_index(
 ) -> Bm25Index:
     """Write an index under ``path`` as tables ``name_*`` and return the stored form.
 
-    Postings are tokenised once and bucketed by document: the document-wise sums
-    of the statistics and of every later search then run without a shuffle.
+    Text is tokenised once. Postings are bucketed by document: the document-wise
+    sums of the statistics and of every later search run without a shuffle.
     """
     spark = chunks.sparkSession
-    (
-        count_postings(chunks)
-        .repartition(buckets, "doc_id")
-        .write.mode("overwrite")
-        .option("path", f"{path}/postings")
-        .bucketBy(buckets, "doc_id")
-        .saveAsTable(f"{name}_postings")
-    )
-    lazy = index_of(spark.table(f"{name}_postings"), epsilon)
-    for part in ("terms", "corpus"):
-        (
-            getattr(lazy, part).write.mode("overwrite")
-            .option("path", f"{path}/{part}")
-            .saveAsTable(f"{name}_{part}")
-        )
-    return load_index(spark, name)
+
+    def store(df: DataFrame, part: str) -> DataFrame:
+        writer = df.write.mode("overwrite").option("path", f"{path}/{part}")
+        if part == "postings":
+            writer = writer.bucketBy(buckets, "doc_id")
+        writer.saveAsTable(f"{name}_{part}")
+        return spark.table(f"{name}_{part}")
+
+    postings = store(count_postings(chunks).repartition(buckets, "doc_id"), "postings")
+    frequencies = store(document_frequencies(postings), "frequencies")
+    store(corpus_statistics(frequencies, chunk_lengths(postings)), "corpus")
+    return load_index(spark, name, epsilon)
 
 
-def load_index(spark: SparkSession, name: str) -> Bm25Index:
-    return Bm25Index(*(spark.table(f"{name}_{part}") for part in ("postings", "terms", "corpus")))
+def load_index(spark: SparkSession, name: str, epsilon: float = BM25_EPSILON) -> Bm25Index:
+    corpus = spark.table(f"{name}_corpus")
+    terms = term_weights(spark.table(f"{name}_frequencies"), corpus, epsilon)
+    return Bm25Index(spark.table(f"{name}_postings"), terms, corpus)
 
 
 def query_weights(queries: DataFrame, index: Bm25Index) -> DataFrame:

@@ -22,6 +22,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several later steps read, and return the stored form.
+
+    Cuts the lineage without keeping anything on an executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_corpus(chunks: DataFrame, path: str) -> None:
     """Overwrite only the domains present in ``chunks``, one directory each.
 
