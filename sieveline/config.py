@@ -36,6 +36,8 @@ CONTENT_SWAP_CONDITIONS = ("swapped_context", "random_in_domain")
 # that it is within its bound; every such place has a shuffle path beyond it.
 MAX_BROADCAST_TERM_ROWS = 400_000
 MAX_BROADCAST_VECTOR_CELLS = 16_000_000  # float32 values, 64 MB
+# A task that scores blocks keeps k running scores per query: at most this many.
+MAX_RUNNING_SCORES = 16_000_000  # float64 values, 128 MB
 
 # Hex characters of an md5 used as a rank bucket: 16**3 = 4096 buckets.
 HASH_BUCKET_CHARS = 3

@@ -7,6 +7,12 @@ import numpy as np
 MAX_BLOCK_CELLS = 4_000_000  # scores held at once by one task
 
 
+def round_half_away(values: np.ndarray, places: int = 6) -> np.ndarray:
+    """Round as SQL does; numpy would round ties to even."""
+    factor = 10.0**places
+    return np.trunc(values * factor + np.copysign(0.5, values)) / factor
+
+
 class RunningTopK:
     """The k best scores seen so far, per query, inside one task.
 

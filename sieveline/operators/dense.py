@@ -11,10 +11,15 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.config import BASE_SEED, MAX_BROADCAST_VECTOR_CELLS, TOPK_DENSE
+from sieveline.config import (
+    BASE_SEED,
+    MAX_BROADCAST_VECTOR_CELLS,
+    MAX_RUNNING_SCORES,
+    TOPK_DENSE,
+)
 from sieveline.functions.vectors import dot, l2_normalize
-from sieveline.operators.blocks import RunningTopK, block_rows
-from sieveline.operators.broadcasting import total_size
+from sieveline.operators.blocks import RunningTopK, block_rows, round_half_away
+from sieveline.operators.broadcasting import extent
 from sieveline.operators.ranking import top_k
 
 _HIT_SCHEMA = "query_id string, domain string, doc_id string, chunk_id string, score double"
@@ -44,7 +49,7 @@ def _block_hits(
     query_ids: np.ndarray, queries: np.ndarray, part: pd.DataFrame, running: RunningTopK
 ) -> pd.DataFrame:
     """Hits of one block of queries in one block of vectors that may be in the top-k."""
-    scores = np.round(queries @ _matrix(part["embedding"]).T, 6)
+    scores = round_half_away(queries @ _matrix(part["embedding"]).T)
     rows, cols = running.select(scores)
     return pd.DataFrame(
         {
@@ -66,8 +71,8 @@ def _topk_by_cell(
     """
     q = queries.select("query_id", *cell, "embedding")
     v = vectors.select("chunk_id", "doc_id", *cell, "embedding")
-    cells = total_size(q, F.size("embedding"))
-    if cells <= bound:
+    n_queries, cells = extent(q, F.size("embedding"))
+    if cells <= bound and n_queries * k <= MAX_RUNNING_SCORES:
         hits = _against_broadcast(q, v, cell, k)
     else:
         hits = _block_by_block(
@@ -75,8 +80,8 @@ def _topk_by_cell(
             v,
             cell,
             k,
-            query_blocks=-(-cells * 4 // bound),
-            vector_blocks=max(1, -(-total_size(v, F.size("embedding")) * 4 // bound)),
+            query_blocks=max(-(-cells * 4 // bound), -(-n_queries * k // MAX_RUNNING_SCORES)),
+            vector_blocks=max(1, -(-extent(v, F.size("embedding"))[1] * 4 // bound)),
         )
     return top_k(hits, ["query_id", "domain"], [F.col("score").desc(), F.col("chunk_id")], k)
 

@@ -16,11 +16,12 @@ from sieveline.config import (
     BM25_EPSILON,
     BM25_K1,
     MAX_BROADCAST_TERM_ROWS,
+    MAX_RUNNING_SCORES,
     TOPK_BM25,
 )
 from sieveline.functions.text import full_text, words
-from sieveline.operators.blocks import RunningTopK, block_rows
-from sieveline.operators.broadcasting import salted_join, total_size
+from sieveline.operators.blocks import RunningTopK, block_rows, round_half_away
+from sieveline.operators.broadcasting import extent, salted_join
 from sieveline.operators.ranking import top_k
 
 
@@ -150,7 +151,8 @@ def bm25_topk(
     postings and query terms are joined with a salt per chunk.
     """
     weights = query_weights(queries, index)
-    if total_size(queries, F.size(words("text"))) <= broadcast_bound:
+    n_queries, n_terms = extent(queries, F.size(words("text")))
+    if n_terms <= broadcast_bound and n_queries * k <= MAX_RUNNING_SCORES:
         hits = _score_blocks(weights, index, k, k1, b)
     else:
         hits = _score_pairs(weights, index, k1, b, salts)
@@ -264,7 +266,7 @@ def _block_hits(
         scores[np.ix_(terms.queries[q], chunk_no[lo:hi])] += np.outer(
             terms.weights[q], impact[lo:hi]
         )
-    scores = np.round(scores, 6)
+    scores = round_half_away(scores)
     rows, cols = running.select(np.where(scores > 0, scores, -np.inf))
     return pa.RecordBatch.from_arrays(
         [
