@@ -109,10 +109,10 @@ def cap_with_qrel_coverage(
 
 
 def ingest(docs: DataFrame, n_partitions: int | None = None) -> DataFrame:
-    """Check the required columns, default the optional ones, spread by id.
+    """Check the required columns, default the optional ones, spread the rows evenly.
 
-    Partitioning by ``doc_id`` is what deduplication needs, so no second shuffle
-    follows.
+    Rows are not placed by ``doc_id``: one id may have very many copies, which
+    deduplication drops before it shuffles.
     """
     missing = [c for c in REQUIRED if c not in docs.columns]
     if missing:
@@ -121,7 +121,7 @@ def ingest(docs: DataFrame, n_partitions: int | None = None) -> DataFrame:
         if column not in docs.columns:
             docs = docs.withColumn(column, F.lit(""))
     n = n_partitions or docs.sparkSession.sparkContext.defaultParallelism * 2
-    return docs.repartition(n, "doc_id")
+    return docs.repartition(n)
 
 
 def read_query_jsonl(spark: SparkSession, path: str) -> DataFrame:

@@ -28,17 +28,17 @@ def corrupt(spark, text, factor=None):
 
 
 def python_corrupt(text, factor):
-    tokens = re.split(r"(\W+)", text)
-    for i, tok in enumerate(tokens):
-        if tok.lower() in grounding.DIRECTIONAL_SWAPS:
-            new = grounding.DIRECTIONAL_SWAPS[tok.lower()]
-            tokens[i] = new.capitalize() if tok[0].isupper() else new
+    def invert(m):
+        other = grounding.DIRECTIONAL_SWAPS.get(m[0].lower())
+        if other is None:
+            return m[0]
+        return other.title() if m[0][0].isupper() else other
 
     def scale(m):
-        v = float(m.group(0)) * factor
-        return str(int(v)) if v == int(v) else f"{v:.2g}"
+        value = float(m[0]) * factor
+        return "%d" % value if value.is_integer() else "%.2g" % value
 
-    return re.sub(r"\b\d+(?:\.\d+)?\b", scale, "".join(tokens))
+    return re.sub(r"\b\d+(\.\d+)?\b", scale, re.sub(r"\w+", invert, text))
 
 
 @pytest.mark.parametrize("factor", [10.0, 0.1])
