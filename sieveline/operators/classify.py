@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,8 +118,9 @@ def train_domain_classifier(
         StringIndexer(inputCol="domain", outputCol="label", stringOrderType="alphabetAsc"),
         RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"[^\p{L}\p{N}]+"),
         HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="features"),
-        LogisticRegression(maxIter=max_iter, regParam=0.01, probabilityCol="probability"),
+        IDF(inputCol="_tf", outputCol="_idf"),
+        Normalizer(inputCol="_idf", outputCol="features"),  # long and short texts weigh alike
+        LogisticRegression(maxIter=max_iter, regParam=0.001, probabilityCol="probability"),
     ]
     model = Pipeline(stages=stages).fit(split.filter(~F.col("is_validation")))
     validated = predict(model, split.filter("is_validation"))
