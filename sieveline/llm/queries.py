@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sieveline.llm.fingerprints import fingerprint_documents
+from sieveline.llm.language import identify_language
+from sieveline.llm.packing import pack_documents
 from sieveline.llm.quality import quality_filter
 from sieveline.llm.secrets import scan_secrets
 from sieveline.llm.sharding import shard_documents
@@ -21,6 +24,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(_table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,18 +39,31 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_roundtrip(_table(spark, sf_dir, "pages"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op5_language_id": op5_language_id,
     "op6_secret_scan": op6_secret_scan,
+    "op7_packing": op7_packing,
     "op8_warc_roundtrip": op8_warc_roundtrip,
+    "op9_fingerprints": op9_fingerprints,
     "op10_sharding": op10_sharding,
 }
 
