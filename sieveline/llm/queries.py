@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sieveline.llm.fingerprints import fingerprint_documents
 from sieveline.llm.language import identify_language
+from sieveline.llm.near import near_duplicates
 from sieveline.llm.packing import pack_documents
 from sieveline.llm.quality import quality_filter
 from sieveline.llm.secrets import scan_secrets
 from sieveline.llm.sharding import shard_documents
+from sieveline.llm.substrings import repeated_words
 from sieveline.llm.warc import archive_roundtrip
 
 
@@ -17,6 +19,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_words(_table(spark, sf_dir, "documents"))
+
+
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = quality_filter(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return kept.select(
@@ -58,6 +68,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op3_near_dedup": op3_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
     "op6_secret_scan": op6_secret_scan,
