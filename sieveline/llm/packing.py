@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from sieveline.llm.common import pieces
-from sieveline.llm.tokens import word_encoder
+from sieveline.llm.tokens import encoding
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
@@ -121,12 +121,13 @@ def balanced_steps(sizes: list[int], step_tokens: int = STEP_TOKENS) -> list[int
     return of
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """Pack all documents into sequences of at most 2048 tokens, without padding.
 
     A task encodes its rows, closes each document with id 1, and packs them in groups
     of about ``group_tokens`` tokens, so it holds one group at a time; nothing is
-    shuffled. Sequence and step numbers begin with the number of the task, so they
+    shuffled. The vocabulary is that of a byte-level tokenizer given as ranks, and
+    its ids are the same; special tokens' names are ordinary text. Sequence and step numbers begin with the number of the task, so they
     are unique, and equal whenever a task is run again.
 
     ``docs`` needs doc_id and text; other columns are ignored. A null or empty text
@@ -138,7 +139,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, group_tokens: int = GRO
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, first = word_encoder(tokenizer_path), TaskContext.get().partitionId() << 33
+        encode, first = encoding(ranks_path, pattern).encode_ordinary, TaskContext.get().partitionId() << 33
         made = {"sequences": first, "steps": first}
         names: list = []
         ids: list[np.ndarray] = []
@@ -164,9 +165,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, group_tokens: int = GRO
         held = 0
         for batch in pieces(batches, most=1 << 21):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for name, encoded in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+            for name, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
                 names.append(name)
-                ids.append(np.append(encoded, np.uint32(END_ID)))
+                ids.append(np.array([*encode(text), END_ID], np.uint32))
                 held += len(ids[-1])
             if held >= group_tokens:
                 yield flush()

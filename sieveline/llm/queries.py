@@ -52,7 +52,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
 
 
 def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import base64
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
 from sieveline.llm.common import pieces
+from sieveline.llm.tokens import encoding as token_encoding
 
 # The base patterns, in the order of kinds.
 PATTERNS = {
@@ -41,13 +40,6 @@ SCHEMA = (
 )
 
 
-@cache
-def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-
-
 def is_identifier(run: str) -> bool:
     """Names made of words, numbers and separators, with at least four letters a word on average."""
     parts = [p for x in re.split(r"[_/+=-]+", run) for p in IDENTIFIER_PART.findall(x)]
@@ -99,7 +91,7 @@ def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, max_ratio: floa
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
-        encoding = _encoding(ranks_path, pattern)
+        encoding = token_encoding(ranks_path, pattern)
         for batch in pieces(batches):
             rows = []
             for text in batch.column("text").to_pylist():
@@ -138,7 +130,7 @@ def mask_secrets(docs: DataFrame, ranks_path: str, pattern: str, max_ratio: floa
     schema = docs.schema
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(ranks_path, pattern)
+        encoding = token_encoding(ranks_path, pattern)
         for batch in pieces(batches):
             texts = batch.column("text").to_pylist()
             for i, text in enumerate(texts):

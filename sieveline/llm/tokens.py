@@ -1,59 +1,16 @@
-"""Token ids of whole texts with a cache of encoded words."""
+"""Byte-pair encodings over a public vocabulary, one per worker process."""
 
 from __future__ import annotations
 
-import os
-import re
-from array import array
+import base64
 from functools import cache
 
-import numpy as np
-
-_AFTER_SPACE = re.compile(r"\s ")
-_WORD_START = re.compile(r"(?<=\S)(?= )")
-
-
-@cache
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    loaded = Tokenizer.from_file(path)
-    loaded.encode_special_tokens = True
-    return loaded
-
-
-class WordEncoder:
-    """Encodes texts with a byte-level BPE tokenizer whose splitting pattern never joins
-    a non-space to a space after it: texts are cut there, and each cut word is encoded
-    once and kept, ``most`` words at a time. Ids equal those of the whole text."""
-
-    def __init__(self, path: str, most: int = 1_000_000):
-        self.tokenizer, self.most = _tokenizer(path), most
-        self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def words(text: str) -> list[str]:
-        if _AFTER_SPACE.search(text):
-            return [w for w in _WORD_START.split(text) if w]
-        first, *rest = text.split(" ")
-        return [*([first] if first else []), *(" " + w for w in rest)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.words(t) for t in texts]
-        new = list(set().union(*cut) - self.known.keys())
-        if len(new) + len(self.known) > self.most:
-            self.known = {}
-            new = list(set().union(*cut))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word] = array("I", found.ids).tobytes()
-        of = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(of, words)), np.uint32) for words in cut]
+import tiktoken
 
 
 @cache
-def word_encoder(path: str) -> WordEncoder:
-    """One encoder per worker process: its words serve all tasks that run there."""
-    return WordEncoder(path)
+def encoding(ranks_path: str, pattern: str) -> tiktoken.Encoding:
+    """Encoding of a vocabulary file of base64 tokens and their ranks."""
+    with open(ranks_path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
