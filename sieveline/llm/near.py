@@ -17,6 +17,8 @@ SHINGLE_WORDS = 5
 #: 24 bands of 4: a pair at similarity 0.8 shares none with a chance of 3 in a million.
 BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
+#: Each band is paired with this many bands after it in the second deal.
+REACH = 3
 
 
 def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -144,12 +146,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     Alike is exact probability Jaccard of five-word shingles weighted by their
     counts. Documents with equal texts are one class at once; of each text one
-    document goes on. Documents that share a band are a bucket. In every bucket one hub
-    meets all others; pairs that a verified link joins are in one class, and a
-    bucket with one class is done. The others go on with 2, 4, 8 ... times
-    as many hubs, which meet the members of other classes, until every member has
-    been a hub: no link within a bucket is lost, and large groups of
-    copies cost one pair per member.
+    document goes on. Documents that share a band are a bucket, and its smallest doc_id
+    meets all others: a pair per member, whatever the bucket's size. A bucket whose
+    members are then one class is done. The members of the others are dealt again by
+    pairs of bands, which unlike documents hardly share, and the smallest and the
+    largest doc_id of each finer bucket meet the members of other classes. A link is
+    lost only if in every bucket that its two documents share both meet strangers.
 
     ``docs`` needs doc_id and text; other columns are ignored. Rows of one doc_id are one
     document. Null and empty texts, and texts of white space, equal only
@@ -166,8 +168,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     links = [stage(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), "near-copies")]
 
     rows = owners.select(F.explode("bands").alias("key"), F.col("first").alias("node"))
-    buckets = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n")).where("hub < last")
-    members = stage(rows.join(buckets.select("key", "hub", "n"), "key"), "near-members")
+    buckets = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
+    members = stage(rows.join(buckets.select("key", "hub"), "key"), "near-members")
     needed = members.select(F.col("node").alias("doc_id")).distinct()
     compared = stage(texts.join(needed, "doc_id").select("doc_id", "text"), "near-compared")
 
@@ -179,31 +181,39 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     tested = stage(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
     links.append(verified(tested))
-    hubs = 1
-    while True:
-        joined = links[0]
-        for more in links[1:]:
-            joined = joined.unionByName(more)
-        roots = components(joined)
-        placed = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("n").alias("n")).where("low < high")
-        open_ = stage(placed.join(mixed.select("key"), "key"), "near-open")
-        if hubs > 1 and open_.where(F.col("n") > hubs // 2).isEmpty() or open_.isEmpty():
-            break
-        hubs *= 2
-        # A share of each bucket, by hash; at hubs >= n all its members.
-        place = F.pmod(F.xxhash64("key", "node"), F.lit(1 << 30)) / float(1 << 30)
-        leading = open_.where(place * F.col("n") < hubs).select("key", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-        pairs = (
-            open_.join(leading, "key")
-            .where("root <> hub_root")
-            .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
+    roots = components(links[0].unionByName(links[1]))
+    placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    left = placed.join(mixed.select("key"), "key").select("node", "root").distinct()
+    # Documents of a bucket with several classes are dealt again, by pairs of bands: eight equal samples.
+    pairs_of_bands = F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(BANDS - 1)),
+            lambda i: F.transform(
+                F.array(*(F.lit(d) for d in range(1, REACH + 1))),
+                lambda d: F.xxhash64(i, d, F.get("bands", i), F.get("bands", F.pmod(i + d, F.lit(BANDS)))),
+            ),
         )
-        fresh = stage(pairs, "near-pairs")
-        tested = tested.unionByName(fresh)
-        links.append(verified(fresh))
+    )
+    finer = stage(
+        owners.join(left, F.col("first") == F.col("node")).select("node", "root", F.explode(pairs_of_bands).alias("key")),
+        "near-finer",
+    )
+    ends = (
+        finer.groupBy("key")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("node", "root")).alias("x"), F.max(F.struct("node", "root")).alias("y"))
+        .where("low < high")
+        .select("key", F.explode(F.array("x", "y")).alias("hub"))
+    )
+    again = (
+        finer.join(ends, "key")
+        .where(F.col("root") != F.col("hub.root"))
+        .select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b"))
+        .distinct()
+        .join(tested, ["a", "b"], "left_anti")
+    )
+    links.append(verified(again))
+    roots = components(links[0].unionByName(links[1]).unionByName(links[2]))
     classes = stage(roots, "near-classes")
     sizes = classes.groupBy("root").agg(F.count(F.lit(1)).alias("class_size"))
     named = classes.join(sizes, "root").select(F.col("node").alias("doc_id"), F.col("root").alias("class_id"), "class_size")
