@@ -10,6 +10,7 @@ from sieveline.llm.near import near_duplicates
 from sieveline.llm.packing import pack_documents
 from sieveline.llm.quality import quality_filter
 from sieveline.llm.secrets import scan_secrets
+from sieveline.llm.sentencepieces import encode_documents, first_byte_id, load_pieces
 from sieveline.llm.sharding import shard_documents
 from sieveline.llm.substrings import repeated_words
 from sieveline.llm.warc import archive_roundtrip
@@ -23,6 +24,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_words(_table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return encode_documents(_table(spark, sf_dir, "documents"), load_pieces(model), first_byte_id(model))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -73,6 +81,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
