@@ -72,6 +72,8 @@ def _t_two_sided(t: float, df: float) -> float:
         return 1.0
     if math.isinf(t):
         return 0.0
+    if df > 1e6:  # the normal tail, whose error is of order 1 / df
+        return math.erfc(abs(t) / math.sqrt(2.0))
     upper = math.atan(abs(t) / math.sqrt(df))
     if upper == 0.0:
         return 1.0

@@ -92,7 +92,7 @@ def exact_quantile(
     name: str,
     resolution: int = 1024,
 ) -> DataFrame:
-    """Linear-interpolated quantile of a non-negative column, exact at any size.
+    """Linear-interpolated quantile of a column, exact at any size.
 
     Equal values are counted together first. A logarithmic histogram then finds
     the buckets that hold the two order statistics wanted, and only the distinct
@@ -103,7 +103,7 @@ def exact_quantile(
         df.filter(F.col(value).isNotNull())
         .groupBy(*group, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_b", F.floor(F.log2(F.col("_v") + 1.0) * resolution))
+        .withColumn("_b", (F.signum("_v") * F.floor(F.log2(F.abs("_v") + 1.0) * resolution)).cast("long"))
     )
     by_bucket = Window.partitionBy(*group).orderBy("_b")
     buckets = values.groupBy(*group, "_b").agg(F.sum("_n").alias("_bn")).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import duckdb
 import pytest
 
@@ -26,8 +28,9 @@ def con(data):
 def test_every_sql_twin_belongs_to_a_query():
     queries, oracle = entry_module.queries(), entry_module.oracle_sql()
     assert set(oracle) <= set(queries)
-    assert len(queries) == 81
-    assert set(queries) - set(oracle) == {"ab_test", "ann_ivf_topk", "corrupt_text", "train_domain_classifier"}
+    own = {q for q in queries if q != "pipeline" and not re.match(r"op\d+_", q)}
+    assert len(own) == 81
+    assert own - set(oracle) == {"ab_test", "ann_ivf_topk", "corrupt_text", "train_domain_classifier"}
 
 
 @pytest.mark.parametrize("name", FAST)
