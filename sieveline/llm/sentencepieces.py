@@ -1,4 +1,4 @@
-"""SentencePiece encoding by a relational lattice, and decoding."""
+"""SentencePiece encoding by a lattice of piece edges, and decoding."""
 
 from __future__ import annotations
 
@@ -6,19 +6,22 @@ import heapq
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import let
-from sieveline.sources.writers import stage
+from sieveline.llm.common import pieces
 
 SPACE_MARK = "▁"
 #: A word is a run of spaces and what follows up to the next space: no piece crosses its edge.
 WORD = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+")
 #: Longer words are merged outside the lattice, by the same rule with a heap.
 MAX_LATTICE_CHARS = 48
-CHUNK_BYTES = 16 << 20
+#: Characters of the words that one lattice holds.
+LATTICE_CHARS = 1 << 18
+#: Words whose ids a task remembers; beyond it, it forgets all and goes on.
+REMEMBERED = 1 << 18
 
 ENCODED = "doc_id long, n_tokens long, ids array<int>, decoded_ok boolean"
 
@@ -44,68 +47,99 @@ def words(text: str | None) -> list[str]:
     return WORD.findall(SPACE_MARK + text.replace(" ", SPACE_MARK))
 
 
-def _byte_ids(char: Column, first_byte: int) -> Column:
-    raw = F.encode(char, "UTF-8")
-    return F.transform(
-        F.sequence(F.lit(1), F.octet_length(char)),
-        lambda i: (F.conv(F.hex(F.substring(raw, i, F.lit(1))), 16, 10).cast("int") + first_byte),
-    )
-
-
-def _merged(edges: Column, n: Column) -> Column:
-    """Boundaries that remain when the best edge over two neighbours is taken again and again."""
-    best = lambda cuts: F.array_max(
-        F.transform(
-            F.filter(
-                edges,
-                lambda e: F.array_contains(cuts, e["start"])
-                & (F.array_position(cuts, e["stop"]) == F.array_position(cuts, e["start"]) + 2),
-            ),
-            lambda e: F.struct(e["score"].alias("score"), (-e["start"]).alias("left"), e["stop"].alias("stop")),
-        )
-    )
-    return F.aggregate(
-        F.sequence(F.lit(1), n),
-        F.sequence(F.lit(0), n),
-        lambda cuts, _: let(
-            best(cuts),
-            lambda e: F.when(e.isNull(), cuts).otherwise(F.filter(cuts, lambda c: (c <= -e["left"]) | (c >= e["stop"]))),
-        ),
-    )
-
-
-def encode_words(distinct: DataFrame, pieces: DataFrame, first_byte: int, longest: int) -> DataFrame:
-    """(word, ids) of distinct words of at most ``MAX_LATTICE_CHARS`` characters.
-
-    Substrings up to the longest piece meet the piece table by equality; the edges of
-    a word are grouped, and a fold over them gives its ids. The model is a merge
-    model: its encoding is not the best path of the lattice, so the fold joins the two
-    neighbours with the best edge, the leftmost of equals, in place of Viterbi.
+class PieceTable:
+    """The pieces as a table of prefixes: (prefix, next character) gives the longer prefix.
+
+    Keys are sorted, so that an equi-join of many substrings is one binary search
+    per length; ``ids`` is -1 for prefixes that are no piece.
     """
-    starts = distinct.select("word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-    sub = starts.select(
-        "word",
-        "start",
-        F.explode(F.sequence(F.col("start") + 1, F.least(F.length("word"), F.col("start") + longest))).alias("stop"),
-    ).withColumn("piece", F.substring("word", F.col("start") + 1, F.col("stop") - F.col("start")))
-    # The piece table is a fixed vocabulary: its size is bound by the model.
-    edges = sub.join(F.broadcast(pieces), "piece").groupBy("word").agg(F.collect_list(F.struct("start", "stop", "score", "id")).alias("edges"))
-    lattice = distinct.join(edges, "word", "left").withColumn("edges", F.coalesce("edges", F.expr("array()").cast("array<struct<start:int,stop:int,score:double,id:int>>")))
-
-    def ids(cuts: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                F.sequence(F.lit(0), F.size(cuts) - 2),
-                lambda i: let(
-                    F.filter("edges", lambda e: (e["start"] == F.get(cuts, i)) & (e["stop"] == F.get(cuts, i + 1))),
-                    lambda found: F.when(F.size(found) > 0, F.array(F.get(found, F.lit(0))["id"])).otherwise(
-                        _byte_ids(F.substring(F.col("word"), F.get(cuts, i) + 1, F.lit(1)), first_byte)
-                    ),
-                ),
-            )
-        )
 
-    return lattice.select("word", let(_merged(F.col("edges"), F.length("word")), ids).alias("ids"))
+    def __init__(self, table: list[tuple[str, int, float]]):
+        number: dict[str, int] = {"": 0}
+        keys: list[int] = []
+        for piece, _, _ in table:
+            for stop in range(1, len(piece) + 1):
+                if piece[:stop] not in number:
+                    number[piece[:stop]] = len(number)
+                    keys.append(number[piece[: stop - 1]] << 21 | ord(piece[stop - 1]))
+        made = np.array(keys, np.int64)
+        order = np.argsort(made)
+        self.keys, self.longer = made[order], order + 1
+        self.ids = np.full(len(number), -1, np.int64)
+        self.scores = np.zeros(len(number))
+        for piece, i, score in table:
+            self.ids[number[piece]], self.scores[number[piece]] = i, score
+        self.longest = max((len(p) for p, _, _ in table), default=0)
+
+    def extend(self, prefix: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The prefix that each prefix and character make, 0 where there is none."""
+        if not len(self.keys):
+            return np.zeros(len(prefix), np.int64)
+        key = prefix << 21 | char
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.longer[at], 0)
+
+
+def lattice(chars: np.ndarray, ends: np.ndarray, table: PieceTable) -> tuple[np.ndarray, ...]:
+    """Edges (start, stop, id, score) over the characters of many words at once.
+
+    ``ends`` is the end of each character's word. Substrings from every start grow
+    by one character a step and meet the piece table by equality; those that
+    no piece begins with end there.
+    """
+    start, prefix = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+    found: list[tuple[np.ndarray, ...]] = []
+    for size in range(1, table.longest + 1):
+        inside = start + size <= ends[start]
+        start, prefix = start[inside], prefix[inside]
+        prefix = table.extend(prefix, chars[start + size - 1])
+        start, prefix = start[prefix > 0], prefix[prefix > 0]
+        piece = table.ids[prefix] >= 0
+        found.append((start[piece], start[piece] + size, table.ids[prefix[piece]], table.scores[prefix[piece]]))
+    if not found:
+        none = np.empty(0, np.int64)
+        return none, none, none, np.empty(0)
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+
+def encode_words(distinct: list[str], table: PieceTable, first_byte: int) -> list[list[int]]:
+    """Ids of each word, folded over the edges that are grouped by word.
+
+    The model is a merge model: its encoding is not the best path of the lattice. So
+    a step of the fold takes, of each word's edges over two neighbouring parts, the
+    best one, the leftmost of equals, in place of Viterbi.
+    """
+    sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
+    chars = np.frombuffer("".join(distinct).encode("utf-32-le"), np.uint32).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    word = np.repeat(np.arange(len(distinct)), sizes)
+    start, stop, ids, scores = lattice(chars, first[1:][word], table)
+    single = stop - start == 1
+    part = np.full(len(chars), -1, np.int64)
+    part[start[single]] = ids[single]
+    order = np.lexsort((start, -scores, word[start]))
+    order = order[~single[order]]
+    start, stop, ids = start[order], stop[order], ids[order]
+    whole = np.ones(len(chars) + 1, bool)
+    after = np.arange(1, len(chars) + 2)
+    while len(start):
+        fits = np.flatnonzero(after[after[start]] == stop)
+        owner = word[start[fits]]
+        best = fits[np.concatenate([[True], owner[1:] != owner[:-1]])] if len(fits) else fits
+        whole[after[start[best]]] = False
+        after[start[best]], part[start[best]] = stop[best], ids[best]
+        going = np.zeros(len(distinct), bool)
+        going[owner] = True
+        left = going[word[start]] & whole[start] & whole[stop] & (after[start] != stop)
+        start, stop, ids = start[left], stop[left], ids[left]
+    kept = np.flatnonzero(whole[:-1])
+    cuts = np.searchsorted(kept, first)
+    flat = part[kept].tolist()
+    out = [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    for k in np.unique(word[kept[part[kept] < 0]]).tolist():
+        places = kept[cuts[k] : cuts[k + 1]].tolist()
+        out[k] = [x for i, p in zip(out[k], places, strict=True) for x in ([i] if i >= 0 else (first_byte + b for b in chr(chars[p]).encode()))]
+    return out
 
 
 def merge_word(word: str, table: dict[str, tuple[int, float]], first_byte: int) -> list[int]:
@@ -136,55 +170,67 @@ def merge_word(word: str, table: dict[str, tuple[int, float]], first_byte: int)
     return out
 
 
-def decode(ids: list[int], names: dict[int, str], first_byte: int) -> str:
+def decode(ids: list[int], raw: dict[int, bytes]) -> str:
     """Text of ids: pieces and bytes joined, space marks turned back, the leading space dropped."""
-    raw = b"".join(bytes([i - first_byte]) if i not in names else names[i].encode() for i in ids)
-    return raw.decode("utf-8", "replace").replace(SPACE_MARK, " ").removeprefix(" ")
+    return b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE_MARK, " ").removeprefix(" ")
+
+
+class Encoder:
+    """Ids of texts; remembers the words of earlier texts up to a bound."""
+
+    def __init__(self, table: list[tuple[str, int, float]], first_byte: int):
+        self.table, self.first_byte = PieceTable(table), first_byte
+        self.by_piece = {p: (i, s) for p, i, s in table}
+        self.raw = {first_byte + b: bytes([b]) for b in range(256)} | {i: p.encode() for p, i, _ in table}
+        self.known: dict[str, list[int]] = {}
+
+    def learn(self, new: list[str]) -> None:
+        held: list[str] = []
+        size = 0
+        for word in new:
+            held.append(word)
+            size += len(word)
+            if size >= LATTICE_CHARS:
+                self.known.update(zip(held, encode_words(held, self.table, self.first_byte), strict=True))
+                held, size = [], 0
+        if held:
+            self.known.update(zip(held, encode_words(held, self.table, self.first_byte), strict=True))
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        split = [words(t) for t in texts]
+        used = dict.fromkeys(w for ws in split for w in ws)
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        self.learn([w for w in used if len(w) <= MAX_LATTICE_CHARS and w not in self.known])
+        return [[i for w in ws for i in self.known.get(w) or merge_word(w, self.by_piece, self.first_byte)] for ws in split]
 
 
 def encode_documents(docs: DataFrame, table: list[tuple[str, int, float]], first_byte: int) -> DataFrame:
     """Token ids of whole texts, and whether they decode to the text.
 
-    Documents are dealt into chunks of about 16 MB by hash. The distinct words of all
-    chunks are encoded once, by the lattice; each chunk gets the ids of its own words
-    and looks its texts up. ``docs`` needs doc_id and text; other columns are ignored.
+    A task takes its rows in pieces of about 1 MB of text. The distinct words of a piece
+    that it does not know yet become one lattice: substrings joined to the piece
+    table, edges grouped by word, one fold over all words. Nothing is shuffled, and a
+    task holds one piece, one lattice and a bounded number of known words.
+
+    ``docs`` needs doc_id and text; other columns are ignored.
     Null and empty texts have no ids. A text's own space marks decode to spaces, which
     ``decoded_ok`` reports as they are. Repeated rows are encoded each; empty
     tables give no rows. Returns doc_id, n_tokens, ids, decoded_ok.
     """
-    spark: SparkSession = docs.sparkSession
-    by_piece = {p: (i, s) for p, i, s in table}
-    names = {i: p for p, i, _ in table}
-    pieces = spark.createDataFrame(table, "piece string, id int, score double")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 + size // CHUNK_BYTES)))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own: dict[int, set[str]] = {}
-            for chunk, text in zip(batch.column("chunk").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                own.setdefault(chunk, set()).update(w for w in words(text) if len(w) <= MAX_LATTICE_CHARS)
-            yield pa.RecordBatch.from_pydict(
-                {"chunk": [c for c, ws in own.items() for _ in ws], "word": [w for ws in own.values() for w in ws]},
-                pa.schema([("chunk", pa.int64()), ("word", pa.string())]),
+    # The piece table is a fixed vocabulary: its size is bound by the model.
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(shared.value, first_byte)
+        for batch in pieces(batches, most=1 << 20):
+            texts = batch.column("text").to_pylist()
+            encoded = encoder.encode(texts)
+            same = [decode(ids, encoder.raw) == text for ids, text in zip(encoded, texts, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(map(len, encoded), pa.int64()), pa.array(encoded, pa.list_(pa.int32())), pa.array(same)],
+                ["doc_id", "n_tokens", "ids", "decoded_ok"],
             )
 
-    uses = stage(dealt.select("chunk", "text").mapInArrow(cut, "chunk long, word string").distinct(), "piece-uses")
-    longest = max((len(p) for p, _, _ in table), default=1)
-    known = encode_words(uses.select("word").distinct(), pieces, first_byte, longest)
-    found = uses.join(known, "word").select("chunk", "word", "ids")
-
-    def look_up(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
-        of = dict(zip(dictionary.column("word").to_pylist(), dictionary.column("ids").to_pylist(), strict=True))
-        out = []
-        for doc_id, text in zip(texts.column("doc_id").to_pylist(), texts.column("text").to_pylist(), strict=True):
-            ids: list[int] = []
-            for word in words(text):
-                ids += of[word] if len(word) <= MAX_LATTICE_CHARS else merge_word(word, by_piece, first_byte)
-            out.append((doc_id, len(ids), ids, decode(ids, names, first_byte) == text))
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.bool_()]
-        columns = list(zip(*out, strict=True)) if out else [[]] * 4
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_tokens", "ids", "decoded_ok"])
-
-    return dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(look_up, ENCODED)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(run, ENCODED)
