@@ -18,7 +18,7 @@ from sieveline.operators.answers import with_response_type
 from sieveline.operators.classify import classify_queries
 from sieveline.operators.corpus import chunk_documents, clean_docs, dedup_docs
 from sieveline.operators.lexical import Bm25Index, load_index, save_index
-from sieveline.operators.ranking import top_k
+from sieveline.operators.ranking import bucketed_rank, sequence_bucket, top_k
 from sieveline.sources.writers import scratch_path
 
 DOMAINS = ("en", "de", "es", "fr")
@@ -309,7 +309,11 @@ class Inputs:
 
     @cached_property
     def arms(self) -> DataFrame:
-        """Events as grounding rows of two arms, the last event of a key counting."""
+        """Events as grounding rows of two arms, one row per event.
+
+        Every sixth pair of events has no passages. The n-th event of an arm, user and
+        condition has seed 41 + n.
+        """
         conditions = F.create_map(*[F.lit(x) for x in (
             "view", "normal", "click", "swapped_context", "purchase", "random_in_domain",
             "signup", "shuffled_order", "error", "corrupted_context",
@@ -317,19 +321,21 @@ class Inputs:
         events = self.table("events").select(
             F.when(F.col("event_id") % 2 == 0, "control").otherwise("treatment").alias("arm"),
             F.concat(F.lit("u"), F.col("user_id")).alias("query_id"),
-            conditions[F.col("event_type")].alias("condition"),
-            (F.lit(42) + F.col("event_id") % 3).cast("int").alias("seed"),
+            F.when(F.floor(F.col("event_id") / 2) % 6 == 5, "no_retrieval")
+            .otherwise(conditions[F.col("event_type")])
+            .alias("condition"),
             "event_id",
+            sequence_bucket(F.col("event_id"), 100_000).alias("bucket"),
             "value",
             F.get_json_object("props", "$.k").cast("int").alias("k"),
         ).filter(F.col("condition").isNotNull())
-        last = events.groupBy("arm", "query_id", "condition", "seed").agg(
-            F.max(F.struct("event_id", "value", "k")).alias("e")
+        ranked = bucketed_rank(
+            events, ["arm", "query_id", "condition"], "bucket", [F.col("event_id")], "nth"
         )
-        k, value = F.col("e.k"), F.col("e.value")
-        rows = last.select(
+        k, value = F.col("k"), F.col("value")
+        rows = ranked.select(
             F.lit("all").alias("domain"),
-            "arm", "query_id", "condition", "seed",
+            "arm", "query_id", "condition", (F.col("nth") + 41).alias("seed"),
             (k % 10 == 0).alias("abstained"),
             (k / 100.0).alias("similarity_to_normal"),
             (k / 100.0 < 0.9).alias("answer_changed"),

@@ -402,13 +402,15 @@ VIEWS: dict[str, str] = {
            case when k % 10 <> 0 then least(value / 100.0, 1.0) end as sentence_faithfulness,
            case when k % 10 <> 0 and k % 4 <> 0 then (k % 5) / 4.0::double end as citation_support,
            value as latency_ms
-    from (select arm, query_id, condition, seed, arg_max(value, event_id) as value, arg_max(k, event_id) as k
+    from (select *, 41 + row_number() over (partition by arm, query_id, condition order by event_id) as seed
           from (select case when event_id % 2 = 0 then 'control' else 'treatment' end as arm, 'u' || user_id as query_id,
-                       case event_type when 'view' then 'normal' when 'click' then 'swapped_context'
-                            when 'purchase' then 'random_in_domain' when 'signup' then 'shuffled_order'
-                            when 'error' then 'corrupted_context' end as condition,
-                       42 + event_id % 3 as seed, event_id, value, json_extract(props, '$.k')::int as k from events)
-          where condition is not null group by all)""",
+                       case when event_id // 2 % 6 = 5 then 'no_retrieval'
+                            when event_type = 'view' then 'normal' when event_type = 'click' then 'swapped_context'
+                            when event_type = 'purchase' then 'random_in_domain'
+                            when event_type = 'signup' then 'shuffled_order'
+                            when event_type = 'error' then 'corrupted_context' end as condition,
+                       event_id, value, json_extract(props, '$.k')::int as k from events)
+          where condition is not null)""",
     "f_arms": """
     select a.*, case when a.condition = 'normal' then 'reference'
                 when coalesce(n.abstained, true) and a.abstained then 'both_abstain'

@@ -190,6 +190,13 @@ def test_bh(spark):
     assert got == [("d", 0.01, 0.03), ("d", 0.03, 0.04), ("d", 0.04, 0.04), ("e", 0.9, 0.9)]
 
 
+def test_every_event_is_a_row_of_an_arm(spark, data):
+    inputs = Inputs(spark, data)
+    arms = inputs.arms.select("arm", "query_id", "condition", "seed").collect()
+    assert len(arms) == len(set(arms)) == inputs.table("events").count()
+    assert {r.condition for r in arms} >= {"normal", "no_retrieval"}
+
+
 def test_ab_test_invariants(spark, data):
     rows = abtest.ab_test(Inputs(spark, data).arms).collect()
     assert len(abtest.TESTS) == 21 and 0 < len(rows) <= 21
