@@ -23,7 +23,6 @@ from sieveline.sources.writers import scratch_path
 
 DOMAINS = ("en", "de", "es", "fr")
 GENERAL = "en"
-VECTOR_DOMAINS = ("d0", "d1", "d2")
 SEEDS = (42, 43, 44)
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 

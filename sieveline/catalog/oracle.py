@@ -603,8 +603,8 @@ def statements() -> dict[str, str]:
         "load_beir": """
           select 'docs' as part, doc_id as id, orig_id as other, domain, md5(text) as text_md5, null::int as relevance from f_docs
           union all select 'queries', query_id, null, domain, md5(text), null from f_rawq
-          union all select 'qrels', query_id, doc_id, split_part(query_id, ':', 1), null, relevance from f_qrels
-            where split_part(query_id, ':', 1) = split_part(doc_id, ':', 1)""",
+          union all select 'qrels', query_id, split_part(query_id, ':', 1) || ':' || split_part(doc_id, ':', 2),
+            split_part(query_id, ':', 1), null, relevance from f_qrels""",
         "cap_simple": f"select doc_id, domain from (select *, {cap_rank} as r from f_docs) where r <= 120",
         "cap_with_qrel_coverage": f"""
           with j as (select * from f_docs where doc_id in (select doc_id from f_qrels))

@@ -118,19 +118,23 @@ def measurable_answers(i: Inputs) -> DataFrame:
 
 @query
 def load_beir(i: Inputs) -> DataFrame:
-    docs = readers.beir_docs(
-        i.docs.select(F.col("orig_id").alias("_id"), "title", "text", "domain"), F.col("domain")
-    )
+    """One dataset of files per domain; a judgement belongs to the dataset of its query."""
     bare = F.substring_index("query_id", ":", -1)
-    queries = readers.beir_queries(i.raw_queries.select(bare.alias("_id"), "text", "domain"), F.col("domain"))
-    same = F.substring_index("query_id", ":", 1)
-    judged = i.qrels.filter(same == F.substring_index("doc_id", ":", 1)).select(
-        same.alias("domain"),
-        bare.alias("query-id"),
-        F.substring_index("doc_id", ":", -1).alias("corpus-id"),
-        F.col("relevance").alias("score"),
-    )
-    qrels = readers.beir_qrels(judged, F.col("domain"))
+    parts = {
+        "corpus": i.docs.select("domain", F.col("orig_id").alias("_id"), "title", "text"),
+        "queries": i.raw_queries.select("domain", bare.alias("_id"), "text"),
+        "qrels": i.qrels.select(
+            F.substring_index("query_id", ":", 1).alias("domain"),
+            bare.alias("query-id"),
+            F.substring_index("doc_id", ":", -1).alias("corpus-id"),
+            F.col("relevance").alias("score"),
+        ),
+    }
+    paths = {d: writers.scratch_path(i.spark, f"beir-{d}") for d in DOMAINS}
+    for domain, path in paths.items():
+        for part, rows in parts.items():
+            rows.filter(F.col("domain") == domain).drop("domain").write.parquet(f"{path}/{part}")
+    docs, queries, qrels = readers.load_beir(i.spark, paths)
     none = F.lit(None).cast("string")
     return (
         docs.select(
@@ -143,7 +147,7 @@ def load_beir(i: Inputs) -> DataFrame:
         ))
         .unionByName(qrels.select(
             F.lit("qrels").alias("part"), F.col("query_id").alias("id"), F.col("doc_id").alias("other"),
-            same.alias("domain"), none.alias("text_md5"), "relevance",
+            F.substring_index("query_id", ":", 1).alias("domain"), none.alias("text_md5"), "relevance",
         ))
     )
 

@@ -16,10 +16,13 @@ RAW_SCHEMA = (
 
 
 def _known_ids(spark: SparkSession, sink: str) -> DataFrame | None:
+    """Ids that the sink holds; None before anything was written. Other errors end the batch."""
     try:
-        return spark.read.parquet(sink).select("doc_id").distinct()
-    except AnalysisException:  # nothing was written yet
-        return None
+        return spark.read.parquet(sink).select("doc_id")
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def ingest_stream(
