@@ -583,10 +583,13 @@ def _prompt(mode: str) -> str:
         + stripped("p.text")
     )
     return f"""
-    select query_id, condition, seed, md5({head} || chr(10) || chr(10) || 'Passages:' || chr(10) ||
-           coalesce(blocks, {lit(NO_PASSAGES)}) || chr(10) || chr(10) || 'Question: ' || query_id || chr(10) || chr(10) ||
+    select {lit(mode)} as mode, query_id, condition, seed, md5({head} || chr(10) || chr(10) || 'Passages:' || chr(10) ||
+           coalesce(blocks, {lit(NO_PASSAGES)}) || chr(10) || chr(10) || 'Question: ' || coalesce(question, '') || chr(10) || chr(10) ||
            'Answer:') as prompt_md5
     from f_answers left join (
+      select 'c' || conv_id as query_id, arg_min(text, turn) as question
+      from conversations where role <> 'assistant' group by all) using (query_id)
+    left join (
       select query_id, condition, seed, string_agg(b, chr(10) || chr(10) order by i) as blocks
       from (select query_id, condition, seed, i, {block} as b from
               (select query_id, condition, seed, unnest(passages) as p, unnest(range(1, len(passages) + 1)) as i from f_answers))
@@ -840,7 +843,7 @@ def statements() -> dict[str, str]:
                       when contains(head, 'NOT ENOUGH') or contains(head, 'INSUFFICIENT') then 'NOT ENOUGH INFO'
                       else 'UNKNOWN' end as verdict
           from (select *, substr(upper({stripped('answer')}), 1, 100) as head from f_answers)""",
-        "build_prompts": _prompt("partial"),
+        "build_prompts": " union all ".join(_prompt(mode) for mode in INSTRUCTIONS),
         "answer_similarity": """
           select query_id, condition, seed, similarity_to_normal, similarity_to_normal < 0.9 as answer_changed from f_similar""",
         "response_type": "select query_id, condition, seed, response_type from f_typed",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -638,8 +638,17 @@ def extract_verdict(i: Inputs) -> DataFrame:
 
 @query
 def build_prompts(i: Inputs) -> DataFrame:
-    requests = i.answers.withColumn("text", F.col("query_id"))
-    return answers.build_prompts(requests, "partial").select(*KEY, md5("prompt"))
+    """Prompts of all modes; the opening turn of a conversation is its question."""
+    asked = i.table("conversations").filter("role <> 'assistant' AND text IS NOT NULL")
+    questions = asked.groupBy(F.concat(F.lit("c"), F.col("conv_id")).alias("query_id")).agg(
+        F.min_by("text", "turn").alias("text")
+    )
+    requests = i.answers.join(questions, "query_id", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    modes = [
+        answers.build_prompts(requests, mode).select(F.lit(mode).alias("mode"), *KEY, md5("prompt"))
+        for mode in answers.INSTRUCTIONS
+    ]
+    return reduce(DataFrame.unionByName, modes)
 
 
 @query

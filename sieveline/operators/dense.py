@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,16 +30,23 @@ def normalize_vectors(vectors: DataFrame, column: str = "embedding") -> DataFram
     return vectors.withColumn(column, l2_normalize(F.col(column)))
 
 
-def mean_pool(tokens: DataFrame, key: str = "text_id") -> DataFrame:
+def mean_pool(tokens: DataFrame, key: str = "text_id", mask: str | None = None) -> DataFrame:
     """Mean of the token vectors of each text, as one array per text.
 
-    Sums are kept per (text, dimension), so a text with very many tokens is
-    folded map-side instead of being gathered.
+    ``mask`` names a 0/1 column; tokens with 0 do not count, and a text without any
+    other gets a zero vector. Rows without a vector are skipped. Vectors are summed
+    map-side, so each task sends one row per text.
     """
-    cells = tokens.select(key, F.posexplode("embedding").alias("pos", "v"))
-    means = cells.groupBy(key, "pos").agg(F.avg(F.col("v").cast("double")).alias("v"))
-    gathered = means.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("c"))
-    return gathered.select(key, F.col("c.v").alias("embedding"))
+    weight = F.lit(1.0) if mask is None else F.coalesce(F.col(mask).cast("double"), F.lit(0.0))
+    scaled = F.transform("embedding", lambda x: x.cast("double") * weight)
+    sums = (
+        tokens.filter(F.col("embedding").isNotNull())
+        .select(key, array_to_vector(scaled).alias("v"), weight.alias("w"))
+        .groupBy(key)
+        .agg(Summarizer.sum(F.col("v")).alias("v"), F.sum("w").alias("n"))
+    )
+    mean = F.transform(vector_to_array("v"), lambda x: x / F.greatest("n", F.lit(1e-9)))
+    return sums.select(key, mean.alias("embedding"))
 
 
 def _matrix(column: pd.Series) -> np.ndarray:

@@ -106,6 +106,15 @@ def hit(q, doc, rank, lst, chunk=0, domain="d"):
     return (q, domain, doc, f"{doc}__chunk{chunk}", 0.5, 0.0, rank, lst)
 
 
+def test_mean_pool_follows_the_mask(spark):
+    rows = [(1, [1.0, 2.0], 1), (1, [3.0, 6.0], 1), (1, [9.0, 9.0], 0), (2, [5.0, 5.0], 0), (3, None, 1)]
+    df = spark.createDataFrame(rows, "text_id long, embedding array<double>, m int")
+    masked = {r.text_id: r.embedding for r in dense.mean_pool(df, mask="m").collect()}
+    assert masked == {1: [2.0, 4.0], 2: [0.0, 0.0]}
+    plain = {r.text_id: r.embedding for r in dense.mean_pool(df).collect()}
+    assert plain[1] == pytest.approx([13 / 3, 17 / 3]) and plain[2] == [5.0, 5.0]
+
+
 def test_rrf_hand_cases(spark):
     rows = [hit("q", "a", 1, 0), hit("q", "b", 2, 0), hit("q", "b", 1, 1), hit("q", "c", 2, 1)]
     got = {r.doc_id: r for r in fusion.rrf_fuse(spark.createDataFrame(rows, HIT)).collect()}
