@@ -94,19 +94,18 @@ def exact_quantile(
 ) -> DataFrame:
     """Linear-interpolated quantile of a column, exact at any size.
 
-    Equal values are counted together first. A logarithmic histogram then finds
-    the buckets that hold the two order statistics wanted, and only the distinct
-    values of those buckets are ordered.
+    A logarithmic histogram, counted map-side, finds the buckets that hold the two
+    order statistics wanted. Only values of those buckets are shuffled, equal ones
+    counted together, and ordered.
     """
     group = list(group)
-    values = (
+    placed_values = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*group, F.col(value).cast("double").alias("_v"))
         .withColumn("_b", (F.signum("_v") * F.floor(F.log2(F.abs("_v") + 1.0) * resolution)).cast("long"))
     )
     by_bucket = Window.partitionBy(*group).orderBy("_b")
-    buckets = values.groupBy(*group, "_b").agg(F.sum("_n").alias("_bn")).select(
+    buckets = placed_values.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_bn")).select(
         *group,
         "_b",
         F.sum("_bn").over(by_bucket.rowsBetween(Window.unboundedPreceding, 0)).alias("_end"),
@@ -123,9 +122,13 @@ def exact_quantile(
         .select(*group, "_b", "_start", "_lo", "_hi", "_frac")
     )
     inside = Window.partitionBy(*group, "_b").orderBy("_v")
+    values = (
+        placed_values.join(wanted, [*group, "_b"])
+        .groupBy(*group, "_b", "_start", "_lo", "_hi", "_frac", "_v")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     placed = (
-        values.join(wanted, [*group, "_b"])
-        .withColumn(
+        values.withColumn(
             "_to",
             F.col("_start") + F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
         )
