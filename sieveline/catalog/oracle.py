@@ -808,7 +808,7 @@ def statements() -> dict[str, str]:
           select domain, 'query' as source, md5(text) as text_md5 from f_queries
           union all select domain, 'document', md5(text) from f_docs
           union all select domain, 'title', md5(title) from f_titles""",
-        "condition_passages": """
+        "condition_passages": f"""
           with seeds as (select distinct seed from f_ring),
           normal as (select query_id, seed, position, chunk_id from f_top5, seeds),
           h as (select query_id, domain, seed, md5(seed || '|' || query_id) as m, n
@@ -819,7 +819,8 @@ def statements() -> dict[str, str]:
             from (select query_id, domain, seed, n, unnest(range(0, least(5, n))) as j,
                          ('0x' || substr(m, 1, 8))::bigint as a, ('0x' || substr(m, 9, 8))::bigint as b
                   from (select r.query_id, r.domain, r.seed, md5(r.seed || '|' || r.query_id) as m, c.n
-                        from f_ring r join (select domain, count(*) as n from f_store group by domain) c using (domain))))
+                        from f_ring r join (select domain, count(*) as n from f_store group by domain) c using (domain)))),
+          shown as (
           select query_id, seed, 'normal' as condition, position, chunk_id from normal
           union all
           select a.query_id, a.seed, 'swapped_context', t.position, t.chunk_id
@@ -831,7 +832,10 @@ def statements() -> dict[str, str]:
           select query_id, seed, 'shuffled_order',
                  row_number() over (partition by query_id, seed order by md5(seed || '|' || query_id || '|' || chunk_id), chunk_id),
                  chunk_id from normal
-          union all select query_id, seed, 'corrupted_context', position, chunk_id from normal""",
+          union all select query_id, seed, 'corrupted_context', position, chunk_id from normal)
+          select query_id, seed, condition, position, chunk_id
+          from (select query_id, seed, unnest({listed(CONDITIONS)}) as condition from f_queries, seeds)
+          left join shown using (query_id, seed, condition)""",
         "extract_citations": """
           select query_id, condition, seed, coalesce(ids, '') as cited from f_answers left join (
             select query_id, condition, seed, string_agg(doc_id, ',' order by first_seen) as ids from f_cited group by all)

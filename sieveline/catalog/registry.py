@@ -612,7 +612,14 @@ def grounding_passages(i: Inputs) -> DataFrame:
 
 @query
 def condition_passages(i: Inputs) -> DataFrame:
-    return grounding_passages(i).select("query_id", "seed", "condition", "position", "chunk_id")
+    """All six conditions; a list without passages is one row without a position."""
+    lists = grounding.passage_lists(
+        i.queries.select("query_id"), grounding_passages(i), SEEDS, fields=("chunk_id",)
+    )
+    shown = lists.select("query_id", "seed", "condition", F.posexplode_outer("passages").alias("i", "p"))
+    return shown.select(
+        "query_id", "seed", "condition", (F.col("i") + 1).alias("position"), F.col("p.chunk_id").alias("chunk_id")
+    )
 
 
 @query
