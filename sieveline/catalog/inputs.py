@@ -310,8 +310,7 @@ class Inputs:
     def arms(self) -> DataFrame:
         """Events as grounding rows of two arms, one row per event.
 
-        Every sixth pair of events has no passages. The n-th event of an arm, user and
-        condition has seed 41 + n.
+        The n-th event of an arm, user and condition has seed 41 + n.
         """
         conditions = F.create_map(*[F.lit(x) for x in (
             "view", "normal", "click", "swapped_context", "purchase", "random_in_domain",
@@ -320,9 +319,7 @@ class Inputs:
         events = self.table("events").select(
             F.when(F.col("event_id") % 2 == 0, "control").otherwise("treatment").alias("arm"),
             F.concat(F.lit("u"), F.col("user_id")).alias("query_id"),
-            F.when(F.floor(F.col("event_id") / 2) % 6 == 5, "no_retrieval")
-            .otherwise(conditions[F.col("event_type")])
-            .alias("condition"),
+            conditions[F.col("event_type")].alias("condition"),
             "event_id",
             sequence_bucket(F.col("event_id"), 100_000).alias("bucket"),
             "value",
