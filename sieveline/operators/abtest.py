@@ -168,7 +168,7 @@ def bh_fdr(tests: DataFrame, group: tuple[str, ...] = ("domain",), p: str = "p_v
         .orderBy(F.col("_r").desc())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    adjusted = F.least(F.min(F.col(p) * F.col("_m") / F.col("_r")).over(downward), F.lit(1.0))
+    adjusted = F.least(F.min(F.col(p) * (F.col("_m") / F.col("_r"))).over(downward), F.lit(1.0))
     return ranked.withColumn("p_adjusted", adjusted).drop("_r", "_m")
 
 
