@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import pieces
@@ -19,6 +20,8 @@ BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
 #: Each band is paired with this many bands after it in the second deal.
 REACH = 3
+#: Longs of the bit sets that are compared before texts are.
+WORDS = 8
 
 
 def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -128,19 +131,93 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(threshold: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = lru_cache(64)(shingles)
         for batch in pieces(pieces(batches, "text_a"), "text_b"):
-            held: tuple = (None, None)
-            like = []
-            for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
-                if held[0] != b:
-                    held = (b, shingles(b))
-                like.append(probability_jaccard(shingles(a), held[1]))
+            like = [
+                probability_jaccard(of(a), of(b))
+                for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)
+            ]
             kept = pa.array([x >= threshold for x in like], pa.bool_())
             yield batch.select(["a", "b"]).filter(kept)
 
     return verify
 
 
+def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches, most=1 << 19):
+        nodes, roots = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "root"))
+        sets = [shingles(t) for t in batch.column("text").to_pylist()]
+        sizes = [len(h) for h, _ in sets]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(nodes, sizes), pa.int64()),
+                pa.array(np.repeat(roots, sizes), pa.int64()),
+                pa.array(np.concatenate([h for h, _ in sets]).view(np.int64)),
+                pa.array(np.concatenate([c / max(c.sum(), 1) for _, c in sets]), pa.float64()),
+            ],
+            ["node", "root", "element", "mass"],
+        )
+
+
+def alike_candidates(elements: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of nodes with different roots, all that can be at least ``threshold`` alike.
+
+    ``elements`` has node, root, element and mass (the masses of a node sum to 1). If u and
+    v are the masses that two documents do not share, probability Jaccard is at most
+    1 / (1 / (1 - u) + 1 / (1 - v) - 1), with equality for plain sets. In one order of all
+    elements, what comes before the first shared one is not shared. So a pair is left out
+    only if at each shared element the masses before it are too large. Elements that one
+    root has alone come first, then rare ones: a passage that thousands share comes last,
+    and makes no pair of documents that differ enough before it.
+    """
+    most = 1.0 + 1.0 / threshold + 1e-9
+    shared = elements.groupBy("element").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
+    ).where("low < high")
+    order = Window.partitionBy("node").orderBy("n", "element")
+    all_of = Window.partitionBy("node")
+    prefix = stage(
+        elements.join(shared.select("element", "n"), "element")
+        .withColumn("after", F.sum("mass").over(all_of) - F.sum("mass").over(order) + F.col("mass"))
+        .where(F.col("after") >= threshold - 1e-9)
+        .select("element", "node", "root", (1.0 / F.col("after")).alias("need")),
+        "near-prefix",
+    )
+    by_root = prefix.groupBy("element", "root").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
+    least = stage(
+        by_root.groupBy("element")
+        .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.min(F.struct("need", "root")).alias("least"), F.count(F.lit(1)).alias("roots"))
+        .where("roots > 1"),
+        "near-least",
+    )
+    able = prefix.join(least, "element").where((F.col("root") == F.col("least.root")) | (F.col("need") + F.col("least.need") <= most))
+    able = stage(able.select("element", "node", "root", "need", (F.col("root") == F.col("main")).alias("main")), "near-able")
+    # One bit per element: a bit that the other document lacks is an element that it lacks.
+    slot = F.pmod(F.xxhash64("element"), F.lit(64 * WORDS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(element), {64 * WORDS}) % 64 AS int))")
+    marks = elements.groupBy("node").agg(
+        F.min("mass").alias("unit"),
+        *(F.bit_or(F.when(F.floor(slot / 64) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"bits{w}") for w in range(WORDS)),
+    )
+    able = stage(able.join(marks, "node"), "near-marked")
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("element", F.struct("node", "root", "need", "unit", "main", *(f"bits{w}" for w in range(WORDS))).alias(name))
+
+    def lacking(x: str, y: str):
+        bits = sum((F.bit_count(F.col(f"{x}.bits{w}").bitwiseAND(F.bitwise_not(F.col(f"{y}.bits{w}")))) for w in range(WORDS)), F.lit(0))
+        return 1.0 / F.greatest(1.0 - bits * F.col(f"{x}.unit"), F.lit(1e-3))
+
+    # Pairs inside the most frequent root are never made: one side is always of another.
+    pairs = side(able.where("NOT main"), "x").join(side(able, "y"), "element").where(
+        (F.col("x.root") != F.col("y.root"))
+        & (F.col("x.need") + F.col("y.need") <= most)
+        & (F.col("y.main") | (F.col("x.node") < F.col("y.node")))
+        & (lacking("x", "y") + lacking("y", "x") <= most)
+    ).select(F.col("x.node").alias("x"), F.col("y.node").alias("y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Class of every document under "equal or at least ``threshold`` alike", closed transitively.
 
@@ -150,8 +227,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     meets all others: a pair per member, whatever the bucket's size. A bucket whose
     members are then one class is done. The members of the others are dealt again by
     pairs of bands, which unlike documents hardly share, and the smallest and the
-    largest doc_id of each finer bucket meet the members of other classes. A link is
-    lost only if in every bucket that its two documents share both meet strangers.
+    largest doc_id of each finer bucket meet the members of other classes. Members of
+    buckets that then still hold several classes meet in ``alike_candidates``, which
+    leaves out only pairs below ``threshold``: every pair that shares a band is decided.
 
     ``docs`` needs doc_id and text; other columns are ignored. Rows of one doc_id are one
     document. Null and empty texts, and texts of white space, equal only
@@ -205,15 +283,28 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         .where("low < high")
         .select("key", F.explode(F.array("x", "y")).alias("hub"))
     )
-    again = (
+    again = stage(
         finer.join(ends, "key")
         .where(F.col("root") != F.col("hub.root"))
         .select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b"))
         .distinct()
-        .join(tested, ["a", "b"], "left_anti")
+        .join(tested, ["a", "b"], "left_anti"),
+        "near-again",
+    )
+    second = verified(again)
+    links.append(second)
+    roots = components(links[0].unionByName(links[1]).unionByName(second))
+    # Members of buckets that still hold several classes: what no hub met goes to the exact join.
+    placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    rest = stage(placed.join(mixed.select("key"), "key").select("node", "root").distinct(), "near-rest")
+    elements = texts.join(rest, F.col("doc_id") == F.col("node")).select("node", "root", "text").mapInArrow(
+        _element_rows, "node long, root long, element long, mass double"
     )
-    links.append(verified(again))
-    roots = components(links[0].unionByName(links[1]).unionByName(links[2]))
+    met = stage(alike_candidates(elements, threshold).join(tested.unionByName(again), ["a", "b"], "left_anti"), "near-met")
+    links.append(verified(met))
+    if not met.isEmpty():
+        roots = components(links[0].unionByName(links[1]).unionByName(links[2]).unionByName(links[3]))
     classes = stage(roots, "near-classes")
     sizes = classes.groupBy("root").agg(F.count(F.lit(1)).alias("class_size"))
     named = classes.join(sizes, "root").select(F.col("node").alias("doc_id"), F.col("root").alias("class_id"), "class_size")

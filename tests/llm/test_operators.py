@@ -80,6 +80,45 @@ def test_near_duplicates(docs, empty, spark):
     assert {r.doc_id for r in keep_one(table).collect()} == {0, 2, 4}
 
 
+def test_near_duplicates_of_a_family_with_a_template(spark):
+    rng = random.Random(8)
+    shared = [f"t{i}" for i in range(170)]
+    texts = []
+    for i in range(60):
+        own = [f"o{i}x{j}" for j in range(30)]
+        texts += [shared + own, shared + own[:26] + [f"e{i}x{j}" for j in range(18)]] if i % 3 else [shared + own]
+    rng.shuffle(texts)
+    sets = [shingles(" ".join(t)) for t in texts]
+    root = list(range(len(sets)))
+    for b in range(len(sets)):
+        for a in range(b):
+            if root[a] != root[b] and probability_jaccard(sets[a], sets[b]) >= 0.8:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    assert 60 <= len(set(root)) < len(texts)
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_duplicates(table).collect()} == dict(enumerate(root))
+
+
+def test_candidates_hold_every_alike_pair(spark):
+    rng = np.random.default_rng(4)
+    sets = []
+    for i in range(120):
+        if i % 4:
+            names, counts = sets[i - 1]
+            counts = np.maximum(counts + (rng.random(len(counts)) < 0.1) * rng.integers(-1, 3, len(counts)), 1)
+            held = rng.random(len(names)) > 0.06
+            sets.append((names[held], counts[held]))
+        else:
+            names = np.unique(rng.integers(0, 90, 60)).astype(np.uint64)
+            sets.append((names, rng.integers(1, 4, len(names))))
+    rows = [(i, i, int(e), float(c / counts.sum())) for i, (names, counts) in enumerate(sets) for e, c in zip(names, counts.tolist(), strict=True)]
+    elements = spark.createDataFrame(rows, "node long, root long, element long, mass double")
+    got = {tuple(r) for r in near.alike_candidates(elements, 0.8).collect()}
+    alike = {(a, b) for b in range(120) for a in range(b) if probability_jaccard(sets[a], sets[b]) >= 0.8}
+    assert alike and alike <= got and len(got) < 120 * 119 / 2
+
+
 def test_probability_jaccard_and_its_estimate():
     rng = random.Random(1)
     sets, exact = [], []
