@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import partial
 from zlib import crc32
 
 import numpy as np
@@ -121,14 +122,15 @@ def balanced_steps(sizes: list[int], step_tokens: int = STEP_TOKENS) -> list[int
     return of
 
 
-def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, group_tokens: int = GROUP_TOKENS, added: tuple[tuple[str, int], ...] = ()) -> DataFrame:
     """Pack all documents into sequences of at most 2048 tokens, without padding.
 
     A task encodes its rows, closes each document with id 1, and packs them in groups
     of about ``group_tokens`` tokens, so it holds one group at a time; nothing is
     shuffled. The vocabulary is that of a byte-level tokenizer given as ranks, and
-    its ids are the same; special tokens' names are ordinary text. Sequence and step numbers begin with the number of the task, so they
-    are unique, and equal whenever a task is run again.
+    its ids are the same; the ``added`` tokens (name, id) are one id wherever a text
+    holds their names. Sequence and step numbers begin with the number of the task, so
+    they are unique, and equal whenever a task is run again.
 
     ``docs`` needs doc_id and text; other columns are ignored. A null or empty text
     is a document of the closing id only. Null and repeated doc_ids are
@@ -139,7 +141,8 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, group_tokens:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, first = encoding(ranks_path, pattern).encode_ordinary, TaskContext.get().partitionId() << 33
+        coder, first = encoding(ranks_path, pattern, added), TaskContext.get().partitionId() << 33
+        encode = partial(coder.encode, allowed_special="all") if added else coder.encode_ordinary
         made = {"sequences": first, "steps": first}
         names: list = []
         ids: list[np.ndarray] = []

@@ -13,6 +13,7 @@ from sieveline.llm.secrets import scan_secrets
 from sieveline.llm.sentencepieces import encode_documents, first_byte_id, load_pieces
 from sieveline.llm.sharding import shard_documents
 from sieveline.llm.substrings import repeated_words
+from sieveline.llm.tokens import added_tokens
 from sieveline.llm.warc import archive_roundtrip
 
 
@@ -64,6 +65,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
+        added=added_tokens(public_tokenizers.path("byte_bpe_50k.json")),
     )
 
 

@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import base64
+import json
 from functools import cache
 
 import tiktoken
 
 
 @cache
-def encoding(ranks_path: str, pattern: str) -> tiktoken.Encoding:
-    """Encoding of a vocabulary file of base64 tokens and their ranks."""
+def encoding(ranks_path: str, pattern: str, added: tuple[tuple[str, int], ...] = ()) -> tiktoken.Encoding:
+    """Encoding of a vocabulary file of base64 tokens and their ranks; ``added`` tokens are whole in text."""
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(added))
+
+
+def added_tokens(json_path: str) -> tuple[tuple[str, int], ...]:
+    """Added tokens of a tokenizer file and their ids."""
+    with open(json_path, encoding="utf-8") as file:
+        return tuple((t["content"], t["id"]) for t in json.load(file)["added_tokens"])

@@ -213,6 +213,25 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty, RANKS, PATTERN).count() == 0
 
 
+def test_packing_keeps_added_tokens_whole(spark):
+    from zlib import crc32
+
+    from tokenizers import Tokenizer
+
+    from sieveline.llm.tokens import added_tokens
+
+    path = tokenizers.path("byte_bpe_50k.json")
+    texts = ["a doc <|endoftext|> next", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y", "<|endof text|>"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got: dict = {}
+    for r in packing.pack_documents(table, RANKS, PATTERN, added=added_tokens(path)).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+    for doc, text in enumerate(texts):
+        ids = np.array([*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, packing.END_ID], "<u4")
+        assert all((crc, n) == (crc32(ids[s : s + k].tobytes()), len(ids)) for s, k, crc, n in got[doc])
+        assert sum(k for _, k, _, _ in got[doc]) == len(ids)
+
+
 def test_archives(spark):
     same = "a" * 120
     fake = MAGIC + "WARC-Type: response\r\nWARC-Record-ID: <urn:page:99>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
