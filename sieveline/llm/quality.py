@@ -227,11 +227,15 @@ def quality_filter(docs: DataFrame, labels: DataFrame, config: QualityConfig = Q
     """
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measures = stage(measured(docs).withColumn("base_failed", base), "quality-measures")
-    cuts = chosen_cutoffs(risk_tests(measures, labels, config))
+    tests = stage(risk_tests(measures, labels, config), "quality-risks")
+    cuts = chosen_cutoffs(tests)
     # One row with at most max_strata + 1 strata of len(RULES) cutoffs each.
+    # A stratum that was tested alone and certified nothing has an empty map, not the pool's cutoffs.
     table = stage(
-        cuts.groupBy("stratum")
-        .agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+        tests.select("stratum").distinct()
+        .join(cuts.select("stratum", "rule", "cutoff"), "stratum", "left")
+        .groupBy("stratum")
+        .agg(F.map_from_entries(F.collect_list(F.when(F.col("rule").isNotNull(), F.struct("rule", "cutoff")))).alias("cutoffs"))
         .groupBy()
         .agg(F.map_from_entries(F.collect_list(F.struct("stratum", "cutoffs"))).alias("table")),
         "quality-cutoffs",

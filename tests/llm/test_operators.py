@@ -153,6 +153,17 @@ def test_quality_counts(docs, empty, spark, rows):
     assert quality_filter(empty, labels).count() == 0
 
 
+def test_quality_of_a_stratum_that_certifies_nothing(spark):
+    words = " ".join(f"w{i}x" for i in range(60))
+    rows = [(i, words, None) for i in range(4000)] + [(10_000 + i, words, "aa") for i in range(300)]
+    bad = words + " *" * 45
+    rows += [(20_000 + i, bad, None) for i in range(300)] + [(30_000, bad, "aa"), (30_001, bad, "cc")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.where("doc_id < 30000").selectExpr("doc_id", "cast(doc_id < 20000 AS long) AS quality")
+    got = {r.doc_id: r.kept for r in quality_filter(docs, labels).where("doc_id >= 20000").collect()}
+    assert not got[20_000] and not got[30_001] and got[30_000]
+
+
 def test_language(spark, docs, empty):
     rng = random.Random(2)
     kinds = {"aa": "the of and thing with".split(), "bb": "der und nicht schön auch".split()}
