@@ -24,7 +24,10 @@ KINDS = (*PATTERNS, "random")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: Runs that the token test looks at; shorter ones cost too few tokens to tell.
+LEAST = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Parts of a run between separators.
+PART = re.compile(r"[A-Za-z0-9]+")
 #: Hex lengths of common digests (MD5, SHA-1, SHA-2), and UUIDs: known, not secret.
 DIGEST = re.compile(r"(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{56}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{96}|[0-9A-Fa-f]{128})")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
@@ -47,6 +50,34 @@ def is_identifier(run: str) -> bool:
     return not words or sum(map(len, words)) >= 4 * len(words) and len(parts) - len(words) <= len(words)
 
 
+def random_parts(run: str, encoding: tiktoken.Encoding, max_ratio: float) -> list[tuple[int, int]]:
+    """Stretches of a run that are random: the whole, or what lies between words and numbers."""
+
+    def costly(part: str) -> bool:
+        return len(part) <= max_ratio * len(encoding.encode_ordinary(part))
+
+    def plain(part: str) -> bool:
+        return part.isdigit() and len(part) < LEAST or is_identifier(part) and not costly(part)
+
+    if not is_identifier(run) and costly(run):
+        return [(0, len(run))]
+    stretches: list[list[int]] = []
+    joined = False
+    for m in PART.finditer(run):
+        if plain(m[0]):
+            joined = False
+        elif joined:
+            stretches[-1][1] = m.end()
+        else:
+            stretches.append([m.start(), m.end()])
+            joined = True
+    return [
+        (s, e)
+        for s, e in stretches
+        if e - s >= LEAST and not DIGEST.fullmatch(run[s:e]) and not UUID.fullmatch(run[s:e]) and costly(run[s:e])
+    ]
+
+
 def find_spans(text: str, encoding: tiktoken.Encoding, max_ratio: float) -> list[tuple[int, int, str]]:
     """(start, end, kind), sorted by start, then kind as listed."""
     raw, found = text.encode(), []
@@ -60,13 +91,14 @@ def find_spans(text: str, encoding: tiktoken.Encoding, max_ratio: float) -> list
     if b"c" * 20 in raw.translate(_RUN):
         base = sorted(found)
         for m in CANDIDATE.finditer(text):
-            run = m[0]
-            if any(s < m.end() and m.start() < e for s, e, _ in base):
-                continue
-            if DIGEST.fullmatch(run) or UUID.fullmatch(run) or is_identifier(run):
+            if DIGEST.fullmatch(m[0]) or UUID.fullmatch(m[0]):
                 continue
-            if len(run) <= max_ratio * len(encoding.encode_ordinary(run)):
-                found.append((m.start(), m.end(), "random"))
+            at = m.start()
+            for s, e, _ in [*base, (m.end(), m.end(), "")]:
+                if e >= at and s <= m.end():
+                    if s - at >= LEAST:
+                        found += [(at + i, at + k, "random") for i, k in random_parts(text[at:s], encoding, max_ratio)]
+                    at = max(at, e)
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
@@ -74,11 +106,11 @@ def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, max_ratio: floa
     """Find secrets in whole texts.
 
     Kinds ``assign``, ``access`` and ``hex`` follow fixed patterns. The token test
-    adds kind ``random``: runs of 20 or more base64 characters that touch none of
-    the former and have at most ``max_ratio`` characters per token of the given
+    adds kind ``random``: runs of 20 or more base64 characters outside the former, or
+    stretches of a run's parts between words and numbers, that have at most ``max_ratio`` characters per token of the given
     byte-pair vocabulary (``ranks_path`` must be a file on every worker, and
-    ``pattern`` its splitting pattern). Digests of known lengths, UUIDs and names
-    made of words are left out before.
+    ``pattern`` its splitting pattern). Digests of known lengths and UUIDs are left
+    out; so are parts that look like words and have more characters a token.
 
     ``docs`` needs doc_id and text; other columns are ignored. A null text counts as
     empty; null and repeated doc_ids are rows as any other; empty tables give no

@@ -196,6 +196,28 @@ def test_secrets(spark, empty):
     assert secrets.redact("abcdef", [1, 2], [4, 3], "#") == "a#ef"
 
 
+def test_random_strings_of_one_case_and_inside_runs():
+    from sieveline.llm.tokens import encoding
+
+    rng, coder = random.Random(3), encoding(RANKS, PATTERN)
+    low, base32 = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    base62 = low + low.upper() + "0123456789"
+
+    def spans(text):
+        return [text[s:e] for s, e, kind in secrets.find_spans(text, coder, 2.0) if kind == "random"]
+
+    for letters in (low, low.upper(), base32, low + "0123456789"):
+        some = ["".join(rng.choices(letters, k=32)) for _ in range(100)]
+        assert sum(spans(x) == [x] for x in some) >= 97
+    for lead in ("services/configuration/production/deployment/", "production_database_connection_string="):
+        for _ in range(20):
+            key = "".join(rng.choices(base62, k=24))
+            assert any(key in x for x in spans(lead + key))
+    key = "q8Zr1LmX0vTy7KpWs3Nd9Bg2"
+    assert spans("0f" * 16 + key) == [key]
+    assert not spans("some_long_identifier_name_here getUserAccountConfigurationById 2024-01-01-12-00-00-000000 ")
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
