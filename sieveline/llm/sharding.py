@@ -50,16 +50,102 @@ def _halve(s: Column, sizes: Column, n_shards: int) -> Column:
     ).otherwise(F.struct((mid + 1).alias("lo"), s["hi"].alias("hi")))
 
 
-def _first_blocks(blocks: Column, capacity: Column) -> Column:
-    """First block of every shard but the first."""
+def _tail_starts(blocks: Column, capacity: Column) -> Column:
+    """Last block before every run but the last, if runs are filled from the end: what any tail needs."""
     return F.aggregate(
-        blocks,
-        F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("cuts")),
+        F.reverse(blocks),
+        F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("ends")),
         lambda s, b: F.when(
             s["used"] + b["size"] > capacity,
-            F.struct(b["size"].alias("used"), F.concat(s["cuts"], F.array(b["block"])).alias("cuts")),
-        ).otherwise(F.struct((s["used"] + b["size"]).alias("used"), s["cuts"].alias("cuts"))),
-        lambda s: s["cuts"],
+            F.struct(b["size"].alias("used"), F.concat(s["ends"], F.array(b["block"])).alias("ends")),
+        ).otherwise(F.struct((s["used"] + b["size"]).alias("used"), s["ends"].alias("ends"))),
+        lambda s: s["ends"],
+    )
+
+
+def _large_bound(sizes: Column, n_shards: int) -> Column:
+    """Mean of what is left after blocks above the mean, again and again, have shards of their own."""
+    def lower(bar: Column, _: Column) -> Column:
+        return let(
+            F.filter(sizes, lambda x: x > bar),
+            lambda large: (F.aggregate(sizes, F.lit(0).cast("long"), lambda t, x: t + F.when(x > bar, F.lit(0)).otherwise(x)))
+            / F.greatest(F.lit(n_shards) - F.size(large), F.lit(1)),
+        )
+
+    total = F.aggregate(sizes, F.lit(0).cast("long"), lambda t, x: t + x)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(8)), (total / n_shards).cast("double"), lower)
+
+
+def _first_blocks(blocks: Column, capacity: Column, n_shards: int) -> Column:
+    """First block of every shard but the first.
+
+    A shard ends near the mean of what is left, over the shards left, without blocks
+    so large that they have their own; never above the capacity, and only where the
+    shards left can hold the rest.
+    """
+    sizes = F.transform(blocks, lambda b: b["size"])
+
+    def cut(bar: Column, tails: Column) -> Column:
+        def small(x: Column) -> Column:
+            return F.when(x > bar, F.lit(0).cast("long")).otherwise(x)
+
+        def step(s: Column, b: Column) -> Column:
+            size = b["size"]
+            large = size > bar
+            after = F.lit(n_shards - 1) - F.size(s["cuts"])
+            wanted = (
+                large | s["large"] | (s["used"] + size / 2 > s["target"]) | (s["used"] + size > capacity) | (s["count"] <= after)
+            )
+            holds = F.size(F.filter(tails, lambda e: e >= b["block"])) + 1 <= after
+            new = (s["used"] > 0) & wanted & holds
+            left = s["left"] - small(size)
+            larges = s["larges"] - large.cast("int")
+            mean = s["left"] / F.greatest(after - s["larges"], F.lit(1))
+            here = F.when(s["large"], s["runs"][0]).otherwise(s["here"])
+            target = here / F.greatest(F.round(here / F.greatest(mean, F.lit(1.0))), F.lit(1))
+            return F.struct(
+                F.when(new, size).otherwise(s["used"] + size).alias("used"),
+                F.when(new, target).otherwise(s["target"]).cast("double").alias("target"),
+                left.alias("left"),
+                (here - small(size)).alias("here"),
+                F.when(s["large"], F.slice(s["runs"], 2, n_shards)).otherwise(s["runs"]).alias("runs"),
+                larges.cast("int").alias("larges"),
+                (s["count"] - 1).cast("int").alias("count"),
+                large.alias("large"),
+                F.when(new, F.concat(s["cuts"], F.array(b["block"]))).otherwise(s["cuts"]).alias("cuts"),
+            )
+
+        rest = F.aggregate(sizes, F.lit(0).cast("long"), lambda t, x: t + small(x))
+        larges = F.size(F.filter(sizes, lambda x: x > bar))
+        # Bytes between large blocks: the shards of each stretch share them evenly.
+        ended = F.aggregate(
+            sizes,
+            F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("runs")),
+            lambda s, x: F.when(
+                x > bar, F.struct(F.lit(0).cast("long").alias("sum"), F.concat(s["runs"], F.array(s["sum"])).alias("runs"))
+            ).otherwise(F.struct((s["sum"] + x).alias("sum"), s["runs"].alias("runs"))),
+            lambda s: F.concat(s["runs"], F.array(s["sum"])),
+        )
+        mean = rest / F.greatest(F.lit(n_shards) - larges, F.lit(1))
+        return let(ended, lambda runs: walked(rest, larges, mean, runs, step))
+
+    def walked(rest: Column, larges: Column, mean: Column, runs: Column, step) -> Column:
+        start = F.struct(
+            F.lit(0).cast("long").alias("used"),
+            (runs[0] / F.greatest(F.round(runs[0] / F.greatest(mean, F.lit(1.0))), F.lit(1))).cast("double").alias("target"),
+            rest.alias("left"),
+            runs[0].alias("here"),
+            F.slice(runs, 2, n_shards).alias("runs"),
+            larges.alias("larges"),
+            F.size(blocks).alias("count"),
+            F.lit(False).alias("large"),
+            F.array().cast("array<int>").alias("cuts"),
+        )
+        return F.aggregate(blocks, start, step, lambda s: s["cuts"])
+
+    return let(
+        F.struct(_large_bound(sizes, n_shards).alias("bar"), _tail_starts(blocks, capacity).alias("tails")),
+        lambda f: cut(f["bar"], f["tails"]),
     )
 
 
@@ -69,8 +155,8 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     The atomic groups, in md5 order, are summed into at most 65,536 blocks of
     whole groups. The smallest capacity at which a greedy pass needs no more than
     ``n_shards`` shards is found by binary search over the block sizes, and the
-    blocks are cut there. A shard exceeds the best one of single groups by less
-    than one block.
+    blocks are cut near the mean of what is left, never above it, so that all shards
+    are used. A shard exceeds the best one of single groups by less than one block.
 
     ``docs`` needs doc_id and text; other columns are ignored. A null text counts
     as empty, size 16, in one group with empty texts. Null and repeated doc_ids
@@ -99,7 +185,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     ordered = blocks.groupBy().agg(F.sort_array(F.collect_list(F.struct("block", "size"))).alias("blocks"))
     cut_at = let(
         F.transform("blocks", lambda b: b["size"]),
-        lambda sizes: let(smallest_capacity(sizes, n_shards), lambda most: _first_blocks(F.col("blocks"), most)),
+        lambda sizes: let(smallest_capacity(sizes, n_shards), lambda most: _first_blocks(F.col("blocks"), most, n_shards)),
     )
     cuts = stage(ordered.select(cut_at.alias("cuts")), "shard-cuts")
     shard = F.size(F.filter("cuts", lambda c: c <= F.col("block")))

@@ -318,6 +318,21 @@ def test_sharding(docs, empty):
     assert shard_documents(empty).count() == 0
 
 
+def test_sharding_of_a_heavy_group_uses_all_shards(spark):
+    rng = random.Random(6)
+    for copies in (600, 60):
+        rows = [(i, f"text {i} " + "x" * rng.randrange(50, 150)) for i in range(1200)] + [(5000 + i, "y" * 100) for i in range(copies)]
+        got = shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 40).collect()
+        loads: Counter = Counter()
+        for r in got:
+            loads[r.shard] += r.size
+        assert set(loads) == set(range(40))
+        heavy = copies * 116
+        others = sorted(loads.values())[:-1]
+        assert max(loads.values()) <= max(heavy, 2 * sum(loads.values()) / 40)
+        assert min(others) > 0.5 * max(others)
+
+
 def test_pieces_equal_the_library(spark, empty):
     import sentencepiece
 
