@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sieveline.llm.common import let, words_of
+from sieveline.llm.contamination import contamination_report
 from sieveline.llm.fingerprints import fingerprint_documents
 from sieveline.llm.language import identify_language
 from sieveline.llm.near import near_duplicates
 from sieveline.llm.packing import pack_documents
+from sieveline.llm.phrases import collocations
 from sieveline.llm.quality import quality_filter
+from sieveline.llm.runs import periodic_runs, run_digests
 from sieveline.llm.secrets import scan_secrets
 from sieveline.llm.sentencepieces import encode_documents, first_byte_id, load_pieces
 from sieveline.llm.sharding import shard_documents
@@ -81,6 +86,35 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return report.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+def with_periodic_ends(docs: DataFrame) -> DataFrame:
+    """``docs`` where, by the digest of their ids, one text in ten ends in words that repeat."""
+    digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def repeated(words):
+        n, g = F.size(words).cast("long"), F.floor(digest / 10)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        at = F.sequence(F.lit(0).cast("long"), n - 1)
+        return F.array_join(F.transform(at, lambda i: F.get(words, F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int"))), " ")
+
+    new = let(words_of(F.col("text")), lambda words: F.when(F.size(words) > 0, repeated(words)))
+    return docs.select("doc_id", F.coalesce(F.when(F.pmod(digest, F.lit(10)) == 0, new), "text").alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(with_periodic_ends(_table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -92,6 +126,9 @@ QUERIES = {
     "op8_warc_roundtrip": op8_warc_roundtrip,
     "op9_fingerprints": op9_fingerprints,
     "op10_sharding": op10_sharding,
+    "op11_decontamination": op11_decontamination,
+    "op12_collocations": op12_collocations,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
@@ -110,4 +147,71 @@ ORACLE_SQL = {
                true AS intact
         FROM f
     """,
+    "op11_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), b AS (
+            SELECT CAST(item_id AS VARCHAR) AS item_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), g AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS gram
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+        ), t AS (
+            SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
+        ), p AS (
+            SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS l FROM t
+        ), h AS (
+            SELECT DISTINCT p.doc_id, p.i, g.k, g.item_id
+            FROM p JOIN (SELECT DISTINCT k FROM g) ks ON len(p.l) >= ks.k
+                   JOIN g ON g.k = ks.k AND g.gram = array_to_string(p.l[1 : ks.k], ' ')
+        ), c AS (
+            SELECT doc_id, count(DISTINCT word_at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS word_at FROM h) GROUP BY doc_id
+        ), s AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+            FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(s.n_items, 0) AS n_items,
+               sha256(coalesce(s.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN s ON s.doc_id = d.doc_id
+    """,
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+        ), cut AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), total AS (
+            SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM cut GROUP BY lang
+        ), grams AS (
+            SELECT lang, w[i : i + k - 1] AS p
+            FROM (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS k
+                  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut WHERE len(w) > 0))
+        ), f AS (
+            SELECT lang, p, count(*) AS c FROM grams GROUP BY lang, p HAVING count(*) >= 100
+        ), cuts AS (
+            SELECT lang, p, c AS a, unnest(range(1, len(p))) AS k FROM f WHERE len(p) > 1
+        ), scored AS (
+            SELECT cuts.lang, cuts.p, k, a, h.c AS l, t.c AS r, n,
+                   CAST((1000::HUGEINT * a * n) // (h.c::HUGEINT * t.c) AS BIGINT) AS score
+            FROM cuts JOIN f h ON h.lang = cuts.lang AND h.p = cuts.p[1 : k]
+                      JOIN f t ON t.lang = cuts.lang AND t.p = cuts.p[k + 1 : len(cuts.p)]
+                      JOIN total ON total.lang = cuts.lang
+        ), lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+        ), parts AS (
+            SELECT lang, p[i : i + m - 1] AS p, max(c) AS longer
+            FROM (SELECT lang, p, c, m, unnest(range(1, len(p) - m + 2)) AS i
+                  FROM (SELECT lang, p, c, unnest(range(2, len(p))) AS m FROM f WHERE len(p) > 2))
+            GROUP BY ALL
+        ), kept AS (
+            SELECT x.lang, array_to_string(x.p, ' ') AS phrase, a, l, r, n, score
+            FROM lowest x LEFT JOIN parts y ON y.lang = x.lang AND y.p = x.p
+            WHERE y.longer IS NULL OR 100 * y.longer < 100 * x.a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+    """,
 }
