@@ -37,7 +37,7 @@ def _row_key(docs: DataFrame) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
-    """One row per hash: ``entries`` of the windows that have it (gram, and the items they occur in)."""
+    """One row per hash: the windows that have it (``grams``), and for each the items it occurs in (``owners``)."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), _normal_words(_text()).alias("words"))
     long = F.least(F.size("words"), F.lit(window))
     windows = items.where(F.size("words") > 0).select(
@@ -47,10 +47,10 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     )
     grams = windows.groupBy(F.xxhash64("w").alias("hash"), "n", F.array_join("w", " ").alias("gram")).agg(F.collect_set("item_id").alias("items"))
     return grams.groupBy("hash").agg(
-        F.collect_list(F.struct("gram", "items")).alias("entries"),
+        F.sort_array(F.collect_list(F.struct("gram", "items"))).alias("entries"),
         F.collect_set("n").alias("lengths"),
         F.sum(F.octet_length("gram") + 24 * (F.size("items") + 1)).alias("bytes"),
-    )
+    ).select("hash", F.col("entries.gram").alias("grams"), F.col("entries.items").alias("owners"), "lengths", "bytes")
 
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
@@ -74,24 +74,33 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     size = known.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.array_distinct(F.flatten(F.collect_set("lengths"))).alias("lengths")).first()
     blocks = max(1, -(-size["n"] // BLOCK_WINDOWS), -(-(size["bytes"] or 0) // BLOCK_BYTES))
     lengths = sorted(size["lengths"]) or [window]
-    places = _row_key(docs).select("doc_id", "text_key", _normal_words(F.col("text")).alias("words")).where(F.size("words") >= lengths[0])
-    places = places.select("*", F.explode(F.sequence(F.lit(0), F.size("words") - lengths[0])).alias("at"))
+    places = _row_key(docs).select("doc_id", "text_key", _normal_words(F.col("text")).alias("words"))
+    starts = F.when(F.size("words") >= lengths[0], F.sequence(F.lit(0), F.size("words") - lengths[0]))
+    places = places.select("*", F.explode(starts).alias("at"))
     if len(lengths) == 1:
         places = places.withColumn("n", F.lit(lengths[0]))
     else:
         places = places.select("*", F.explode(F.array(*map(F.lit, lengths))).alias("n")).where(F.col("at") + F.col("n") <= F.size("words"))
-    # The text goes along by reference inside the scan; it never reaches the shuffle.
-    gram = F.slice("words", F.col("at") + 1, F.col("n"))
-    places = places.withColumn("hash", F.xxhash64(gram))
-    entry = F.filter("entries", lambda e: e["gram"] == F.array_join(gram, " "))[0]
+    # Explode, look-up and comparison are one generated loop over the words of a text, which are
+    # never copied per place. A lambda there would break the loop in two.
+    window_words = F.slice("words", F.col("at") + 1, F.col("n"))
+    places = places.withColumn("hash", F.xxhash64(window_words))
+    gram = F.array_join(window_words, " ")
 
     def found_in(block: int) -> DataFrame:
-        part = known.where(F.pmod(F.col("hash"), F.lit(blocks)) == block).select("hash", "entries")
+        part = known.select("hash", "grams", "owners")
+        if blocks > 1:
+            part = part.where(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == block)
         return (
             places.join(F.broadcast(part), "hash")
-            .select("doc_id", "text_key", "at", (F.col("at") + F.col("n")).alias("end"), entry.alias("entry"))
-            .where("entry IS NOT NULL")
-            .select("doc_id", "text_key", "at", "end", "entry.items")
+            .where(F.array_contains("grams", gram))
+            .select(
+                "doc_id",
+                "text_key",
+                "at",
+                (F.col("at") + F.col("n")).alias("end"),
+                F.get("owners", F.array_position("grams", gram).cast("int") - 1).alias("items"),
+            )
         )
 
     if blocks == 1:

@@ -290,10 +290,11 @@ def collocations(docs: DataFrame, least: int = 100, share: int = 100, most: int
     )
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     # A language may have any number of candidates: its best ones are taken of shares first.
-    shares = phrases.count() // SHARE_ROWS
+    held = max(SHARE_ROWS, 2 * most)
+    shares = phrases.count() // held
     while shares > 1:
         spelled = spelled.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(shares)))
         spelled = top_k(spelled, ["lang", "share"], order, most).drop("share", "rank")
-        shares = shares * most // SHARE_ROWS
+        shares = shares * most // held
     ranked = top_k(spelled, ["lang"], order, most)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
