@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,16 +26,52 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared}/{name}-{uuid.uuid4().hex}"
 
 
+#: Paths that ``stage`` wrote inside the innermost open ``scratch``.
+_HELD: ContextVar[list[str] | None] = ContextVar("held", default=None)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several later steps read, and return the stored form.
 
     Cuts the lineage without keeping anything on an executor.
     """
     path = scratch_path(df.sparkSession, name)
+    held = _HELD.get()
+    if held is not None:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Delete at the end what ``stage`` writes inside, but for tables stored with the function given.
+
+    Shuffle files go, too, as soon as no frame refers to their plans: build those in a
+    function that has returned by then. What is kept belongs to the next outer scope.
+    """
+    outer, inner = _HELD.get(), []
+    token = _HELD.set(inner)
+    kept: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        stored = stage(df, name)
+        kept.append(inner[-1])
+        return stored
+
+    try:
+        yield keep
+    finally:
+        _HELD.reset(token)
+        if outer is not None:
+            outer.extend(kept)
+        for path in set(inner) - set(kept):
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+        gc.collect()
+        spark._jvm.System.gc()
+
+
 def write_corpus(chunks: DataFrame, path: str) -> None:
     """Overwrite only the domains present in ``chunks``, one directory each.
 
