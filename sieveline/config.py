@@ -32,8 +32,11 @@ CONDITIONS = (
 )
 CONTENT_SWAP_CONDITIONS = ("swapped_context", "random_in_domain")
 
+# Chunks of one slab of a lexical index: what a task scores at once.
+SLAB_CHUNKS = 16_384
+
 # Size bounds for broadcasts. A side is broadcast only after a count showed
-# that it is within its bound; every such place has a shuffle path beyond it.
+# that it is within its bound; a larger one goes through in blocks.
 MAX_BROADCAST_TERM_ROWS = 400_000
 MAX_BROADCAST_VECTOR_CELLS = 16_000_000  # float32 values, 64 MB
 # A task that scores blocks keeps k running scores per query: at most this many.

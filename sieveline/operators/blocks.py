@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from sieveline.config import MAX_RUNNING_SCORES
+
 MAX_BLOCK_CELLS = 4_000_000  # scores held at once by one task
 
 
@@ -35,3 +37,16 @@ class RunningTopK:
 def block_rows(n_queries: int) -> int:
     """Rows scored at once against ``n_queries`` queries."""
     return max(1, MAX_BLOCK_CELLS // max(1, n_queries))
+
+
+def kept_scores(best: np.ndarray, items: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items that may be among the k best of one query; updates its k best scores. Ties with the k-th stay."""
+    merged = np.concatenate([best, scores])
+    best[:] = np.partition(merged, len(merged) - len(best))[-len(best) :]
+    on = (scores >= best.min()) & (scores > -np.inf)
+    return items[on], scores[on]
+
+
+def query_blocks(cells: int, queries: int, k: int, bound: int) -> int:
+    """Number of blocks that keep what a task holds of the queries within ``bound`` cells, and their running scores small."""
+    return max(1, -(-cells // max(1, bound)), -(-queries * k // MAX_RUNNING_SCORES))

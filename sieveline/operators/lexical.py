@@ -1,13 +1,16 @@
-"""BM25 as tables: postings, term statistics, corpus statistics, scoring."""
+"""BM25 as tables: blocks of postings, term statistics, corpus statistics, scoring."""
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,48 +20,152 @@ from sieveline.config import (
     BM25_K1,
     MAX_BROADCAST_TERM_ROWS,
     MAX_RUNNING_SCORES,
+    SLAB_CHUNKS,
     TOPK_BM25,
 )
 from sieveline.functions.text import full_text, words
-from sieveline.operators.blocks import RunningTopK, block_rows, round_half_away
-from sieveline.operators.broadcasting import extent, salted_join
+from sieveline.operators.blocks import kept_scores, query_blocks, round_half_away
 from sieveline.operators.ranking import top_k
+from sieveline.sources.writers import stage
+
+#: Term of the row that lists the chunks of a slab; no word is empty.
+DIRECTORY = ""
+
+_BLOCK = pa.schema(
+    [
+        ("domain", pa.string()),
+        ("slab", pa.int64()),
+        ("term", pa.string()),
+        ("chunks", pa.list_(pa.int32())),
+        ("tf", pa.list_(pa.int32())),
+        ("max_tf", pa.int32()),
+        ("min_dl", pa.int32()),
+        ("doc_ids", pa.list_(pa.string())),
+        ("chunk_ids", pa.list_(pa.string())),
+        ("dl", pa.list_(pa.int32())),
+    ]
+)
+_BLOCK_DDL = (
+    "domain string, slab long, term string, chunks array<int>, tf array<int>, max_tf int, min_dl int, "
+    "doc_ids array<string>, chunk_ids array<string>, dl array<int>"
+)
 
 
 @dataclass(frozen=True)
 class Bm25Index:
-    """``postings`` carry the chunk length, so scoring needs no length join."""
+    """``blocks`` has a row per (domain, slab, term), and one per slab that lists its chunks.
 
-    postings: DataFrame  # domain, doc_id, chunk_id, dl, term, tf
+    A slab is a range of at most ``SLAB_CHUNKS`` chunks of one domain. A block holds the numbers of
+    the chunks that contain the term, how often each does, and the largest count and least
+    chunk length in it, which bound every score it can give.
+    """
+
+    blocks: DataFrame
     terms: DataFrame  # domain, term, df, idf
     corpus: DataFrame  # domain, n_chunks, avgdl, avg_idf
 
+    @property
+    def postings(self) -> DataFrame:
+        """domain, doc_id, chunk_id, dl, term, tf: one row per posting."""
+        keys = ["domain", "slab"]
+        listed = self.blocks.filter(F.col("term") == DIRECTORY).select(
+            *keys, F.posexplode(F.arrays_zip("doc_ids", "chunk_ids", "dl")).alias("chunk", "c")
+        )
+        each = self.blocks.filter(F.col("term") != DIRECTORY).select(
+            *keys, "term", F.explode(F.arrays_zip("chunks", "tf")).alias("p")
+        )
+        each = each.select(*keys, "term", F.col("p.chunks").alias("chunk"), F.col("p.tf").cast("long").alias("tf"))
+        return each.join(listed, [*keys, "chunk"]).select(
+            "domain", "c.doc_ids", "c.chunk_ids", F.col("c.dl").cast("long").alias("dl"), "term", "tf"
+        ).toDF("domain", "doc_id", "chunk_id", "dl", "term", "tf")
+
+
+class _Slab:
+    """Chunks of one domain, as they come, until they are a slab."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.words: list[np.ndarray] = []
+        self.doc_ids: list[str] = []
+        self.chunk_ids: list[str] = []
+
+    def add(self, doc_id: str, chunk_id: str, tokens: list[str]) -> None:
+        self.words.append(np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens)))
+        self.doc_ids.append(doc_id)
+        self.chunk_ids.append(chunk_id)
+
+    def rows(self, domain: str, slab: int) -> pa.RecordBatch:
+        n = len(self.words)
+        dl = np.array([len(w) for w in self.words], np.int32)
+        keys, tf = np.unique(np.concatenate(self.words) * n + np.repeat(np.arange(n), dl), return_counts=True)
+        number, chunk = keys // n, (keys % n).astype(np.int32)
+        starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+        terms = list(self.numbers)
+        offsets = pa.array(np.append(np.append(starts, len(keys)), len(keys)).astype(np.int32))
+        count = len(terms) + 1
+
+        def listing(values: list, kind: pa.DataType) -> pa.Array:
+            return pa.array([None] * len(terms) + [values], pa.list_(kind))
+
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([domain] * count, pa.string()),
+                pa.array(np.full(count, slab)),
+                pa.array([*terms, DIRECTORY], pa.string()),
+                pa.ListArray.from_arrays(offsets, pa.array(chunk)),
+                pa.ListArray.from_arrays(offsets, pa.array(tf.astype(np.int32))),
+                pa.array(np.append(np.maximum.reduceat(tf, starts), 0).astype(np.int32)),
+                pa.array(np.append(np.minimum.reduceat(dl[chunk], starts), 0).astype(np.int32)),
+                listing(self.doc_ids, pa.string()),
+                listing(self.chunk_ids, pa.string()),
+                listing(dl.tolist(), pa.int32()),
+            ],
+            schema=_BLOCK,
+        )
 
-def count_postings(chunks: DataFrame) -> DataFrame:
-    """Term counts per chunk.
 
-    Chunks that come out of ``dedup_docs`` are still partitioned by ``doc_id``,
-    so counting adds no shuffle.
-    """
-    tokens = chunks.select("domain", "doc_id", "chunk_id", words(F.lower(full_text())).alias("_t"))
-    sized = tokens.withColumn("dl", F.size("_t").cast("long"))
-    return (
-        sized.select("domain", "doc_id", "chunk_id", "dl", F.explode("_t").alias("term"))
-        .groupBy("domain", "doc_id", "chunk_id", "dl", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+def posting_blocks(chunks: DataFrame, slab_chunks: int = SLAB_CHUNKS) -> DataFrame:
+    """Blocks of postings: each task numbers and counts its own chunks, so nothing is shuffled.
 
+    A task holds one open slab per domain. Chunks without a word are left out.
+    """
+    lowered = chunks.select("domain", "doc_id", "chunk_id", F.lower(full_text()).alias("text"))
 
-def chunk_lengths(postings: DataFrame) -> DataFrame:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = TaskContext.get().partitionId() << 32
+        slabs: dict[str, _Slab] = defaultdict(_Slab)
+        for batch in batches:
+            for domain, doc_id, chunk_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                # All white space that ``words`` knows, and nothing else, separates words here, too.
+                if not (tokens := (text or "").split()):
+                    continue
+                slabs[domain].add(doc_id, chunk_id, tokens)
+                if len(slabs[domain].words) == slab_chunks:
+                    yield slabs.pop(domain).rows(domain, made)
+                    made += 1
+        for domain, slab in slabs.items():
+            yield slab.rows(domain, made)
+            made += 1
+
+    return lowered.mapInArrow(build, _BLOCK_DDL)
+
+
+def chunk_lengths(blocks: DataFrame) -> DataFrame:
     """Chunk count and mean length per domain."""
-    per_chunk = postings.groupBy("domain", "doc_id", "chunk_id").agg(F.max("dl").alias("dl"))
-    return per_chunk.groupBy("domain").agg(
-        F.count(F.lit(1)).alias("n_chunks"), F.avg("dl").alias("avgdl")
+    per_slab = blocks.filter(F.col("term") == DIRECTORY).select(
+        "domain",
+        F.size("dl").cast("long").alias("n"),
+        F.aggregate("dl", F.lit(0).cast("long"), lambda a, x: a + x).alias("length"),
+    )
+    return per_slab.groupBy("domain").agg(
+        F.sum("n").alias("n_chunks"), (F.sum("length") / F.sum("n")).alias("avgdl")
     )
 
 
-def document_frequencies(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("domain", "term").agg(F.count(F.lit(1)).alias("df"))
+def document_frequencies(blocks: DataFrame) -> DataFrame:
+    counted = blocks.filter(F.col("term") != DIRECTORY).select("domain", "term", F.size("chunks").cast("long").alias("n"))
+    return counted.groupBy("domain", "term").agg(F.sum("n").alias("df"))
 
 
 def _raw_idf() -> Column:
@@ -81,10 +188,10 @@ def term_weights(frequencies: DataFrame, corpus: DataFrame, epsilon: float) -> D
 
 def bm25_index(chunks: DataFrame, epsilon: float = BM25_EPSILON) -> Bm25Index:
     """Index of a chunk table as lazy frames."""
-    postings = count_postings(chunks)
-    frequencies = document_frequencies(postings)
-    corpus = corpus_statistics(frequencies, chunk_lengths(postings))
-    return Bm25Index(postings, term_weights(frequencies, corpus, epsilon), corpus)
+    blocks = posting_blocks(chunks)
+    frequencies = document_frequencies(blocks)
+    corpus = corpus_statistics(frequencies, chunk_lengths(blocks))
+    return Bm25Index(blocks, term_weights(frequencies, corpus, epsilon), corpus)
 
 
 def save_index(
@@ -92,28 +199,29 @@ def save_index(
 ) -> Bm25Index:
     """Write an index under ``path`` as tables ``name_*`` and return the stored form.
 
-    Text is tokenised once. Postings are bucketed by document: the document-wise
-    sums of the statistics and of every later search run without a shuffle.
+    Text is tokenised once. Blocks are partitioned by domain, so that a search reads
+    only the domains it asks for; bucketed by slab, so that it shuffles none; and sorted by
+    term inside a bucket, so that the statistics of its pages leave out other terms.
     """
     spark = chunks.sparkSession
 
     def store(df: DataFrame, part: str) -> DataFrame:
         writer = df.write.mode("overwrite").option("path", f"{path}/{part}")
-        if part == "postings":
-            writer = writer.bucketBy(buckets, "doc_id")
+        if part == "blocks":
+            writer = writer.partitionBy("domain").bucketBy(buckets, "slab").sortBy("term")
         writer.saveAsTable(f"{name}_{part}")
         return spark.table(f"{name}_{part}")
 
-    postings = store(count_postings(chunks).repartition(buckets, "doc_id"), "postings")
-    frequencies = store(document_frequencies(postings), "frequencies")
-    store(corpus_statistics(frequencies, chunk_lengths(postings)), "corpus")
+    blocks = store(posting_blocks(chunks).repartition(buckets, "slab"), "blocks")
+    frequencies = store(document_frequencies(blocks), "frequencies")
+    store(corpus_statistics(frequencies, chunk_lengths(blocks)), "corpus")
     return load_index(spark, name, epsilon)
 
 
 def load_index(spark: SparkSession, name: str, epsilon: float = BM25_EPSILON) -> Bm25Index:
     corpus = spark.table(f"{name}_corpus")
     terms = term_weights(spark.table(f"{name}_frequencies"), corpus, epsilon)
-    return Bm25Index(spark.table(f"{name}_postings"), terms, corpus)
+    return Bm25Index(spark.table(f"{name}_blocks"), terms, corpus)
 
 
 def query_weights(queries: DataFrame, index: Bm25Index) -> DataFrame:
@@ -128,11 +236,6 @@ def query_weights(queries: DataFrame, index: Bm25Index) -> DataFrame:
     )
 
 
-def _impact(k1: float, b: float) -> Column:
-    tf, dl = F.col("tf"), F.col("dl")
-    return tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / F.col("avgdl")))
-
-
 def bm25_topk(
     queries: DataFrame,
     index: Bm25Index,
@@ -140,38 +243,28 @@ def bm25_topk(
     k1: float = BM25_K1,
     b: float = BM25_B,
     broadcast_bound: int = MAX_BROADCAST_TERM_ROWS,
-    salts: int = 64,
 ) -> DataFrame:
     """Top-k chunks per (query, domain) with positive score.
 
-    ``queries`` has one row per (query_id, domain to search, normalised text).
-    Within the bound, the query terms go to every task and whole blocks of
-    chunks are scored there, so that only top-k rows are shuffled and a term
-    that occurs everywhere costs no more than its postings. Beyond the bound,
-    postings and query terms are joined with a salt per chunk.
+    ``queries`` has one row per (query_id, domain to search, normalised text). The query
+    terms are stored and counted, and go to the index in blocks within the bound, one
+    after another. Each task scores whole slabs: a query opens its terms' blocks from the
+    largest bound down, until the bounds that are left cannot lift a new chunk over the
+    query's running k-th score; later blocks are only looked up for chunks that still can
+    pass it. No posting is shuffled, only rows that may be in the top-k.
     """
-    weights = query_weights(queries, index)
-    n_queries, n_terms = extent(queries, F.size(words("text")))
-    if n_terms <= broadcast_bound and n_queries * k <= MAX_RUNNING_SCORES:
-        hits = _score_blocks(weights, index, k, k1, b)
+    weights = stage(query_weights(queries, index), "bm25-query-terms")
+    sizes = weights.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("query_id", "domain").alias("queries")).first()
+    blocks = query_blocks(sizes["rows"], sizes["queries"], k, broadcast_bound)
+    if blocks == 1:
+        hits = _search(weights, index, k, k1, b)
     else:
-        hits = _score_pairs(weights, index, k1, b, salts)
+        number = F.pmod(F.xxhash64("query_id", "domain"), F.lit(blocks))
+        parts = [stage(_search(weights.filter(number == i), index, k, k1, b), "bm25-hits") for i in range(blocks)]
+        hits = reduce(DataFrame.unionByName, parts)
     return top_k(hits, ["query_id", "domain"], [F.col("bm25_score").desc(), F.col("chunk_id")], k)
 
 
-def _score_pairs(
-    weights: DataFrame, index: Bm25Index, k1: float, b: float, salts: int
-) -> DataFrame:
-    """Scores of all (query, chunk) pairs that share a term, by joins alone."""
-    weighted = weights.join(index.corpus.select("domain", "avgdl"), "domain")
-    pairs = salted_join(index.postings, weighted, ["domain", "term"], "chunk_id", salts)
-    return (
-        pairs.groupBy("query_id", "domain", "doc_id", "chunk_id")
-        .agg(F.round(F.sum(F.col("w") * _impact(k1, b)), 6).alias("bm25_score"))
-        .filter("bm25_score > 0")
-    )
-
-
 _HITS = pa.schema(
     [
         ("query_id", pa.string()),
@@ -181,100 +274,112 @@ _HITS = pa.schema(
         ("bm25_score", pa.float64()),
     ]
 )
+_HITS_DDL = "query_id string, domain string, doc_id string, chunk_id string, bm25_score double"
 
 
 @dataclass(frozen=True)
 class _QueryTerms:
-    """Query weights of one domain, grouped by term number."""
+    """Queries of one domain: the terms of query i are those from ``starts[i]`` to ``starts[i + 1]``."""
 
     query_ids: np.ndarray
     starts: np.ndarray
-    queries: np.ndarray
+    terms: np.ndarray
     weights: np.ndarray
 
 
 def _by_domain(pdf: pd.DataFrame) -> tuple[dict[str, _QueryTerms], pd.DataFrame]:
-    """Per-domain weights, and the vocabulary that numbers their terms."""
-    blocks, vocabulary = {}, []
+    """Queries per domain, and the vocabulary that numbers their terms."""
+    queries, vocabulary = {}, []
     for domain, part in pdf.groupby("domain"):
+        part = part.sort_values(["query_id", "term"], ignore_index=True)
         term_no, terms = pd.factorize(part["term"])
         query_no, query_ids = pd.factorize(part["query_id"])
-        order = np.argsort(term_no, kind="stable")
-        starts = np.searchsorted(term_no[order], np.arange(len(terms) + 1))
-        blocks[domain] = _QueryTerms(
-            np.asarray(query_ids), starts, query_no[order], part["w"].to_numpy()[order]
-        )
-        vocabulary.append(
-            pd.DataFrame({"domain": domain, "term": terms, "term_no": np.arange(len(terms))})
-        )
-    return blocks, pd.concat(vocabulary) if vocabulary else pd.DataFrame()
+        starts = np.searchsorted(query_no, np.arange(len(query_ids) + 1))
+        queries[domain] = _QueryTerms(np.asarray(query_ids), starts, term_no, part["w"].to_numpy())
+        named = [*terms, DIRECTORY]
+        vocabulary.append(pd.DataFrame({"domain": domain, "term": named, "term_no": [*range(len(terms)), -1]}))
+    return queries, pd.concat(vocabulary) if vocabulary else pd.DataFrame()
 
 
-def _score_blocks(
-    weights: DataFrame, index: Bm25Index, k: int, k1: float, b: float
-) -> DataFrame:
+def _search(weights: DataFrame, index: Bm25Index, k: int, k1: float, b: float) -> DataFrame:
     spark = weights.sparkSession
-    blocks, vocabulary = _by_domain(weights.toPandas())  # its size was checked by the caller
-    if not blocks:
-        return spark.createDataFrame([], "query_id string, domain string, doc_id string, "
-                                         "chunk_id string, bm25_score double")
-    shared = spark.sparkContext.broadcast(blocks)
+    queries, vocabulary = _by_domain(weights.toPandas())  # its size was checked by the caller
+    if not queries:
+        return spark.createDataFrame([], _HITS_DDL)
+    shared = spark.sparkContext.broadcast(queries)
     numbered = spark.createDataFrame(vocabulary, "domain string, term string, term_no int")
-    local_terms = numbered.join(index.corpus.select("domain", "avgdl"), "domain")
-    chunk = ["domain", "doc_id", "chunk_id"]
-    rows = (
-        index.postings.join(F.broadcast(local_terms), ["domain", "term"])
-        .groupBy(*chunk)
-        .agg(F.collect_list(F.struct("term_no", _impact(k1, b).alias("impact"))).alias("terms"))
+    numbered = numbered.join(index.corpus.select("domain", "avgdl"), "domain")
+    # The domains and the range of terms are known here: directories and pages of others are not read.
+    asked = (F.col("term") == DIRECTORY) | F.col("term").between(
+        min(t for t in vocabulary["term"] if t != DIRECTORY), max(vocabulary["term"])
     )
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, RunningTopK] = {}
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            domains = table.column("domain").to_numpy()
-            for domain in np.unique(domains):
-                terms = shared.value[domain]
-                n = len(terms.query_ids)
-                running = seen.setdefault(domain, RunningTopK(n, k))
-                mine = np.flatnonzero(domains == domain)
-                for at in range(0, len(mine), block_rows(n)):
-                    part = table.take(pa.array(mine[at : at + block_rows(n)]))
-                    yield _block_hits(part, terms, running, domain)
-
-    return rows.mapInArrow(score, "query_id string, domain string, doc_id string, "
-                                  "chunk_id string, bm25_score double")
-
-
-def _block_hits(
-    part: pa.Table, terms: _QueryTerms, running: RunningTopK, domain: str
-) -> pa.RecordBatch:
-    """Scores of one block of chunks: an outer product per shared term."""
-    lists = part.column("terms").combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    flat = lists.flatten()
-    chunk_no = np.repeat(np.arange(len(sizes)), sizes)
-    term_no = flat.field("term_no").to_numpy()
-    impact = flat.field("impact").to_numpy()
-    order = np.argsort(term_no, kind="stable")
-    chunk_no, term_no, impact = chunk_no[order], term_no[order], impact[order]
-    cuts = np.flatnonzero(np.diff(term_no, prepend=-1))
-    scores = np.zeros((len(terms.query_ids), len(sizes)))
-    for lo, hi in zip(cuts, np.append(cuts[1:], len(term_no))):
-        t = term_no[lo]
-        q = slice(terms.starts[t], terms.starts[t + 1])
-        scores[np.ix_(terms.queries[q], chunk_no[lo:hi])] += np.outer(
-            terms.weights[q], impact[lo:hi]
-        )
-    scores = round_half_away(scores)
-    rows, cols = running.select(np.where(scores > 0, scores, -np.inf))
-    return pa.RecordBatch.from_arrays(
+    rows = index.blocks.filter(F.col("domain").isin(list(queries)) & asked).join(F.broadcast(numbered), ["domain", "term"])
+    running: dict[str, np.ndarray] = {}
+
+    def search(slab: pa.Table) -> pa.Table:
+        domain = slab.column("domain")[0].as_py()
+        own = shared.value[domain]
+        best = running.setdefault(domain, np.full((len(own.query_ids), k), -np.inf))
+        return _slab_hits(slab.combine_chunks(), domain, own, best, k1, b)
+
+    return rows.groupBy("domain", "slab").applyInArrow(search, _HITS_DDL)
+
+
+def _slab_hits(slab: pa.Table, domain: str, queries: _QueryTerms, best: np.ndarray, k1: float, b: float) -> pa.Table:
+    """Hits in one slab that may be among the k best of a query; ``best`` holds the k best scores so far."""
+    numbers = slab.column("term_no").to_numpy()
+    listed = int(np.flatnonzero(numbers == -1)[0])
+    lengths = slab.column("dl")[listed].values.to_numpy()
+    avgdl = slab.column("avgdl")[0].as_py()
+
+    def impact(tf: np.ndarray, dl: np.ndarray) -> np.ndarray:
+        return tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
+
+    chunk_lists = slab.column("chunks").chunk(0)
+    offsets = chunk_lists.offsets.to_numpy()
+    chunk = chunk_lists.values.to_numpy()
+    impacts = impact(slab.column("tf").chunk(0).values.to_numpy().astype(np.float64), lengths[chunk])
+    most = impact(slab.column("max_tf").to_numpy().astype(np.float64), slab.column("min_dl").to_numpy())
+    row_of = np.full(int(queries.terms.max()) + 1, -1)
+    row_of[numbers[numbers >= 0]] = np.flatnonzero(numbers >= 0)
+    total = np.zeros(len(lengths))
+    found: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for q in range(len(queries.query_ids)):
+        own = slice(queries.starts[q], queries.starts[q + 1])
+        rows, weights = row_of[queries.terms[own]], queries.weights[own]
+        rows, weights = rows[rows >= 0], weights[rows >= 0]
+        bounds = np.maximum(weights * most[rows], 0.0)
+        order = np.argsort(-bounds, kind="stable")
+        left = np.append(np.cumsum(bounds[order][::-1])[::-1], 0.0)  # what blocks from here on can still add
+        least = best[q].min() - 1e-6
+        if left[0] <= 0 or left[0] < least:
+            continue
+        opened = int(np.searchsorted(-left[:-1], -least, side="right")) if least > 0 else len(order)
+        blocks = [(slice(offsets[rows[i]], offsets[rows[i] + 1]), weights[i]) for i in order]
+        for block, weight in blocks[:opened]:
+            total[chunk[block]] += weight * impacts[block]
+        touched = np.unique(np.concatenate([chunk[block] for block, _ in blocks[:opened]])) if opened else chunk[:0]
+        scores = total[touched]
+        total[touched] = 0.0
+        for i, (block, weight) in enumerate(blocks[opened:], opened):
+            able = scores + left[i] >= least
+            touched, scores = touched[able], scores[able]
+            place = np.minimum(np.searchsorted(chunk[block], touched), block.stop - block.start - 1)
+            scores += np.where(chunk[block][place] == touched, weight * impacts[block][place], 0.0)
+        scores = round_half_away(scores)
+        touched, scores = kept_scores(best[q], touched, np.where(scores > 0, scores, -np.inf))
+        if len(touched):
+            found.append((q, touched, scores))
+    sizes = [len(x[1]) for x in found]
+    at = pa.array(np.concatenate([x[1] for x in found]) if found else np.empty(0, np.int32))
+    names = queries.query_ids[np.repeat([x[0] for x in found], sizes).astype(np.int64)]
+    return pa.Table.from_arrays(
         [
-            pa.array(terms.query_ids[rows], pa.string()),
-            pa.array([domain] * len(rows), pa.string()),
-            part.column("doc_id").combine_chunks().take(pa.array(cols)),
-            part.column("chunk_id").combine_chunks().take(pa.array(cols)),
-            pa.array(scores[rows, cols]),
+            pa.array(names, pa.string()),
+            pa.array([domain] * len(at), pa.string()),
+            slab.column("doc_ids")[listed].values.take(at),
+            slab.column("chunk_ids")[listed].values.take(at),
+            pa.array(np.concatenate([x[2] for x in found]) if found else np.empty(0)),
         ],
         schema=_HITS,
     )

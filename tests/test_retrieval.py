@@ -4,6 +4,8 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,23 +54,78 @@ def small(spark):
     )
 
 
-@pytest.mark.parametrize("bound", [10**6, 0])
-def test_bm25_equals_brute_force_on_both_paths(small, bound):
+@pytest.mark.parametrize("bound", [10**6, 10])
+@pytest.mark.parametrize("slab", [16_384, 7])
+def test_bm25_equals_brute_force_in_blocks_of_any_size(small, bound, slab):
     chunks, queries, c, q = small
-    got = lexical.bm25_topk(q, lexical.bm25_index(c), 7, broadcast_bound=bound, salts=5)
+    blocks = lexical.posting_blocks(c, slab)
+    frequencies = lexical.document_frequencies(blocks)
+    corpus = lexical.corpus_statistics(frequencies, lexical.chunk_lengths(blocks))
+    index = lexical.Bm25Index(blocks, lexical.term_weights(frequencies, corpus, 0.25), corpus)
+    got = lexical.bm25_topk(q, index, 7, broadcast_bound=bound)
     rows = sorted((r.query_id, r.domain, r.chunk_id, r.bm25_score, r["rank"]) for r in got.collect())
     assert [(r[0], r[1], r[2], r[4]) for r in rows] == [(r[0], r[1], r[2], r[4]) for r in brute_bm25(chunks, queries, 7)]
     assert np.allclose([r[3] for r in rows], [r[3] for r in brute_bm25(chunks, queries, 7)])
 
 
-def test_stored_index_equals_lazy_one_and_needs_no_shuffle(small, spark, tmp_path):
+def test_bm25_of_queries_without_a_known_term(small, spark):
+    _, _, c, _ = small
+    unknown = spark.createDataFrame([("q", "d0", "unseen"), ("p", "nowhere", "the")], "query_id string, domain string, text string")
+    assert lexical.bm25_topk(unknown, lexical.bm25_index(c)).count() == 0
+    assert lexical.bm25_topk(unknown.limit(0), lexical.bm25_index(c)).count() == 0
+
+
+def test_postings_of_blocks_are_term_counts(small):
+    chunks, _, c, _ = small
+    want = Counter()
+    for domain, doc, chunk, title, text in chunks:
+        tokens = (title + " " + text if title else text).lower().split()
+        want.update({(domain, doc, chunk, len(tokens), t, n) for t, n in Counter(tokens).items()})
+    assert Counter(map(tuple, lexical.bm25_index(c).postings.collect())) == want
+
+
+def test_bounds_leave_out_no_hit():
+    """Scores of one slab, query after query, against all scores."""
+    rng = np.random.default_rng(4)
+    vocab = [f"t{i}" for i in range(30)]
+    texts = [list(rng.choice(vocab, rng.integers(3, 60), p=np.arange(30, 0, -1) / 465)) for _ in range(300)]
+    weights = {t: w for t, w in zip(vocab, [-0.3, 0.0, 0.01, 0.02, *rng.uniform(0.05, 6, 26)], strict=True)}
+    asked = [(q, list(rng.choice(vocab, 6, replace=False))) for q in range(40)]
+    pdf = pd.DataFrame([(f"q{q:02d}", "d", t, weights[t]) for q, ts in asked for t in ts], columns=["query_id", "domain", "term", "w"])
+    queries, vocabulary = lexical._by_domain(pdf)
+    number = dict(zip(vocabulary["term"], vocabulary["term_no"], strict=True))
+    best, hits = np.full((40, 5), -np.inf), set()
+    for first in range(0, 300, 60):
+        slab = lexical._Slab()
+        for i in range(first, first + 60):
+            slab.add(f"d{i}", f"c{i}", texts[i])
+        table = pa.Table.from_batches([slab.rows("d", 1)])
+        table = table.take([i for i, t in enumerate(table.column("term").to_pylist()) if t in number])
+        table = table.append_column("term_no", pa.array([number[t] for t in table.column("term").to_pylist()], pa.int32()))
+        table = table.append_column("avgdl", pa.array([30.0] * len(table))).combine_chunks()
+        found = lexical._slab_hits(table, "d", queries["d"], best, 1.5, 0.75)
+        hits |= {(r["query_id"], r["chunk_id"], round(r["bm25_score"], 6)) for r in found.to_pylist()}
+    assert len(hits) < 40 * 150
+    for q, ts in asked:
+        scores = []
+        for i, t in enumerate(texts):
+            s = sum(weights[x] * t.count(x) * 2.5 / (t.count(x) + 1.5 * (0.25 + 0.75 * len(t) / 30)) for x in ts)
+            scores.append((-round(s, 6), f"c{i}"))
+        fifth = sorted(scores)[4][0]
+        assert {(f"q{q:02d}", c, -s) for s, c in scores if s <= fifth and s < 0} <= hits
+
+
+def test_stored_index_is_pruned_and_not_shuffled(small, spark, tmp_path):
     _, _, c, q = small
     stored = lexical.save_index(c, "t_idx", str(tmp_path / "idx"), 4)
     rows = lambda ix: sorted(map(tuple, lexical.bm25_topk(q, ix, 5).collect()))
     assert rows(stored) == rows(lexical.bm25_index(c))
-    per_chunk = stored.postings.groupBy("domain", "doc_id", "chunk_id").count()
-    assert "Exchange" not in per_chunk._jdf.queryExecution().executedPlan().toString()
-    for part in ("postings", "frequencies", "corpus"):
+    one = q.filter("domain = 'd1'")
+    hits = lexical._search(lexical.query_weights(one, stored), stored, 5, 1.5, 0.75)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    assert "PartitionFilters: [isnotnull(domain" in plan.replace("domain IN", "isnotnull(domain") and "GreaterThanOrEqual(term" in plan
+    for part in ("blocks", "frequencies", "corpus"):
         spark.sql(f"drop table t_idx_{part}")
 
 
