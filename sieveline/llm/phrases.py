@@ -19,7 +19,9 @@ MOST_WORDS = 5
 #: Bits of the map of frequent pairs: 8 MB at any size of the corpus.
 MAP_BITS = 1 << 26
 #: Words that a task looks at before it hands on what it counted, and suffixes that one task sorts.
-CHUNK_WORDS, TASK_SUFFIXES = 2_000_000, 2_000_000
+CHUNK_WORDS, TASK_SUFFIXES = 1_000_000, 1_000_000
+#: Rows of an Arrow batch that goes back to Spark.
+BATCH_ROWS = 1 << 17
 #: Candidates of a language that one task sorts.
 SHARE_ROWS = 1_000_000
 
@@ -78,19 +80,26 @@ def _pairs(words: np.ndarray) -> np.ndarray:
     return np.append(keys, np.uint64(0))
 
 
+def _slices(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays(columns, names)
+    for at in range(0, len(whole), BATCH_ROWS):
+        yield whole.slice(at, BATCH_ROWS)
+
+
 def _count_leading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words and of pairs of neighbours; only words carry their language and spelling."""
+    fields = ["key", "n", "lang", "word"]
     for words, names in _chunks(batches):
-        spelled = {name: (lang, word.decode()) for lang, known in names.items() for word, name in known.items()}
         used, n = np.unique(words[words != 0], return_counts=True)
-        langs, spellings = zip(*map(spelled.__getitem__, used.tolist()), strict=True) if len(used) else ((), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.view(np.int64)), pa.array(n), pa.array(langs, pa.string()), pa.array(spellings, pa.string())], ["key", "n", "lang", "word"]
-        )
+        for lang, known in names.items():
+            keys = np.fromiter(known.values(), np.uint64, len(known))
+            spelled = pa.array(known, pa.binary()).cast(pa.string())
+            counts = n[np.searchsorted(used, keys)] if len(keys) else n[:0]
+            yield from _slices([pa.array(keys.view(np.int64)), pa.array(counts), pa.array([lang] * len(keys), pa.string()), spelled], fields)
         keys = _pairs(words)
         used, n = np.unique(keys[keys != 0], return_counts=True)
         nothing = pa.nulls(len(used), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(used.view(np.int64)), pa.array(n), nothing, nothing], ["key", "n", "lang", "word"])
+        yield from _slices([pa.array(used.view(np.int64)), pa.array(n), nothing, nothing], fields)
 
 
 def _folded(rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,11 +177,11 @@ def _mine(least: int):
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts of one range of suffixes. What begins its first or last row may go on in the
         next range: that is counted in any case, and summed later."""
-        tables = [np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1) for b in batches]
-        if not sum(map(len, tables)):
+        tables = [_folded(np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns[:-1]], axis=1), b.columns[-1].to_numpy()) for b in batches]
+        if not sum(len(t[0]) for t in tables):
             return
-        table = np.concatenate(tables)
-        rows, weight = _folded(table[:, :-1], table[:, -1])
+        rows, weight = _folded(np.concatenate([t[0] for t in tables]), np.concatenate([t[1] for t in tables]))
+        del tables
         found, counts = frequent_prefixes(rows, weight, least)
         sides = [_at_border(rows, weight, rows[i]) for i in (0, -1)]
         phrases = np.concatenate([found, *(s[0] for s in sides)])
@@ -208,8 +217,8 @@ def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     spark = texts.sparkSession
     leading = stage(
         texts.mapInArrow(_count_leading, "key long, n long, lang string, word string")
-        .groupBy("key")
-        .agg(F.sum("n").alias("n"), F.max("lang").alias("lang"), F.max("word").alias("word"))
+        .groupBy("key", "lang", "word")
+        .agg(F.sum("n").alias("n"))
         .where(F.col("word").isNotNull() | (F.col("n") >= least)),
         "phrase-leads",
     )
@@ -222,7 +231,7 @@ def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
             slot = keys % np.uint64(MAP_BITS)
             frequent = (known.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
             rows, n = suffixes(names, (frequent == 1) & (keys != 0))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T] + [pa.array(n)], [*_DEPTHS, "n"])
+            yield from _slices([pa.array(c) for c in rows.T] + [pa.array(n)], [*_DEPTHS, "n"])
 
     ddl = ", ".join(f"{k} long" for k in [*_DEPTHS, "n"])
     leads = stage(texts.mapInArrow(cut, ddl), "phrase-suffixes")
