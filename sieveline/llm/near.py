@@ -12,14 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import pieces
-from sieveline.sources.writers import stage
+from sieveline.sources.writers import scratch, stage
 
 SHINGLE_WORDS = 5
 #: 24 bands of 4: a pair at similarity 0.8 shares none with a chance of 3 in a million.
 BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
-#: Each band is paired with this many bands after it in the second deal.
-REACH = 3
 #: Longs of the bit sets that are compared before texts are.
 WORDS = 8
 
@@ -225,25 +223,36 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     counts. Documents with equal texts are one class at once; of each text one
     document goes on. Documents that share a band are a bucket, and its smallest doc_id
     meets all others: a pair per member, whatever the bucket's size. A bucket whose
-    members are then one class is done. The members of the others are dealt again by
-    pairs of bands, which unlike documents hardly share, and the smallest and the
-    largest doc_id of each finer bucket meet the members of other classes. Members of
-    buckets that then still hold several classes meet in ``alike_candidates``, which
-    leaves out only pairs below ``threshold``: every pair that shares a band is decided.
+    members are then one class is done. Members of buckets that still hold several classes
+    meet in ``alike_candidates``, which leaves out only pairs below ``threshold``: every
+    pair that shares a band is decided.
 
     ``docs`` needs doc_id and text; other columns are ignored. Rows of one doc_id are one
     document. Null and empty texts, and texts of white space, equal only
-    themselves. Rows with a null doc_id are not compared; their class is null. Empty
-    tables give no rows.
+    themselves. Rows with a null doc_id are not compared; their class is null. Texts of any
+    length are compared whole. Empty tables give no rows.
 
     Returns doc_id, class_id (the smallest doc_id of the class), class_size, per row.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = base.where("doc_id IS NOT NULL").select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text")
+    with scratch(docs.sparkSession) as keep:
+        classes = keep(_classes(docs, threshold), "near-classes")
+    sizes = classes.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")).where("class_size > 1")
+    named = classes.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(named, "doc_id", "left").select(
+        "doc_id",
+        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_size", F.lit(1).cast("long"))).alias("class_size"),
+    )
+
+
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """doc_id, class_id: one row per document."""
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("digest"), text.alias("text")
+    )
     signed = stage(texts.mapInArrow(_band_rows, "doc_id long, digest string, bands array<long>"), "near-bands")
     owners = stage(signed.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min_by("bands", "doc_id").alias("bands")), "near-texts")
-    copies = signed.select("doc_id", "digest").join(owners.select("digest", "first"), "digest").where("doc_id <> first")
-    links = [stage(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), "near-copies")]
 
     rows = owners.select(F.explode("bands").alias("key"), F.col("first").alias("node"))
     buckets = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
@@ -258,71 +267,54 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         return stage(with_texts.select("a", "b", "text_a", "text_b").mapInArrow(_verify(threshold), "a long, b long").distinct(), "near-links")
 
     tested = stage(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
-    links.append(verified(tested))
-    roots = components(links[0].unionByName(links[1]))
-    placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    left = placed.join(mixed.select("key"), "key").select("node", "root").distinct()
-    # Documents of a bucket with several classes are dealt again, by pairs of bands: eight equal samples.
-    pairs_of_bands = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(BANDS - 1)),
-            lambda i: F.transform(
-                F.array(*(F.lit(d) for d in range(1, REACH + 1))),
-                lambda d: F.xxhash64(i, d, F.get("bands", i), F.get("bands", F.pmod(i + d, F.lit(BANDS)))),
-            ),
-        )
-    )
-    finer = stage(
-        owners.join(left, F.col("first") == F.col("node")).select("node", "root", F.explode(pairs_of_bands).alias("key")),
-        "near-finer",
-    )
-    ends = (
-        finer.groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("node", "root")).alias("x"), F.max(F.struct("node", "root")).alias("y"))
-        .where("low < high")
-        .select("key", F.explode(F.array("x", "y")).alias("hub"))
-    )
-    again = stage(
-        finer.join(ends, "key")
-        .where(F.col("root") != F.col("hub.root"))
-        .select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b"))
-        .distinct()
-        .join(tested, ["a", "b"], "left_anti"),
-        "near-again",
-    )
-    second = verified(again)
-    links.append(second)
-    roots = components(links[0].unionByName(links[1]).unionByName(second))
+    links = verified(tested)
+    # A document with several texts links their classes; this is rare.
+    several = signed.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high").select("doc_id")
+    texts_of = stage(signed.select("doc_id", "digest").join(several, "doc_id").distinct().join(owners.select("digest", "first"), "digest"), "near-several")
+    if not texts_of.isEmpty():
+        least = texts_of.groupBy("doc_id").agg(F.min("first").alias("a"))
+        links = links.unionByName(texts_of.join(least, "doc_id").where("a < first").select("a", F.col("first").alias("b")).distinct())
+    roots = components(links)
     # Members of buckets that still hold several classes: what no hub met goes to the exact join.
     placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    rest = stage(placed.join(mixed.select("key"), "key").select("node", "root").distinct(), "near-rest")
-    elements = texts.join(rest, F.col("doc_id") == F.col("node")).select("node", "root", "text").mapInArrow(
+    rest = placed.join(mixed.select("key"), "key").select("node", "root").distinct()
+    elements = compared.join(rest, F.col("doc_id") == F.col("node")).select("node", "root", "text").mapInArrow(
         _element_rows, "node long, root long, element long, mass double"
     )
-    met = stage(alike_candidates(elements, threshold).join(tested.unionByName(again), ["a", "b"], "left_anti"), "near-met")
-    links.append(verified(met))
+    met = stage(alike_candidates(stage(elements, "near-elements"), threshold).join(tested, ["a", "b"], "left_anti"), "near-met")
     if not met.isEmpty():
-        roots = components(links[0].unionByName(links[1]).unionByName(links[2]).unionByName(links[3]))
-    classes = stage(roots, "near-classes")
-    sizes = classes.groupBy("root").agg(F.count(F.lit(1)).alias("class_size"))
-    named = classes.join(sizes, "root").select(F.col("node").alias("doc_id"), F.col("root").alias("class_id"), "class_size")
-    return base.select("doc_id").join(named, "doc_id", "left").select(
-        "doc_id",
-        F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_size", F.lit(1).cast("long"))).alias("class_size"),
-    )
+        # Only new links between the classes found so far are searched.
+        found = verified(met)
+        for side in ("a", "b"):
+            named = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+            found = found.join(named, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+        found = stage(found.where("root_a <> root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "near-joined")
+        if not found.isEmpty():
+            higher = components(found)
+            above = higher.select(F.col("node").alias("root"), F.col("root").alias("top"))
+            lifted = roots.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+            alone = higher.join(roots, "node", "left_anti")
+            roots = stage(lifted.unionByName(alone), "near-roots")
+    of_text = owners.join(roots, F.col("first") == F.col("node"), "left").select("digest", F.coalesce("root", "first").alias("class_id"))
+    return signed.select("doc_id", "digest").join(of_text, "digest").select("doc_id", "class_id").distinct()
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``docs`` with one document of each class: that with the smallest doc_id.
 
-    Any columns. Rows without a doc_id stay; of several rows of that doc_id one stays.
+    Any columns. Rows without a doc_id stay; of several rows of that doc_id the one with the smallest
+    text digest stays, of equal texts the smallest row.
     """
-    dropped = near_duplicates(docs, threshold).where("class_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    with scratch(docs.sparkSession) as keep:
+        dropped = keep(_classes(docs, threshold).where("class_id <> doc_id").select(F.col("doc_id").alias("_gone")), "near-gone")
     kept = docs.join(dropped, F.col("doc_id") == F.col("_gone"), "left_anti")
-    if kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+    repeated = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
+    with scratch(docs.sparkSession) as keep:
+        repeated = keep(repeated, "near-repeated")
+    if repeated.isEmpty():
         return kept
-    single = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return single.unionByName(kept.where("doc_id IS NULL"))
+    again = F.col("doc_id") == F.col("_id")
+    order = F.struct(F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("a"), F.to_json(F.struct(*kept.columns)).alias("b"))
+    one = kept.join(repeated, again, "left_semi").groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(F.struct(*kept.columns), order).alias("_row"))
+    return kept.join(repeated, again, "left_anti").unionByName(one.select("_row.*"))
