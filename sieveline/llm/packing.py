@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from functools import partial
 from zlib import crc32
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from sieveline.llm.common import pieces
-from sieveline.llm.tokens import encoding
+from sieveline.llm.tokens import encoding, whole_text_encoder
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
@@ -134,7 +133,8 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, group_tokens:
 
     ``docs`` needs doc_id and text; other columns are ignored. A null or empty text
     is a document of the closing id only. Null and repeated doc_ids are
-    documents of their own. Empty tables give no rows.
+    documents of their own. Texts of any length are encoded whole, white space of any
+    length included. Empty tables give no rows.
 
     Returns per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, tier (of the document), step_group.
@@ -142,7 +142,7 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, group_tokens:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, first = encoding(ranks_path, pattern, added), TaskContext.get().partitionId() << 33
-        encode = partial(coder.encode, allowed_special="all") if added else coder.encode_ordinary
+        encode = whole_text_encoder(coder, bool(added))
         made = {"sequences": first, "steps": first}
         names: list = []
         ids: list[np.ndarray] = []
