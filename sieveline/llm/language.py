@@ -17,21 +17,27 @@ DIMENSIONS = 512
 CLASSES = 128
 GRAMS = CLASSES**3
 UNKNOWN = "und"
-#: Most languages that are learned, by number of documents: the bound of what is broadcast.
-MAX_LANGUAGES = 1000
+#: Bound of what is broadcast, 2 kB per language; more distinct labels than that are an error, none is dropped.
+MAX_LANGUAGES = 100_000
+#: About as many labelled rows, chosen by the hash of their ids, set the least cosine of each language and length.
+CALIBRATION_ROWS = 20_000
+#: Fewer labelled rows of a language and length set none.
+LEAST_ROWS = 20
 
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
+def _class_of(cp: int) -> int:
+    if not (c := chr(cp)).isalpha():
+        return 0
+    low = ord(c.lower()[0])
+    return low - 96 if 97 <= low <= 122 else 27 + (low * 2654435761 >> 7) % (CLASSES - 27)
+
+
 @cache
 def _classes() -> np.ndarray:
     """Class of every code point below 0x30000; what is no letter is a gap."""
-    table = np.zeros(0x30000, np.int16)
-    for cp in range(len(table)):
-        if (c := chr(cp)).isalpha():
-            low = ord(c.lower()[0])
-            table[cp] = low - 96 if 97 <= low <= 122 else 27 + (low * 2654435761 >> 7) % (CLASSES - 27)
-    return table
+    return np.fromiter((0 if 0xD800 <= cp < 0xE000 else _class_of(cp) for cp in range(0x30000)), np.int16, 0x30000)
 
 
 @cache
@@ -52,6 +58,8 @@ def trigrams(text: str) -> np.ndarray:
     cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     known = _classes()
     ids = known[np.minimum(cps, len(known) - 1)].astype(np.int64)
+    for cp in np.unique(cps[cps >= len(known)]).tolist():
+        ids[cps == cp] = _class_of(cp)
     ids = np.concatenate([[0], ids, [0]])
     ids = ids[np.concatenate([[True], (ids[1:] > 0) | (ids[:-1] > 0)])]
     return (ids[:-2] * CLASSES + ids[1:-1]) * CLASSES + ids[2:]
@@ -100,7 +108,7 @@ def train_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
     """One bundle per language over all trigrams of its documents.
 
     Tasks count the trigrams of each language and bundle them once; the driver
-    receives the most frequent ``MAX_LANGUAGES`` languages' vectors only.
+    receives one vector per language.
     """
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,27 +140,29 @@ def train_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
         .agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
         .groupBy("lang", "n")
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("vector"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(MAX_LANGUAGES)
+        .limit(MAX_LANGUAGES + 1)
     )
-    return {r["lang"]: np.array(r["vector"]) for r in summed.collect()}
+    found = {r["lang"]: np.array(r["vector"], np.float32) for r in summed.collect()}
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} distinct languages")
+    return found
 
 
 def _predictor(prototypes: dict[str, np.ndarray]):
-    """Function of a text that gives (language, cosine)."""
+    """Function of a text that gives (language, cosine, length class: the bits of its number of distinct trigrams)."""
     names = sorted(prototypes)
     matrix = np.array([prototypes[n] for n in names], np.float64).reshape(len(names), DIMENSIONS)
     matrix = (matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     cache_ = Cache()
 
-    def predict(text: str | None) -> tuple[str, float]:
+    def predict(text: str | None) -> tuple[str, float, int]:
         grams, counts = counted(text) if text else (np.empty(0, np.int64), None)
         if not names or not len(grams) or not grams.any():
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         vector = cache_.bundle(grams, counts)
         cosines = matrix @ vector / max(float(np.linalg.norm(vector)), 1e-12)
         best = int(np.argmax(cosines))
-        return names[best], float(min(1.0, max(0.0, cosines[best])))
+        return names[best], float(min(1.0, max(0.0, cosines[best]))), len(grams).bit_length()
 
     return predict
 
@@ -191,17 +201,57 @@ def identify_language(docs: DataFrame, folds: int = 5) -> DataFrame:
     return rows.select("doc_id", held_out(folds).alias("held_out"), "text").mapInArrow(predict, PREDICTED)
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """``docs`` without the rows whose text has no language or scores below ``min_score``.
+def least_cosines(docs: DataFrame, prototypes: dict[str, np.ndarray], rows: int = CALIBRATION_ROWS) -> dict[tuple[str, int], float]:
+    """Per language and length class, the least cosine of texts that belong to the language.
+
+    About ``rows`` labelled documents, chosen by hash, are scored against the prototype of
+    their own label. The least cosine is the lower outer fence: the first quartile less three
+    times the range between the quartiles, so a quarter of the labels may be wrong or stand at noise.
+    Texts of more distinct trigrams have cosines that vary less; hence the length classes.
+    """
+    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL")
+    share = min(1.0, rows / max(labelled.count(), 1))
+    chosen = labelled.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share * 1_000_000).select("text", "lang")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = {lang: _predictor({lang: vector}) for lang, vector in prototypes.items()} if len(prototypes) <= 16 else {}
+        for batch in pieces(batches):
+            texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
+            found = [(own.get(lang) or _predictor({k: v for k, v in prototypes.items() if k == lang}))(text) for text, lang in zip(texts, langs, strict=True)]
+            columns = [batch.column("lang"), pa.array([x[2] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "bits", "cosine"])
+
+    quartiles = (
+        chosen.mapInArrow(score, "lang string, bits int, cosine double")
+        .where("bits > 0")
+        .groupBy("lang", "bits")
+        .agg(F.percentile_approx("cosine", [0.25, 0.75], 10_000).alias("q"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= LEAST_ROWS)
+    )
+    return {(r["lang"], r["bits"]): r["q"][0] - 3 * (r["q"][1] - r["q"][0]) for r in quartiles.collect()}
+
+
+def keep_identified(docs: DataFrame, rows: int = CALIBRATION_ROWS) -> DataFrame:
+    """``docs`` without the rows whose text is in none of the learned languages.
 
-    Any columns; the prediction stays in the task that reads the row.
+    A text goes if it has no letter, or if its cosine with the best prototype is below the least
+    cosine of that language at its length (``least_cosines``): noise, and languages that
+    were not learned. Lengths without enough labelled rows take the cutoff of the next shorter
+    length that has one. Any columns; the prediction stays in the task that reads the row.
     """
-    prototypes = train_prototypes(docs.select("doc_id", "text", "lang").where(~held_out()))
+    labelled = docs.select("doc_id", "text", "lang")
+    prototypes = train_prototypes(labelled.where(~held_out()))
+    least = least_cosines(labelled.where(~held_out()), prototypes, rows)
+    cutoffs = {}
+    for lang in prototypes:
+        last = 0.0
+        for bits in range(64):
+            last = cutoffs[lang, bits] = least.get((lang, bits), last)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = _predictor(prototypes)
         for batch in pieces(batches):
             found = [of(text) for text in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in found], pa.bool_()))
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= cutoffs[lang, bits] for lang, score, bits in found], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
