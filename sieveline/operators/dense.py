@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.config import (
     BASE_SEED,
     MAX_BROADCAST_VECTOR_CELLS,
-    MAX_RUNNING_SCORES,
     TOPK_DENSE,
 )
 from sieveline.functions.vectors import dot, l2_normalize
-from sieveline.operators.blocks import RunningTopK, block_rows, round_half_away
+from sieveline.operators.blocks import MAX_BLOCK_CELLS, RunningTopK, block_rows, query_blocks, round_half_away
 from sieveline.operators.broadcasting import extent
 from sieveline.operators.ranking import top_k
+from sieveline.sources.writers import stage
 
 _HIT_SCHEMA = "query_id string, domain string, doc_id string, chunk_id string, score double"
 
@@ -70,119 +71,216 @@ def _block_hits(
     )
 
 
-def _topk_by_cell(
-    queries: DataFrame, vectors: DataFrame, cell: list[str], k: int, bound: int
+def dense_topk(
+    queries: DataFrame,
+    vectors: DataFrame,
+    k: int = TOPK_DENSE,
+    broadcast_bound: int = MAX_BROADCAST_VECTOR_CELLS,
 ) -> DataFrame:
-    """Top-k per (query, domain) among vectors that share the query's ``cell`` key.
+    """Exact inner-product top-k per (query, domain).
 
-    ``cell`` starts with ``domain``, so the domain is constant inside a cell.
+    ``queries``: query_id, domain to search, embedding. ``vectors``: chunk_id,
+    doc_id, domain, embedding. The vectors stay where they are: queries are stored and counted, and
+    blocks of them within the bound visit the vectors one after another. Each Arrow
+    batch of vectors meets the queries of its domain in one matrix product, and only rows that may be
+    among the k best leave the task.
     """
-    q = queries.select("query_id", *cell, "embedding")
-    v = vectors.select("chunk_id", "doc_id", *cell, "embedding")
-    n_queries, cells = extent(q, F.size("embedding"))
-    if cells <= bound and n_queries * k <= MAX_RUNNING_SCORES:
-        hits = _against_broadcast(q, v, cell, k)
-    else:
-        hits = _block_by_block(
-            q,
-            v,
-            cell,
-            k,
-            query_blocks=max(-(-cells * 4 // bound), -(-n_queries * k // MAX_RUNNING_SCORES)),
-            vector_blocks=max(1, -(-extent(v, F.size("embedding"))[1] * 4 // bound)),
-        )
+    hits = _visit(queries, k, broadcast_bound, lambda block: _against_broadcast(block, vectors, k))
     return top_k(hits, ["query_id", "domain"], [F.col("score").desc(), F.col("chunk_id")], k)
 
 
-def _against_broadcast(q: DataFrame, v: DataFrame, cell: list[str], k: int) -> DataFrame:
+def _visit(queries: DataFrame, k: int, bound: int, search: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Hits of all queries, of which bounded blocks are searched one after another."""
+    q = stage(queries.select("query_id", "domain", "embedding"), "dense-queries")
+    n, cells = extent(q, F.size("embedding"))
+    blocks = query_blocks(cells, n, k, bound)
+    if blocks == 1:
+        return search(q)
+    number = F.pmod(F.xxhash64("query_id", "domain"), F.lit(blocks))
+    return reduce(DataFrame.unionByName, [stage(search(q.filter(number == i)), "dense-hits") for i in range(blocks)])
+
+
+def _against_broadcast(q: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     pdf = q.toPandas()  # its size was checked by the caller
-    blocks = {
-        key: (part["query_id"].to_numpy(), _matrix(part["embedding"]))
-        for key, part in pdf.groupby(cell)
-    }
+    blocks = {d: (part["query_id"].to_numpy(), _matrix(part["embedding"])) for d, part in pdf.groupby("domain")}
     shared = q.sparkSession.sparkContext.broadcast(blocks)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[tuple, RunningTopK] = {}
+        seen: dict[str, RunningTopK] = {}
         for batch in batches:
-            for key, part in batch.groupby(cell):
-                if key not in shared.value:
-                    continue
-                ids, matrix = shared.value[key]
-                running = seen.setdefault(key, RunningTopK(len(ids), k))
+            for domain, part in batch.groupby("domain"):
+                ids, matrix = shared.value[domain]
+                running = seen.setdefault(domain, RunningTopK(len(ids), k))
                 step = block_rows(len(ids))
                 for at in range(0, len(part), step):
                     yield _block_hits(ids, matrix, part.iloc[at : at + step], running)
 
-    return v.mapInPandas(score, _HIT_SCHEMA)
+    asked = vectors.filter(F.col("domain").isin(list(blocks)) & F.col("embedding").isNotNull())
+    return asked.select("chunk_id", "doc_id", "domain", "embedding").mapInPandas(score, _HIT_SCHEMA)
 
 
-def _block_by_block(
-    q: DataFrame, v: DataFrame, cell: list[str], k: int, query_blocks: int, vector_blocks: int
-) -> DataFrame:
-    """Blocks of queries meet blocks of vectors by key; both sizes are bounded."""
-    left = q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))).withColumn(
-        "vb", F.explode(F.sequence(F.lit(0), F.lit(vector_blocks - 1)).cast("array<bigint>"))
-    )
-    right = v.withColumn("vb", F.pmod(F.xxhash64("chunk_id"), F.lit(vector_blocks))).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<bigint>"))
-    )
+@dataclass(frozen=True)
+class IvfIndex:
+    """Inverted cells of vectors with product codes of their residuals.
 
-    def score(queries: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or part.empty:
-            return pd.DataFrame(columns=["query_id", "domain", "doc_id", "chunk_id", "score"])
-        ids = queries["query_id"].to_numpy()
-        return _block_hits(ids, _matrix(queries["embedding"]), part, RunningTopK(len(ids), k))
+    ``codes`` holds domain, cell, chunk_id, doc_id and code, a byte per part. ``centers`` has a row per
+    cell; ``words[p]`` are the code words of part p, whose columns start at ``cuts[p]``.
+    """
 
-    keys = [*cell, "qb", "vb"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, _HIT_SCHEMA)
+    codes: DataFrame
+    centers: np.ndarray
+    words: list[np.ndarray]
+    cuts: list[int]
 
+    def parts(self, matrix: np.ndarray) -> list[np.ndarray]:
+        return [matrix[:, a:b] for a, b in zip(self.cuts, self.cuts[1:], strict=False)]
 
-def dense_topk(
-    queries: DataFrame,
+
+def _nearest(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return np.argmin((centers * centers).sum(axis=1)[None, :] - 2.0 * points @ centers.T, axis=1)
+
+
+def _k_means(points: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
+    """Centers of a bounded sample; a center without points stays where it is."""
+    centers = points[rng.permutation(len(points))[: min(k, len(points))]].copy()
+    for _ in range(rounds):
+        of = _nearest(points, centers)
+        n = np.bincount(of, minlength=len(centers))
+        sums = np.zeros_like(centers)
+        np.add.at(sums, of, points)
+        centers[n > 0] = sums[n > 0] / n[n > 0, None]
+    return centers
+
+
+def build_ivf(
     vectors: DataFrame,
-    k: int = TOPK_DENSE,
-    broadcast_bound: int = MAX_BROADCAST_VECTOR_CELLS,
-) -> DataFrame:
-    """Exact inner-product top-k per (query, domain).
+    path: str,
+    nlist: int = 16,
+    parts: int = 8,
+    sample_rows: int = 65_536,
+    seed: int = BASE_SEED,
+) -> IvfIndex:
+    """Fit and store an approximate index of all vectors under ``path``; ``load_ivf`` opens it again.
 
-    ``queries``: query_id, domain to search, embedding. ``vectors``: chunk_id,
-    doc_id, domain, embedding. Each Arrow batch of vectors meets the queries in
-    one matrix product and only local top-k rows leave the task. A query table
-    beyond the bound is cut into blocks, and so are the vectors.
+    Cell centers and code words are fitted on about ``sample_rows`` vectors, chosen by the
+    hash of their ids; every vector is then assigned and coded in one pass. Codes are
+    partitioned by domain and cell, and a large cell is many files.
     """
-    return _topk_by_cell(queries, vectors, ["domain"], k, broadcast_bound)
+    spark = vectors.sparkSession
+    rows = vectors.filter(F.col("embedding").isNotNull())
+    share = min(1.0, sample_rows / max(rows.count(), 1))
+    chosen = rows.filter(F.pmod(F.xxhash64(F.lit(seed), "chunk_id"), F.lit(1_000_000)) < share * 1_000_000)
+    ordered = chosen.select("chunk_id", "embedding").toPandas().sort_values("chunk_id")
+    sample = _matrix(ordered["embedding"]) if len(ordered) else np.zeros((1, 1))
+    rng = np.random.default_rng(seed)
+    centers = _k_means(sample, nlist, rng)
+    residuals = sample - centers[_nearest(sample, centers)]
+    width = sample.shape[1]
+    cuts = [round(i * width / min(parts, width)) for i in range(min(parts, width) + 1)]
+    words = [_k_means(residuals[:, a:b], 256, rng) for a, b in zip(cuts, cuts[1:], strict=False)]
+    model = [("center", i, x.tolist()) for i, x in enumerate(centers)]
+    model += [(f"word{p}", i, x.tolist()) for p, part in enumerate(words) for i, x in enumerate(part)]
+    spark.createDataFrame(model, "kind string, number int, vector array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
+    shared = spark.sparkContext.broadcast((centers, words, cuts))
+
+    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c, w, at = shared.value
+        for batch in batches:
+            if not len(batch):
+                continue
+            matrix = _matrix(batch["embedding"])
+            cell = _nearest(matrix, c)
+            left = matrix - c[cell]
+            coded = np.stack([_nearest(left[:, a:b], x) for a, b, x in zip(at, at[1:], w, strict=False)], axis=1).astype(np.uint8)
+            yield batch.drop(columns="embedding").assign(cell=cell.astype(np.int32), code=[x.tobytes() for x in coded])
+
+    coded = rows.select("chunk_id", "doc_id", "domain", "embedding").mapInPandas(
+        code, "chunk_id string, doc_id string, domain string, cell int, code binary"
+    )
+    coded.repartitionByRange("domain", "cell", "chunk_id").write.mode("overwrite").partitionBy("domain", "cell").parquet(f"{path}/codes")
+    return load_ivf(spark, path)
+
+
+def load_ivf(spark: SparkSession, path: str) -> IvfIndex:
+    model = spark.read.parquet(f"{path}/model").toPandas().sort_values(["kind", "number"])  # cells, and 256 words a part
+    centers = _matrix(model[model["kind"] == "center"]["vector"])
+    names = sorted((k for k in model["kind"].unique() if k != "center"), key=lambda k: int(k[4:]))
+    words = [_matrix(model[model["kind"] == k]["vector"]) for k in names]
+    cuts = [0, *np.cumsum([w.shape[1] for w in words]).tolist()]
+    codes = spark.read.schema("chunk_id string, doc_id string, code binary, domain string, cell int").parquet(f"{path}/codes")
+    return IvfIndex(codes, centers, words, cuts)
 
 
 def ann_ivf_topk(
     queries: DataFrame,
+    index: IvfIndex,
     vectors: DataFrame,
     k: int = TOPK_DENSE,
-    nlist: int = 16,
     nprobe: int = 4,
-    seed: int = BASE_SEED,
+    depth: int | None = None,
     broadcast_bound: int = MAX_BROADCAST_VECTOR_CELLS,
 ) -> DataFrame:
-    """Approximate top-k: cluster the vectors, score only the nearest cells.
+    """Approximate top-k: score the codes of the nearest cells by table look-up, then the best ones exactly.
 
-    With ``nprobe = nlist`` the result equals ``dense_topk``.
+    Queries go to the codes in bounded blocks, which read only the cells they probe. A task
+    keeps the ``depth`` (10 k) best code scores of a query; those candidates alone meet their
+    ``vectors`` for the exact score.
     """
-    dense = vectors.withColumn("_v", array_to_vector(F.col("embedding").cast("array<double>")))
-    model = KMeans(k=nlist, seed=seed, featuresCol="_v", predictionCol="cell", maxIter=10).fit(dense)
-    cells = model.transform(dense).drop("_v")
-    centers = np.stack(model.clusterCenters())
-    shared = vectors.sparkSession.sparkContext.broadcast(centers)
-    probes = min(nprobe, len(centers))
+    depth = depth or 10 * k
+    hits = _visit(queries, depth, broadcast_bound, lambda block: _look_up(block, index, depth, nprobe))
+    candidates = top_k(hits, ["query_id", "domain"], [F.col("score").desc(), F.col("chunk_id")], depth).drop("score", "rank")
+    asked = queries.select("query_id", "domain", F.col("embedding").alias("_q"))
+    exact = candidates.join(asked, ["query_id", "domain"]).join(
+        vectors.select("chunk_id", "domain", F.col("embedding").alias("_v")), ["chunk_id", "domain"]
+    )
+    scored = exact.select("query_id", "domain", "doc_id", "chunk_id", F.round(dot(F.col("_q"), F.col("_v")), 6).alias("score"))
+    return top_k(scored, ["query_id", "domain"], [F.col("score").desc(), F.col("chunk_id")], k)
 
-    @F.pandas_udf("array<int>")
-    def nearest(embedding: pd.Series) -> pd.Series:
-        c = shared.value
-        q = _matrix(embedding)
-        distance = (c * c).sum(axis=1)[None, :] - 2.0 * q @ c.T
-        return pd.Series(list(np.argsort(distance, axis=1, kind="stable")[:, :probes]))
 
-    probed = queries.withColumn("cell", F.explode(nearest("embedding")))
-    return _topk_by_cell(probed, cells, ["domain", "cell"], k, broadcast_bound)
+def _look_up(q: DataFrame, index: IvfIndex, depth: int, nprobe: int) -> DataFrame:
+    pdf = q.toPandas()  # its size was checked by the caller
+    spark = q.sparkSession
+    if not len(pdf):
+        return spark.createDataFrame([], _HIT_SCHEMA)
+    groups = {d: (part["query_id"].to_numpy(), _matrix(part["embedding"])) for d, part in pdf.groupby("domain")}
+    probes: dict[tuple[str, int], np.ndarray] = {}
+    for domain, (_, matrix) in groups.items():
+        distance = (index.centers * index.centers).sum(axis=1)[None, :] - 2.0 * matrix @ index.centers.T
+        near = np.argsort(distance, axis=1, kind="stable")[:, :nprobe]
+        for cell in np.unique(near):
+            probes[domain, int(cell)] = np.flatnonzero((near == cell).any(axis=1))
+    shared = spark.sparkContext.broadcast((groups, probes, index.centers, index.words, index.cuts))
+    codes = index.codes.filter(
+        F.col("domain").isin(list(groups)) & F.col("cell").isin(sorted({cell for _, cell in probes}))
+    )
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        queries, asked, centers, words, cuts = shared.value
+        best = {d: np.full((len(ids), depth), -np.inf) for d, (ids, _) in queries.items()}
+        for batch in batches:
+            for (domain, cell), part in batch.groupby(["domain", "cell"]):
+                if (domain, cell) not in asked:
+                    continue
+                ids, matrix = queries[domain]
+                for some in np.array_split(asked[domain, cell], -(-len(asked[domain, cell]) * len(part) // MAX_BLOCK_CELLS)):
+                    coded = np.frombuffer(b"".join(part["code"]), np.uint8).reshape(len(part), -1)
+                    scores = np.repeat((matrix[some] @ centers[cell])[:, None], len(part), axis=1)
+                    for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                        scores += (matrix[some, a:b] @ words[p].T)[:, coded[:, p]]
+                    merged = np.concatenate([best[domain][some], scores], axis=1)
+                    best[domain][some] = np.partition(merged, merged.shape[1] - depth, axis=1)[:, -depth:]
+                    rows, cols = np.nonzero(scores >= best[domain][some].min(axis=1)[:, None])
+                    yield pd.DataFrame(
+                        {
+                            "query_id": ids[some[rows]],
+                            "domain": domain,
+                            "doc_id": part["doc_id"].to_numpy()[cols],
+                            "chunk_id": part["chunk_id"].to_numpy()[cols],
+                            "score": scores[rows, cols],
+                        }
+                    )
+
+    return codes.select("chunk_id", "doc_id", "domain", "cell", "code").mapInPandas(score, _HIT_SCHEMA)
 
 
 def recall_at_k(approximate: DataFrame, exact: DataFrame) -> DataFrame:
@@ -201,15 +299,29 @@ def maxsim_score(
     """Late-interaction score of candidate pairs.
 
     ``candidates``: query_id, doc_id. Token tables: id, token position, vector.
-    Sum over query tokens of the best inner product with any passage token.
+    Sum over query tokens of the best inner product with any passage token. Each text
+    becomes one row with the matrix of its tokens; a pair is one row, and one matrix product.
     """
-    q = query_tokens.select("query_id", F.col("pos").alias("q_pos"), F.col("embedding").alias("qv"))
-    p = passage_tokens.select("doc_id", F.col("embedding").alias("pv"))
-    best = (
+
+    def matrices(tokens: DataFrame, key: str, name: str) -> DataFrame:
+        rows = tokens.filter(F.col("embedding").isNotNull()).groupBy(key)
+        listed = rows.agg(F.sort_array(F.collect_list(F.struct("pos", "embedding"))).alias("t"))
+        flat = F.flatten(F.transform("t", lambda x: x["embedding"]))
+        return listed.select(key, flat.alias(name), F.size("t").alias(f"n_{name}"))
+
+    pairs = (
         candidates.select("query_id", "doc_id")
-        .join(q, "query_id")
-        .join(p, "doc_id")
-        .groupBy("query_id", "doc_id", "q_pos")
-        .agg(F.max(dot(F.col("qv"), F.col("pv"))).alias("best"))
+        .join(matrices(query_tokens, "query_id", "q"), "query_id")
+        .join(matrices(passage_tokens, "doc_id", "p"), "doc_id")
     )
-    return best.groupBy("query_id", "doc_id").agg(F.sum("best").alias("score"))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            scores = [
+                (np.asarray(q, np.float64).reshape(nq, -1) @ np.asarray(p, np.float64).reshape(np_, -1).T).max(axis=1).sum()
+                for q, nq, p, np_ in zip(batch["q"], batch["n_q"], batch["p"], batch["n_p"], strict=True)
+            ]
+            yield batch[["query_id", "doc_id"]].assign(score=np.array(scores, np.float64))
+
+    kinds = dict(candidates.dtypes)
+    return pairs.mapInPandas(score, f"query_id {kinds['query_id']}, doc_id {kinds['doc_id']}, score double")

@@ -221,3 +221,19 @@ def test_stream_equals_batch_and_is_idempotent(spark, tmp_path):
     got = sorted(map(tuple, spark.read.parquet(sink).select(*columns).collect()))
     want = sorted(map(tuple, corpus_pipeline(first.unionByName(later)).select(*columns).collect()))
     assert got == want
+
+
+def test_stream_goes_on_after_restart_and_lost_checkpoint(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    copies = docs_of(spark, [3, 50, 200])
+    ids = lambda: sorted(r.doc_id for r in spark.read.parquet(sink).select("doc_id").distinct().collect())
+    shifted = lambda n: copies.withColumn("doc_id", F.concat("doc_id", F.lit(f"-{n}")))
+    chunks = 0
+    for n, checkpoint in ((0, state), (1, state), (2, state + "-new"), (3, state + "-new")):
+        shifted(n).withColumn("ingest_seq", -F.col("ingest_seq")).write.mode("append").parquet(source)
+        shifted(max(0, n - 1)).withColumn("text", F.lit("late")).write.mode("append").parquet(source)
+        ingest_stream(spark, source, sink, checkpoint, files_per_trigger=2).awaitTermination()
+        assert len(ids()) == 3 * (n + 1)
+        assert spark.read.parquet(sink).count() >= chunks
+        chunks = spark.read.parquet(sink).count()
+        assert spark.read.parquet(sink).groupBy("chunk_id").count().filter("count > 1").isEmpty()
