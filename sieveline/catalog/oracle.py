@@ -814,7 +814,7 @@ def statements() -> dict[str, str]:
             select query_id, domain, seed, j + 1 as position,
                    (a + j * case when n > 5 then 1 + b % greatest((n - 1) // 5, 1) else 1 end) % n as chunk_ord
             from (select query_id, domain, seed, n, unnest(range(0, least(5, n))) as j,
-                         ('0x' || substr(m, 1, 8))::bigint as a, ('0x' || substr(m, 9, 8))::bigint as b
+                         ('0x' || substr(m, 1, 15))::bigint as a, ('0x' || substr(m, 16, 15))::bigint as b
                   from (select r.query_id, r.domain, r.seed, md5(r.seed || '|' || r.query_id) as m, c.n
                         from f_ring r join (select domain, count(*) as n from f_store group by domain) c using (domain)))),
           shown as (

@@ -609,7 +609,7 @@ def combine_domains(i: Inputs) -> DataFrame:
 def grounding_passages(i: Inputs) -> DataFrame:
     chunks = corpus.chunk_documents(i.clean, carry=["ingest_seq"])
     hits = corpus.docstore_lookup(own_hits(i).filter("rank <= 5"), i.chunks)
-    return grounding.condition_passages(i.queries, hits, corpus.docstore(chunks), SEEDS)
+    return grounding.condition_passages(i.queries, hits, corpus.OrdinalIndex.of(chunks), SEEDS)
 
 
 @query

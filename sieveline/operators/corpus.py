@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from sieveline.config import MAX_TOKENS, STRIDE
 from sieveline.functions.text import full_text, strip, strip_or_empty, words
 from sieveline.functions.vectors import norm
-from sieveline.operators.ranking import bucketed_rank, sequence_bucket
+from sieveline.operators.ranking import sequence_bucket
 
 
 def clean_docs(docs: DataFrame) -> DataFrame:
@@ -102,6 +103,76 @@ def corpus_stats(chunks: DataFrame) -> DataFrame:
     )
 
 
+def chunk_number() -> Column:
+    """Number of a chunk in its document, from its id."""
+    return F.regexp_extract("chunk_id", "__chunk([0-9]+)$", 1).cast("long")
+
+
+@dataclass(frozen=True)
+class OrdinalIndex:
+    """Dense 0-based ordinals of the chunks of each domain, in corpus order, without their text.
+
+    Two levels: ``buckets`` (domain, bucket, start, size) are ranges of at most ``width`` document
+    positions, ``documents`` (domain, seq, bucket, n) count the chunks of each document. An ordinal is
+    found by a range look-up among the buckets, then among the documents of its bucket.
+    """
+
+    chunks: DataFrame
+    buckets: DataFrame
+    documents: DataFrame
+    seq: str
+    width: int
+
+    @classmethod
+    def of(cls, chunks: DataFrame, seq: str = "ingest_seq", width: int = 100_000) -> OrdinalIndex:
+        documents = chunks.groupBy("domain", F.col(seq).alias("seq")).agg(F.count(F.lit(1)).alias("n"))
+        documents = documents.withColumn("bucket", sequence_bucket(F.col("seq"), width))
+        sizes = documents.groupBy("domain", "bucket").agg(F.sum("n").alias("size"))
+        before = Window.partitionBy("domain").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        buckets = sizes.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0).cast("long")))
+        return cls(chunks, buckets, documents, seq, width)
+
+    def sizes(self) -> DataFrame:
+        return self.buckets.groupBy("domain").agg(F.sum("size").alias("n_chunks"))
+
+    def starts(self, touched: DataFrame | None = None) -> DataFrame:
+        """domain, bucket, seq, n, first: the ordinal of each document's first chunk in its bucket."""
+        documents = self.documents if touched is None else self.documents.join(touched, ["domain", "bucket"], "left_semi")
+        before = Window.partitionBy("domain", "bucket").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+        return documents.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")))
+
+    def rows(self) -> DataFrame:
+        """All chunks with their ordinals; only counts were windowed, text moves once."""
+        first = self.starts().join(self.buckets, ["domain", "bucket"]).select(
+            "domain", F.col("seq").alias(self.seq), (F.col("start") + F.col("first")).alias("_first")
+        )
+        return self.chunks.join(first, ["domain", self.seq]).select(
+            *self.chunks.columns, (F.col("_first") + chunk_number()).alias("chunk_ord")
+        )
+
+    def at(self, ordinals: DataFrame) -> DataFrame:
+        """The chunks at the ``(domain, chunk_ord)`` asked for, and no others."""
+        asked = ordinals.select("domain", "chunk_ord").distinct()
+        # Ranges meet ordinals by equal cells of a grid, so no ordinal is compared with all ranges.
+        wide = _in_cells(self.buckets, "start", "size", self.width)
+        near = asked.withColumn("cell", F.expr(f"chunk_ord div {self.width}")).join(wide, ["domain", "cell"])
+        near = near.filter((F.col("start") <= F.col("chunk_ord")) & (F.col("chunk_ord") < F.col("start") + F.col("size")))
+        near = near.select("domain", "bucket", "chunk_ord", (F.col("chunk_ord") - F.col("start")).alias("inner"))
+        narrow = _in_cells(self.starts(near.select("domain", "bucket").distinct()), "first", "n", 64)
+        found = near.withColumn("cell", F.expr("inner div 64")).join(narrow, ["domain", "bucket", "cell"])
+        found = found.filter((F.col("first") <= F.col("inner")) & (F.col("inner") < F.col("first") + F.col("n")))
+        found = found.select(
+            "domain", F.col("seq").alias(self.seq), (F.col("inner") - F.col("first")).alias("_number"), "chunk_ord"
+        )
+        numbered = self.chunks.withColumn("_number", chunk_number())
+        return numbered.join(found, ["domain", self.seq, "_number"]).drop("_number")
+
+
+def _in_cells(ranges: DataFrame, start: str, size: str, width: int) -> DataFrame:
+    """``ranges`` once per cell of ``width`` values that they reach into."""
+    return ranges.withColumn("cell", F.explode(F.expr(f"sequence({start} div {width}, ({start} + {size} - 1) div {width})")))
+
+
 def docstore(
     chunks: DataFrame, seq: str = "ingest_seq", width: int = 100_000
 ) -> DataFrame:
@@ -110,11 +181,7 @@ def docstore(
     ``seq`` is the unique integer position of the document in its corpus, so a
     bucket holds at most ``width`` documents whatever the size of a domain.
     """
-    bucketed = chunks.withColumn("_bucket", sequence_bucket(F.col(seq), width))
-    ranked = bucketed_rank(
-        bucketed, ["domain"], "_bucket", [F.col(seq), F.col("start_token")], "chunk_ord"
-    )
-    return ranked.withColumn("chunk_ord", (F.col("chunk_ord") - 1).cast("long")).drop("_bucket")
+    return OrdinalIndex.of(chunks, seq, width).rows()
 
 
 def docstore_lookup(hits: DataFrame, chunks: DataFrame) -> DataFrame:

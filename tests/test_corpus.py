@@ -10,6 +10,7 @@ from sieveline.operators.corpus import (
     chunk_documents,
     clean_docs,
     dedup_docs,
+    OrdinalIndex,
     docstore,
     index_metadata,
     metadata_mismatch,
@@ -156,6 +157,19 @@ def test_exact_quantile(spark):
         assert got[stage] == pytest.approx(want, abs=1e-9)
 
 
+def test_ordinals_are_looked_up_without_the_rest(spark):
+    docs = docs_of(spark, [(i * 7) % 45 + 1 for i in range(60)])
+    chunks = chunk_documents(docs, 10, 2, carry=["ingest_seq"])
+    for width in (3, 7, 1000):
+        index = OrdinalIndex.of(chunks, width=width)
+        rows = {(r.domain, r.chunk_ord): r.chunk_id for r in index.rows().collect()}
+        order = sorted((r.ingest_seq, r.start_token, r.chunk_id) for r in chunks.collect())
+        assert [rows[d, o] for d, o in sorted(rows)] == [c for _, _, c in order]
+        asked = spark.createDataFrame([(d, o) for d, o in rows if o % 5 == 0] + [("x", 1), (order[0][2][:0], 3)], "domain string, chunk_ord long")
+        got = {(r.domain, r.chunk_ord): r.chunk_id for r in index.at(asked).collect()}
+        assert got == {k: v for k, v in rows.items() if k[1] % 5 == 0}
+
+
 def test_ingest_checks_columns(spark):
     df = spark.createDataFrame([("d:1", "t", "d")], "doc_id string, text string, domain string")
     assert set(readers.ingest(df, 3).columns) == {"doc_id", "text", "domain", "title", "orig_id"}

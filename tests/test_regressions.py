@@ -22,6 +22,15 @@ def test_ordinals_of_a_huge_domain(spark):
     assert len(set(drawn)) == 5 and all(0 <= x < 3_000_000_000 for x in drawn)
 
 
+def test_draws_reach_the_last_chunk_of_a_domain_of_any_size(spark):
+    n = 10**12
+    queries = spark.range(3000).select(F.concat(F.lit("q"), "id").alias("query_id"), F.lit("d").alias("domain"))
+    sizes = spark.createDataFrame([("d", n)], "domain string, n_chunks long")
+    drawn = [r.chunk_ord for r in random_ordinals(queries, sizes, [1], 5).collect()]
+    assert len(drawn) == 15_000 and min(drawn) < n / 1000 and max(drawn) > n - n / 1000
+    assert 0.48 < sum(drawn) / len(drawn) / n < 0.52
+
+
 @pytest.mark.parametrize("power", range(3, 13))
 def test_large_samples_have_the_normal_tail(power):
     assert _t_two_sided(2.0, 10.0**power) == pytest.approx(0.0455, abs=0.0006)
