@@ -283,6 +283,15 @@ VIEWS: dict[str, str] = {
     "f_stage1": rrf("f_lists", "query_id, domain"),
     "f_stage2": f"select *, list_position({listed(DOMAINS)}, domain) as list_ord from f_stage1",
     "f_fused": rrf("f_stage2", "query_id"),
+    "f_mixed": """
+    select * from f_lists where domain in ('en', 'fr') or (domain = 'de' and list_ord = 0) or (domain = 'es' and list_ord = 1)""",
+    "f_mixed_both": "select * from f_mixed where domain in ('en', 'fr')",
+    "f_mixed1": rrf("f_mixed_both", "query_id, domain"),
+    "f_mixed2": f"""
+    select query_id, domain, doc_id, chunk_id, score, bm25_score, rank, list_position({listed(DOMAINS)}, domain) as list_ord from (
+      select query_id, domain, doc_id, chunk_id, score, bm25_score, rank from f_mixed1
+      union all select query_id, domain, doc_id, chunk_id, score, bm25_score, rank from f_mixed where domain in ('de', 'es'))""",
+    "f_mixed_fused": rrf("f_mixed2", "query_id"),
     "f_single": rrf("f_lists", "query_id"),
     "f_ext": f"""
     select * from (
@@ -615,16 +624,20 @@ def statements() -> dict[str, str]:
             left join (select domain, count(*) as n from j group by domain) using (domain)) where r <= room""",
         "ingest_validate": "select doc_id, domain, '' as title, '' as orig_id, md5(text) as text_md5 from f_docs",
         "write_corpus": "select domain, chunk_id, start_token, end_token, md5(text) as text_md5 from f_chunks",
+        "incremental_corpus": "select domain, chunk_id, start_token, end_token, md5(text) as text_md5 from f_chunks",
         "corpus_stats": "select domain, count(distinct doc_id) as n_docs, count(*) as n_chunks from f_chunks group by domain",
         "incremental_build": """
           select query_id, domain from f_rawq where query_id not in
             (select query_id from f_judgements group by query_id having count(*) >= 2)""",
         "read_query_jsonl": "select query_id, text, array_to_string(expected_domains, ',') as expected from f_cross",
         "read_query_batch": "select text from f_queries where text <> ''",
-        "search_output": """
-          select query_id, rank, f.doc_id, f.domain, round(fused_score, 6) as fused_score, c.title,
+        "search_output": f"""
+          select query_id, md5(q.text) as query_md5, array_to_string({ROUTES['routed_with_general']}, ',') as active_domains,
+                 top1_domain, round(top1_prob, 6) as top1_prob, length(q.text)::double as latency_ms, rank, f.doc_id, f.domain, round(fused_score, 6) as fused_score, c.title,
                  md5(substr(c.text, 1, 500)) as text_md5
-          from f_final f join f_chunks c using (chunk_id) where rank <= 10""",
+          from f_final f join f_chunks c using (chunk_id) join f_rawq q using (query_id)
+          join (select query_id, top1_domain, top1_prob, top2_domain from f_classified) k using (query_id)
+          where rank <= 10""",
         "report_sinks": f"select domain, n_queries, {_round(METRIC_COLUMNS)} from f_own_domain",
         "docstore": "select domain, chunk_id, chunk_ord from f_store",
         "index_metadata": """
@@ -771,6 +784,8 @@ def statements() -> dict[str, str]:
         "rrf_fuse": "select query_id, rank, doc_id, chunk_id, round(fused_score, 6) as fused_score from f_single",
         "hybrid_search": """
           select query_id, rank, doc_id, chunk_id, domain, round(fused_score, 6) as fused_score, rerank_score from f_final""",
+        "hybrid_modalities": """
+          select query_id, rank, doc_id, chunk_id, domain, round(fused_score, 6) as fused_score from f_mixed_fused""",
         "rerank_merge": f"select query_id, rank, doc_id, rerank_score from ({reranked('f_single', 20)})",
         "maxsim_score": """
           with t as (select 't' || (vec_id // 4) as text_id, vec_id % 4 as pos, embedding::double[] as v from embeddings),

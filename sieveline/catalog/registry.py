@@ -22,7 +22,7 @@ from sieveline.functions.text import (
 from sieveline.operators import abtest, answers, classify, corpus, dense, fusion, grounding, metrics
 from sieveline.operators.lexical import bm25_topk
 from sieveline.operators.ranking import rank_hits
-from sieveline.plans.corpus import corpus_pipeline
+from sieveline.plans.corpus import corpus_pipeline, update_corpus
 from sieveline.plans.evaluation import ablation_table, depth_sweep, rrf_k_sweep
 from sieveline.plans.search import SearchConfig, candidate_lists, hybrid_search
 from sieveline.sources import readers, writers
@@ -118,7 +118,7 @@ def measurable_answers(i: Inputs) -> DataFrame:
 
 @query
 def load_beir(i: Inputs) -> DataFrame:
-    """One dataset of files per domain; a judgement belongs to the dataset of its query."""
+    """Files by domain, whatever domains there are; a judgement belongs to the domain of its query."""
     bare = F.substring_index("query_id", ":", -1)
     parts = {
         "corpus": i.docs.select("domain", F.col("orig_id").alias("_id"), "title", "text"),
@@ -130,11 +130,10 @@ def load_beir(i: Inputs) -> DataFrame:
             F.col("relevance").alias("score"),
         ),
     }
-    paths = {d: writers.scratch_path(i.spark, f"beir-{d}") for d in DOMAINS}
-    for domain, path in paths.items():
-        for part, rows in parts.items():
-            rows.filter(F.col("domain") == domain).drop("domain").write.parquet(f"{path}/{part}")
-    docs, queries, qrels = readers.load_beir(i.spark, paths)
+    path = writers.scratch_path(i.spark, "beir")
+    for part, rows in parts.items():
+        rows.write.partitionBy("domain").parquet(f"{path}/{part}")
+    docs, queries, qrels = readers.load_beir_tree(i.spark, path)
     none = F.lit(None).cast("string")
     return (
         docs.select(
@@ -185,6 +184,20 @@ def incremental_build(i: Inputs) -> DataFrame:
     return writers.pending_queries(i.raw_queries, i.judgements, 2).select("query_id", "domain")
 
 
+@query
+def incremental_corpus(i: Inputs) -> DataFrame:
+    """Corpus built from the first half of the documents, then brought up to date with the rest."""
+    source = writers.scratch_path(i.spark, "sources")
+    target = writers.scratch_path(i.spark, "incremental")
+    half = F.col("ingest_seq") % 2 == 0
+    for arrival in (half, ~half):
+        i.docs.filter(arrival).write.mode("append").parquet(source)
+        update_corpus(i.spark, source, target)
+    return i.spark.read.parquet(f"{target}/corpus").select(
+        "domain", "chunk_id", "start_token", "end_token", md5("text")
+    )
+
+
 @query
 def read_query_jsonl(i: Inputs) -> DataFrame:
     path = writers.scratch_path(i.spark, "queries")
@@ -204,13 +217,27 @@ def read_query_batch(i: Inputs) -> DataFrame:
 def search_output(i: Inputs) -> DataFrame:
     hits = corpus.docstore_lookup(final_hits(i), i.chunks)
     path = writers.scratch_path(i.spark, "search")
-    writers.write_json(writers.search_output(i.raw_queries, hits), path)
+    asked = i.raw_queries.drop("domain").join(i.classified.drop("domain"), "query_id").select(
+        "query_id",
+        F.col("text").alias("query"),
+        fusion.active_domains(DOMAINS, "routed_with_general", GENERAL).alias("active_domains"),
+        "top1_domain",
+        "top1_prob",
+        F.length("text").cast("double").alias("latency_ms"),
+    )
+    writers.write_json(writers.search_output(asked, hits), path)
     schema = (
-        "query_id string, results array<struct<rank int, doc_id string, domain string, "
+        "query_id string, query string, active_domains array<string>, top1_domain string, top1_prob double, "
+        "latency_ms double, results array<struct<rank int, doc_id string, domain string, "
         "fused_score double, title string, text string>>"
     )
-    rows = i.spark.read.schema(schema).json(path).select("query_id", F.inline("results"))
-    return rows.select("query_id", "rank", "doc_id", "domain", "fused_score", "title", md5("text"))
+    rows = i.spark.read.schema(schema).json(path)
+    rows = rows.select(*(c for c in rows.columns if c != "results"), F.inline("results"))
+    return rows.select(
+        "query_id", F.md5("query").alias("query_md5"), F.array_join("active_domains", ",").alias("active_domains"),
+        "top1_domain", F.round("top1_prob", 6).alias("top1_prob"), "latency_ms",
+        "rank", "doc_id", "domain", "fused_score", "title", md5("text"),
+    )
 
 
 @query
@@ -444,6 +471,19 @@ def hybrid_retrieval(i: Inputs) -> DataFrame:
 QUERIES["hybrid_search"] = QUERIES.pop("hybrid_retrieval")
 
 
+@query
+def hybrid_modalities(i: Inputs) -> DataFrame:
+    """Search where each domain has its own lists: both, dense only, or BM25 only."""
+    rows = [("en", True, True), ("de", True, False), ("es", False, True), ("fr", True, True)]
+    cfg = CONFIG.with_(
+        modalities=i.spark.createDataFrame(rows, "domain string, dense boolean, bm25 boolean"), rerank=False
+    )
+    hits = hybrid_search(
+        i.raw_queries, i.classified.drop("domain"), i.index, i.doc_vectors, i.page_vectors, cfg
+    )
+    return hits.select("query_id", "rank", "doc_id", "chunk_id", "domain", F.round("fused_score", 6).alias("fused_score"))
+
+
 @query
 def rerank_merge(i: Inputs) -> DataFrame:
     fused = writers.stage(fusion.rrf_fuse(lists(i, routed(i))), "candidates")

@@ -115,15 +115,23 @@ def fuse_hybrid(
     rrf_k: int | Column = RRF_K,
     topk: int = K_FUSION,
     extra: Sequence[str] = (),
+    single: DataFrame | None = None,
 ) -> DataFrame:
     """Two-stage fusion: modalities inside a domain, then domains.
 
     The first stage is skipped when a domain has a single list, so duplicate
     chunks of a document then reach the second stage, which always runs.
-    ``extra`` are further grouping columns (a sweep or ablation condition).
+    ``extra`` are further grouping columns (a sweep or ablation condition); ``single``
+    holds the domains that have one list while others have two.
     """
     group = [*extra, "query_id"]
-    stage1 = rrf_fuse(lists, [*group, "domain"], rrf_k, topk) if both_modalities else lists
+    stage1 = lists
+    if both_modalities:
+        twice = lists if single is None else lists.join(single, "domain", "left_anti")
+        stage1 = rrf_fuse(twice, [*group, "domain"], rrf_k, topk)
+        if single is not None:
+            columns = [*group, "domain", "doc_id", "chunk_id", "score", "bm25_score", "rank"]
+            stage1 = stage1.select(columns).unionByName(lists.join(single, "domain", "left_semi").select(columns))
     order = F.array(*[F.lit(d) for d in enabled])
     by_domain = stage1.withColumn("list_ord", F.array_position(order, F.col("domain")).cast("int"))
     return rrf_fuse(by_domain, group, rrf_k, topk)

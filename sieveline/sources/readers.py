@@ -74,6 +74,24 @@ def load_beir(
     return read("corpus", beir_docs), read("queries", beir_queries), read("qrels", beir_qrels)
 
 
+def load_beir_tree(
+    spark: SparkSession, path: str, split: str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As ``load_beir``, of one tree whose parts are partitioned by domain (``corpus/domain=…``).
+
+    The domains are those of the folders, whatever their number; rows without one are kept.
+    """
+
+    def read(part: str) -> DataFrame:
+        found = spark.read.parquet(f"{path}/{part}")
+        return found.withColumn("domain", F.col("domain").cast("string"))
+
+    qrels = read("qrels")
+    if split is not None and "split" in qrels.columns:
+        qrels = qrels.filter(F.col("split") == split)
+    return beir_docs(read("corpus"), F.col("domain")), beir_queries(read("queries"), F.col("domain")), beir_qrels(qrels, F.col("domain"))
+
+
 def cap_simple(docs: DataFrame, max_docs: int, seq: str = "ingest_seq", width: int = 100_000) -> DataFrame:
     """First ``max_docs`` documents of each domain in corpus order.
 
@@ -109,10 +127,10 @@ def cap_with_qrel_coverage(
 
 
 def ingest(docs: DataFrame, n_partitions: int | None = None) -> DataFrame:
-    """Check the required columns, default the optional ones, spread the rows evenly.
+    """Check the required columns and default the optional ones.
 
-    Rows are not placed by ``doc_id``: one id may have very many copies, which
-    deduplication drops before it shuffles.
+    Only ``n_partitions`` moves rows, which it spreads evenly. They are not placed by ``doc_id``: one
+    id may have very many copies, which deduplication drops before it shuffles.
     """
     missing = [c for c in REQUIRED if c not in docs.columns]
     if missing:
@@ -120,8 +138,7 @@ def ingest(docs: DataFrame, n_partitions: int | None = None) -> DataFrame:
     for column in OPTIONAL:
         if column not in docs.columns:
             docs = docs.withColumn(column, F.lit(""))
-    n = n_partitions or docs.sparkSession.sparkContext.defaultParallelism * 2
-    return docs.repartition(n)
+    return docs if n_partitions is None else docs.repartition(n_partitions)
 
 
 def read_query_jsonl(spark: SparkSession, path: str) -> DataFrame:

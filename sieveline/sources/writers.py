@@ -43,6 +43,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that Spark wrote, in whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Delete at the end what ``stage`` writes inside, but for tables stored with the function given.
@@ -66,8 +72,7 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
         if outer is not None:
             outer.extend(kept)
         for path in set(inner) - set(kept):
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+            remove_path(spark, path)
         gc.collect()
         spark._jvm.System.gc()
 

@@ -16,8 +16,9 @@ from sieveline.operators.corpus import (
     metadata_mismatch,
 )
 from sieveline.operators.ranking import exact_quantile, first_n_by_hash
-from sieveline.plans.corpus import build_corpus, corpus_pipeline
+from sieveline.plans.corpus import build_corpus, corpus_pipeline, update_corpus
 from sieveline.sources import readers, writers
+from sieveline.sources.writers import remove_path
 from sieveline.streaming.ingest import ingest_stream
 
 DOC = "doc_id string, orig_id string, domain string, title string, text string, ingest_seq long"
@@ -251,3 +252,32 @@ def test_stream_goes_on_after_restart_and_lost_checkpoint(spark, tmp_path):
         assert spark.read.parquet(sink).count() >= chunks
         chunks = spark.read.parquet(sink).count()
         assert spark.read.parquet(sink).groupBy("chunk_id").count().filter("count > 1").isEmpty()
+
+
+def test_update_builds_changed_domains_only(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    docs = docs_of(spark, [3, 200, 400]).withColumn("n_chars", F.lit(1))
+    other = docs.withColumn("domain", F.lit("e")).withColumn("doc_id", F.concat(F.lit("e:"), "orig_id"))
+    docs.unionByName(other).write.parquet(f"{source}/a")
+    read = lambda: sorted(map(tuple, spark.read.parquet(f"{target}/corpus").select("chunk_id", "domain", "text").collect()))
+    state = lambda: sorted((str(p.relative_to(target)), p.stat().st_mtime_ns) for p in (tmp_path / "out").rglob("part-*"))
+    glob = f"{source}/*"
+    assert update_corpus(spark, glob, target) == ["d", "e"]
+    first = state()
+    assert update_corpus(spark, glob, target) == [] and state() == first
+    more = other.limit(1).withColumn("doc_id", F.lit("e:new")).withColumn("domain", F.lit("e"))
+    more.write.parquet(f"{source}/b")
+    assert update_corpus(spark, glob, target) == ["e"]
+    kept = {p for p in first if "domain=d" in p[0]}
+    assert kept and kept <= set(state())
+    full = corpus_pipeline(spark.read.parquet(glob))
+    want = sorted(map(tuple, full.select("chunk_id", "domain", "text").collect()))
+    assert read() == want
+    remove_path(spark, f"{source}/b")
+    assert update_corpus(spark, glob, target) == ["e"]
+    assert read() == [r for r in want if not r[0].startswith("e:new")]
+
+
+def test_pipeline_checks_required_columns(spark):
+    with pytest.raises(ValueError, match="domain"):
+        corpus_pipeline(docs_of(spark, [3]).drop("domain"))
