@@ -813,6 +813,31 @@ def statements() -> dict[str, str]:
                  round(least(1.0, min(p * m / r) over (order by r desc rows unbounded preceding)), 6) as p_adjusted
           from (select *, row_number() over (order by p, condition, metric) as r, count(*) over () as m
                 from (select condition, metric, exp(-abs(statistic)) as p from f_ab))""",
+        "ab_test": f"""
+          with p as (
+            select *, case when t = 0 then 1.0 when dof is null then greatest(1 - exp(-t * t / 2) * (
+                list_sum(list_transform(range(0, 300), lambda n: exp((2 * n + 1) * ln(t / sqrt(2.0::double)) - lgamma(n + 1.5))))), 0.0)
+              else greatest(1 - exp(0.5 * ln(y) + dof / 2 * ln(1 - y) + lgamma(dof / 2 + 0.5) - lgamma(dof / 2)) *
+                list_sum(list_transform(range(0, 600), lambda n:
+                  exp(lgamma(dof / 2 + 0.5 + n) - lgamma(dof / 2 + 0.5) - lgamma(1.5 + n) + n * ln(y)))), 0.0) end as p_value
+            from (select *, abs(statistic) as t, statistic * statistic / (dof + statistic * statistic) as y from f_ab)),
+          adjusted as (
+            select *, least(1.0, min(p_value * m / r) over (order by r desc rows unbounded preceding)) as p_adjusted
+            from (select *, row_number() over (order by p_value) as r, count(*) over () as m from p)),
+          judged as (
+            select *, p_adjusted < 0.05 as significant,
+                   case when abs(effect_size) < 0.2 then 'negligible' when abs(effect_size) < 0.5 then 'small'
+                        when abs(effect_size) < 0.8 then 'medium' else 'large' end as effect,
+                   case when p_adjusted >= 0.05 then 'neutral'
+                        when (better_is = 'higher' and delta > 0) or (better_is = 'lower' and delta < 0) then 'improvement'
+                        else 'regression' end as direction
+            from adjusted)
+          select 'all' as domain, condition, metric, better_is, n_control, n_treatment,
+                 {_round('control_mean, treatment_mean, delta, relative_pct, effect_size, statistic, dof, p_value, p_adjusted')},
+                 test_type, significant, effect, direction,
+                 count_if(direction = 'improvement') over () as wins, count_if(direction = 'regression') over () as losses,
+                 count_if(direction = 'neutral') over () as ties
+          from judged""",
         "topn_domains": """
           select query_id, string_agg(distinct domain, ',' order by domain) as domains from f_final where rank <= 10
           group by query_id""",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline.functions.stats import _t_two_sided
+from sieveline.functions.stats import p_value
 from sieveline.operators.grounding import corrupt_text, random_ordinals
 from sieveline.operators.ranking import exact_quantile
 
@@ -31,9 +34,31 @@ def test_draws_reach_the_last_chunk_of_a_domain_of_any_size(spark):
     assert 0.48 < sum(drawn) / len(drawn) / n < 0.52
 
 
-@pytest.mark.parametrize("power", range(3, 13))
-def test_large_samples_have_the_normal_tail(power):
-    assert _t_two_sided(2.0, 10.0**power) == pytest.approx(0.0455, abs=0.0006)
+def test_large_samples_have_the_normal_tail(spark):
+    df = spark.createDataFrame([(2.0, 10.0**power) for power in range(3, 13)], "s double, d double")
+    for r in df.select(p_value("s", "d").alias("p")).collect():
+        assert r.p == pytest.approx(0.0455, abs=0.0006)
+
+
+def t_two_sided(t, df):
+    """P(|T| > t) by Simpson's rule on the density after x = tan(u) * sqrt(df)."""
+    upper = math.atan(abs(t) / math.sqrt(df))
+    log_norm = math.lgamma((df + 1) / 2) - math.lgamma(df / 2) - 0.5 * math.log(math.pi)
+    u = np.linspace(upper, math.pi / 2, 20001)
+    with np.errstate(divide="ignore"):
+        y = np.exp(log_norm + (df - 1) * np.log(np.clip(np.cos(u), 0.0, None)))
+    h = (math.pi / 2 - upper) / 20000
+    return 2.0 * h / 3 * (y[0] + y[-1] + 4 * y[1:-1:2].sum() + 2 * y[2:-1:2].sum())
+
+
+def test_p_values_equal_an_integral(spark):
+    rows = [(t, d) for t in (1e-6, 0.01, 0.3, 1.0, 1.96, 2.5, 4.0, 7.0, 12.0) for d in (2.0, 2.7, 5.0, 30.0, 333.3, 5e3, 9e5)]
+    df = spark.createDataFrame(rows + [(-t, d) for t, d in rows], "s double, d double")
+    for r in df.select("s", "d", p_value("s", "d").alias("p")).collect():
+        assert r.p == pytest.approx(t_two_sided(r.s, r.d), abs=1e-8, rel=1e-5), (r.s, r.d)
+    normal = spark.createDataFrame([(x / 10,) for x in range(-90, 91)], "s double")
+    for r in normal.select("s", p_value(F.col("s"), F.lit(None).cast("double")).alias("p")).collect():
+        assert r.p == pytest.approx(math.erfc(abs(r.s) / math.sqrt(2)), abs=1e-13, rel=1e-8), r.s
 
 
 def test_quantile_of_negatives(spark):
