@@ -12,6 +12,7 @@ from sieveline.catalog.inputs import DOMAINS, LETTERS, SEED_TEXTS, SEEDS
 from sieveline.config import CONDITIONS
 from sieveline.operators.answers import ABSTENTION_PHRASES, INSTRUCTIONS, NO_PASSAGES
 from sieveline.operators.abtest import PROPORTIONS, TESTS
+from sieveline.operators.grounding import DIRECTIONAL_SWAPS
 from sieveline.plans.evaluation import CONDITIONS as ABLATION
 
 WS_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -21,6 +22,9 @@ def lit(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+SWAPS = "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in DIRECTIONAL_SWAPS.items()) + "}"
+
+
 def listed(values: object) -> str:
     return "[" + ", ".join(lit(v) if isinstance(v, str) else str(v) for v in values) + "]"
 
@@ -524,6 +528,15 @@ VIEWS: dict[str, str] = {
     select domain, title from (
       select t.domain, title, need, row_number() over (partition by t.domain order by md5('42|' || t.domain || '|' || title), title) as r
       from f_titles t join f_need using (domain)) where r <= need""",
+    "f_balanced": """
+          select domain, text, 'query' as origin from (
+            select *, row_number() over (partition by domain order by md5('42|' || query_id), query_id) as r from f_train)
+          where r <= 140
+          union all select domain, title, 'title' from f_added
+          union all
+          select domain, seeds[i % len(seeds) + 1], 'seed' from (
+            select n.domain, seeds, unnest(range(0, need - coalesce(nt, 0))) as i
+            from f_need n left join (select domain, count(*) as nt from f_added group by domain) using (domain))""",
     "f_ring": f"""
     select query_id, domain, seed, row_number() over (partition by domain, seed order by md5(seed || '|' || query_id), query_id) as pos,
            count(*) over (partition by domain, seed) as n
@@ -756,15 +769,28 @@ def statements() -> dict[str, str]:
           select condition, metric, better_is, n_control, n_treatment,
                  {_round('control_mean, treatment_mean, delta, relative_pct, effect_size, statistic, dof')}, test_type
           from f_ab""",
-        "class_balance": """
-          select domain, text, 'query' as origin from (
-            select *, row_number() over (partition by domain order by md5('42|' || query_id), query_id) as r from f_train)
-          where r <= 140
-          union all select domain, title, 'title' from f_added
-          union all
-          select domain, seeds[i % len(seeds) + 1], 'seed' from (
-            select n.domain, seeds, unnest(range(0, need - coalesce(nt, 0))) as i
-            from f_need n left join (select domain, count(*) as nt from f_added group by domain) using (domain))""",
+        "class_balance": "select domain, text, origin from f_balanced",
+        "train_domain_classifier": """
+          select sum(floor(n * 0.2::double))::bigint as n_validation, true as top1_ok, true as top2_ok
+          from (select domain, count(*) as n from f_balanced group by domain)""",
+        "corrupt_text": f"""
+          with toks as (
+            select doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_]+') as ts from f_docs),
+          swapped as (
+            select doc_id, array_to_string(list_transform(ts, lambda t: coalesce(
+              case when upper(t[1]) = t[1] and lower(t[1]) <> t[1]
+                   then upper(({SWAPS})[lower(t)][1]) || ({SWAPS})[lower(t)][2:] else ({SWAPS})[lower(t)] end, t)), '') as text from toks),
+          cut as (
+            select doc_id, regexp_split_to_array(text, '\\b\\d+(?:\\.\\d+)?\\b') as gaps,
+                   regexp_extract_all(text, '\\b\\d+(?:\\.\\d+)?\\b') as ns from swapped),
+          scaled as (
+            select doc_id, gaps, list_transform(ns, lambda n, i: struct_pack(n := n, v := n::double *
+              case when ('0x' || substr(md5('42|' || doc_id || '|' || (i - 1)), 1, 1))::int < 8 then 10.0::double else 0.1::double end)) as vs
+            from cut)
+          select doc_id, md5(array_to_string(list_transform(range(1, len(gaps) + 1), lambda g: gaps[g] || coalesce(
+                   case when vs[g].v >= 1e37 then vs[g].n when vs[g].v = floor(vs[g].v) then vs[g].v::decimal(38, 0)::varchar
+                        else format('{{:.2g}}', vs[g].v) end, '')), '')) as text_md5
+          from scaled""",
         "ablation_table": f"""
           select condition, domain, n_queries, {_round(METRIC_COLUMNS)} from (
             select condition, domain, {DOMAIN_MEANS} from f_ab_metrics join f_rawq using (query_id) group by all)""",

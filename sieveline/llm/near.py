@@ -18,8 +18,8 @@ SHINGLE_WORDS = 5
 #: 24 bands of 4: a pair at similarity 0.8 shares none with a chance of 3 in a million.
 BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
-#: Longs of the bit sets that are compared before texts are.
-WORDS = 8
+#: Longs of the bit sets that are compared before texts are: 2,048 bits, so that few of a text's shingles share one.
+WORDS = 32
 
 
 def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:

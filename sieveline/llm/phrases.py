@@ -226,12 +226,17 @@ def count_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     known = spark.sparkContext.broadcast(_pair_map(leading.where("word IS NULL").select("key")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, n = np.zeros((0, MOST_WORDS), np.int64), np.zeros(0, np.int64)
         for names, _ in _chunks(batches):
             keys = _pairs(names)
             slot = keys % np.uint64(MAP_BITS)
             frequent = (known.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
-            rows, n = suffixes(names, (frequent == 1) & (keys != 0))
-            yield from _slices([pa.array(c) for c in rows.T] + [pa.array(n)], [*_DEPTHS, "n"])
+            more, m = suffixes(names, (frequent == 1) & (keys != 0))
+            rows, n = _folded(np.concatenate([rows, more]), np.concatenate([n, m]))
+            if len(rows) >= TASK_SUFFIXES:
+                yield from _slices([pa.array(c) for c in rows.T] + [pa.array(n)], [*_DEPTHS, "n"])
+                rows, n = rows[:0], n[:0]
+        yield from _slices([pa.array(c) for c in rows.T] + [pa.array(n)], [*_DEPTHS, "n"])
 
     ddl = ", ".join(f"{k} long" for k in [*_DEPTHS, "n"])
     leads = stage(texts.mapInArrow(cut, ddl), "phrase-suffixes")
