@@ -27,17 +27,19 @@ class QualityConfig:
 
 #: Rule and its most lenient cutoff; a document is rejected if its value is above the cutoff.
 RULES = {"symbols": 4.0, "shouting": 1.0, "dup_lines": 1.0, "repeats": 0.5}
-POOL = "*"
+#: Name of the pooled stratum; no language is called so.
+POOL = "\0pool"
 
 
 def measured(docs: DataFrame) -> DataFrame:
     """One row of counts per document, by functions of its whole text."""
     count_of = lambda kept: F.length(F.regexp_replace("text", kept, "")).cast("long")
-    base = docs.select("doc_id", F.col("lang").alias("stratum"), text_or_empty().alias("text"))
+    base = docs.select("doc_id", F.col("lang").alias("stratum"), F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
     return base.select(
         "doc_id",
         "stratum",
+        "text_key",
         let(
             words_of(F.col("text")),
             lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).alias("n_repeat_words")),
@@ -52,7 +54,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             ),
         ).alias("l"),
-    ).select("doc_id", "stratum", "w.*", "word_chars", "n_symbols", "n_shouted", "l.*")
+    ).select("doc_id", "stratum", "text_key", "w.*", "word_chars", "n_symbols", "n_shouted", "l.*")
 
 
 def _repeat_words(words: Column) -> Column:
@@ -142,10 +144,14 @@ def risk_tests(measures: DataFrame, labels: DataFrame, config: QualityConfig = Q
     cutoffs are tested from lenient to strict and end at the first that fails
     (fixed sequence); the doubt is divided by rules and strata (Bonferroni).
     Strata with fewer than ``min_good`` good labels, or beyond the ``max_strata``
-    largest, are pooled.
+    largest, are pooled. Of rows with one doc_id, and of equal labelled texts of a stratum, one
+    counts, with the lowest label.
     """
     label = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("good"))
-    held = measures.where("NOT base_failed").join(label, "doc_id").select("stratum", "good", _values().alias("rules"))
+    # A label is one trial: of several rows of its doc_id one counts, and equal texts are one text.
+    row = F.struct("text_key", "stratum", "good", _values().alias("rules"))
+    labelled = measures.where("NOT base_failed").join(label, "doc_id").groupBy("doc_id").agg(F.min_by(row, "text_key").alias("row"))
+    held = labelled.select("row.*").groupBy("stratum", "text_key").agg(F.min("good").alias("good"), F.any_value("rules").alias("rules"))
     # One row per stratum, rule, label and first step that rejects: all later steps work on these counts.
     first = lambda x: F.size(
         F.filter(F.sequence(F.lit(0), F.lit(config.steps - 1)), lambda i: _cutoff(x["rule"], i, config) >= x["value"])
