@@ -23,6 +23,8 @@ MAX_LANGUAGES = 100_000
 CALIBRATION_ROWS = 20_000
 #: Fewer labelled rows of a language and length set none.
 LEAST_ROWS = 20
+#: Cosines of unrelated vectors stay below this: four standard deviations.
+UNRELATED = 4 / DIMENSIONS**0.5
 
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -244,9 +246,9 @@ def keep_identified(docs: DataFrame, rows: int = CALIBRATION_ROWS) -> DataFrame:
     least = least_cosines(labelled.where(~held_out()), prototypes, rows)
     cutoffs = {}
     for lang in prototypes:
-        last = 0.0
+        last = UNRELATED
         for bits in range(64):
-            last = cutoffs[lang, bits] = least.get((lang, bits), last)
+            last = cutoffs[lang, bits] = max(UNRELATED, least.get((lang, bits), last))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = _predictor(prototypes)
