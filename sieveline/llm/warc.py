@@ -46,6 +46,7 @@ def write_warc(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_
     record = _record(
         {
             "WARC-Type": F.when(again, F.lit("revisit")).otherwise("response"),
+            "WARC-Date": F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
             "WARC-Record-ID": F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">")),
             "WARC-Payload-Digest": F.concat(F.lit("sha256:"), F.col("digest")),
             "WARC-Payload-Length": F.octet_length("html"),
@@ -111,29 +112,34 @@ def _parsed(candidates: DataFrame) -> DataFrame:
     )
 
 
-def _with_offsets(parsed: DataFrame) -> DataFrame:
-    """Offset in the file of every candidate's magic and of the record after it.
+def _placed(rows: DataFrame) -> DataFrame:
+    """Offset in the file of every candidate's magic, from the sizes of what one read gave.
 
-    Only candidates with a length have a successor; the first row of a file precedes
-    its first magic and is no candidate.
+    The first row of a file precedes its first magic and is no candidate.
     """
     size = F.col("n_bytes") + len(MAGIC)
     in_split = Window.partitionBy("file", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     in_file = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
-        parsed.groupBy("file", "split")
+        rows.groupBy("file", "split")
         .agg(F.sum(size).alias("bytes"))
         .select("file", "split", F.coalesce(F.sum("bytes").over(in_file), F.lit(0)).alias("split_start"))
     )
     return (
-        parsed.withColumn("local", F.coalesce(F.sum(size).over(in_split), F.lit(0)))
+        rows.withColumn("local", F.coalesce(F.sum(size).over(in_split), F.lit(0)))
         .join(splits, ["file", "split"])
         .withColumn("offset", F.col("split_start") + F.col("local") - len(MAGIC))
-        .withColumn("next", F.col("offset") + len(MAGIC) + F.col("skip") + F.col("length") + len(RECORD_END))
         .where("offset >= 0")
     )
 
 
+def _with_offsets(parsed: DataFrame) -> DataFrame:
+    """Offsets of every candidate's magic and of the record after it; only those with a length have one."""
+    return _placed(parsed).withColumn(
+        "next", F.col("offset") + len(MAGIC) + F.col("skip") + F.col("length") + len(RECORD_END)
+    )
+
+
 def _runs(links: DataFrame) -> DataFrame:
     """Number the runs of each file: maximal stretches of candidates of which each is
     the successor of the one before, and into whose middle no other candidate leads."""
@@ -214,25 +220,35 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def _rejoined(spark: SparkSession, path: str, rows: DataFrame, broken: DataFrame) -> DataFrame:
     """``broken`` records with the digest of their payload, joined from all candidates
-    between the record and its successor, which a second pass over the archives reads."""
+    between the record and its successor.
+
+    A second read takes the files of such records alone and stores their candidates with
+    their bytes. Splits may differ from those of the first read; offsets in the file do not.
+    """
     spans = broken.select("file", "offset", F.struct("offset", "next", "skip", "length").alias("span"))
+    files = stage(broken.select("file").distinct(), "warc-broken")
     so_far = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
     parts = stage(
-        rows.join(broken.select("file").distinct(), "file", "left_semi")
-        .select("file", "split", "at", "offset")
+        rows.join(files, "file", "left_semi")
+        .select("file", "offset")
         .join(spans, ["file", "offset"], "left")
         .withColumn("span", F.last("span", ignorenulls=True).over(so_far))
         .where(F.col("offset") < F.col("span.next"))
-        .select("file", "split", "at", "offset", F.col("span.offset").alias("start"), F.col("span.skip").alias("from"), F.col("span.length").alias("size")),
+        .select("file", "offset", F.col("span.offset").alias("start"), F.col("span.skip").alias("from"), F.col("span.length").alias("size")),
         "warc-parts",
     )
+    again = stage(
+        _candidates(spark, path).join(files, "file", "left_semi").withColumn("n_bytes", F.octet_length("bytes").cast("long")),
+        "warc-again",
+    )
+    slim = _placed(again.drop("bytes")).select("file", "split", "at", "offset")
     payload = F.array_join(
         F.transform(F.sort_array(F.collect_list(F.struct("offset", F.col("bytes").cast("string").alias("bytes")))), lambda p: p["bytes"]),
         MAGIC,
     ).cast("binary")
     digests = (
-        _candidates(spark, path)
-        .join(parts, ["file", "split", "at"])
+        again.select("file", "split", "at", "bytes")
+        .join(slim.join(parts, ["file", "offset"]), ["file", "split", "at"])
         .groupBy("file", "start", "from", "size")
         .agg(payload.alias("payload"))
         .select(
