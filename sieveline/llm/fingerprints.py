@@ -123,28 +123,49 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def _range_of(cuts: list[int], width: int = 64) -> Column:
-    """Number of cuts at or below doc_id, found in two steps; null doc_ids lie above all."""
+def _share(hash_: Column, of: Column) -> Column:
+    """Number of the share, of ``of`` equal shares of all hashes in their order, that a hash falls into."""
+    return F.shiftright((F.shiftright(hash_, 44) + (1 << 19)) * of, 20).cast("int")
+
+
+def _range_of(cuts: list[int], null_shares: int, width: int = 64) -> Column:
+    """Number of the range of a row, found in two steps; needs the columns doc_id and hash.
+
+    A cut that occurs m times is a doc_id that fills m ranges: its rows are dealt to them by
+    text hash. Null doc_ids lie above all, in ``null_shares`` ranges by text hash.
+    """
+    nulls = F.lit(len(cuts) + 1) + _share(F.col("hash"), F.lit(null_shares))
     if not cuts:
-        return F.when(F.col("doc_id").isNull(), 1).otherwise(0)
-    below = lambda xs: F.size(F.filter(xs, lambda c: c <= F.col("doc_id")))
+        return F.when(F.col("doc_id").isNull(), nulls).otherwise(0)
+    below = lambda xs, equal: F.size(
+        F.filter(xs, lambda c: (c <= F.col("doc_id")) if equal else (c < F.col("doc_id")))
+    )
     blocks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
     longs = lambda xs: F.lit(xs).cast("array<bigint>")
-    coarse = below(longs([x[0] for x in blocks]))
-    fine = below(F.get(F.array(*map(longs, blocks)), F.greatest(coarse - 1, F.lit(0))))
-    return F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(
-        F.when(coarse == 0, 0).otherwise((coarse - 1) * width + fine)
-    )
+
+    def count(equal: bool) -> Column:
+        coarse = below(longs([x[0] for x in blocks]), equal)
+        fine = below(F.get(F.array(*map(longs, blocks)), F.greatest(coarse - 1, F.lit(0))), equal)
+        return F.when(coarse == 0, 0).otherwise((coarse - 1) * width + fine)
+
+    upto, less = count(True), count(False)
+    # Rows of a repeated cut are dealt over its ranges; larger doc_ids share the last of them.
+    dealt = F.when(upto - less > 1, less + 1 + _share(F.col("hash"), upto - less)).otherwise(upto)
+    return F.when(F.col("doc_id").isNull(), nulls).otherwise(dealt)
 
 
-def _cuts(rows: DataFrame, range_bytes: int) -> list[int]:
-    """Smallest doc_ids of at most ``MAX_RANGES`` consecutive ranges of similar counts."""
-    total, n_rows = rows.agg(F.sum(F.octet_length("text")), F.count("doc_id")).first()
+def _cuts(rows: DataFrame, range_bytes: int) -> tuple[list[int], int]:
+    """Smallest doc_ids of at most ``MAX_RANGES`` consecutive ranges of similar counts, and the shares of null doc_ids."""
+    size = F.octet_length("text")
+    total, n_rows, of_nulls, n_nulls = rows.agg(
+        F.sum(size), F.count("doc_id"), F.sum(F.when(F.col("doc_id").isNull(), size)), F.count_if(F.col("doc_id").isNull())
+    ).first()
+    null_shares = max(1, min(n_nulls, -(-int(of_nulls or 0) // range_bytes), MAX_RANGES))
     n = max(1, min(n_rows, -(-int(total or 0) // range_bytes), MAX_RANGES))
     if n == 1:
-        return []
+        return [], null_shares
     shares = [i / n for i in range(1, n)]
-    return sorted({int(c) for c in rows.where("doc_id IS NOT NULL").approxQuantile("doc_id", shares, 0.2 / n)})
+    return sorted(int(c) for c in rows.where("doc_id IS NOT NULL").approxQuantile("doc_id", shares, 0.2 / n)), null_shares
 
 
 def fingerprint_documents(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -166,9 +187,9 @@ def fingerprint_documents(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> Da
     near_edited, near_next.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = rows.withColumns({"range": _range_of(_cuts(rows, range_bytes)), "hash": F.xxhash64("text")})
+    dealt = rows.withColumn("hash", F.xxhash64("text")).withColumn("range", _range_of(*_cuts(rows, range_bytes)))
     key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash")
-    # At most MAX_RANGES + 1 rows: the first row of each range, and the range before it (before the first, the last).
+    # At most 2 MAX_RANGES + 1 rows: the first row of each range, and the range before it (before the first, the last).
     firsts = stage(dealt.groupBy("range").agg(F.min(key).alias("first")), "fingerprint-firsts")
     final = firsts.agg(F.max("range")).scalar()
     before = firsts.select(
