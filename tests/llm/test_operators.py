@@ -155,9 +155,10 @@ def test_quality_counts(docs, empty, spark, rows):
 
 def test_quality_of_a_stratum_that_certifies_nothing(spark):
     words = " ".join(f"w{i}x" for i in range(60))
-    rows = [(i, words, None) for i in range(4000)] + [(10_000 + i, words, "aa") for i in range(300)]
+    # Each text has a word of its own: equal texts would count as one label.
+    rows = [(i, f"{words} n{i}", None) for i in range(4000)] + [(10_000 + i, f"{words} a{i}", "aa") for i in range(300)]
     bad = words + " *" * 45
-    rows += [(20_000 + i, bad, None) for i in range(300)] + [(30_000, bad, "aa"), (30_001, bad, "cc")]
+    rows += [(20_000 + i, f"{bad} b{i}", None) for i in range(300)] + [(30_000, bad, "aa"), (30_001, bad, "cc")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = docs.where("doc_id < 30000").selectExpr("doc_id", "cast(doc_id < 20000 AS long) AS quality")
     got = {r.doc_id: r.kept for r in quality_filter(docs, labels).where("doc_id >= 20000").collect()}
@@ -353,3 +354,65 @@ def test_pipeline_stages(spark, data):
     assert names == ["language_id", "near_dedup", "substring_dedup", "secret_scan", "packing"]
     out = corpus_pipeline.run(spark, data)
     assert out.count() > 0 and out.where("length <= 0").isEmpty()
+
+
+def test_null_and_repeated_ids_are_dealt_to_many_tasks(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(50)}" for _ in range(60)) for _ in range(400)]
+    rows = [(None if i < 150 else 7 if i < 300 else i, t) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    whole = Counter(map(tuple, fingerprint_documents(table).collect()))
+    assert Counter(map(tuple, fingerprint_documents(table, range_bytes=2000).collect())) == whole
+    from sieveline.llm.fingerprints import _cuts, _range_of
+
+    keyed = table.selectExpr("doc_id", "xxhash64(text) AS hash", "text")
+    sizes = keyed.withColumn("range", _range_of(*_cuts(keyed, 2000))).groupBy("range").count().collect()
+    assert max(r["count"] for r in sizes) < 60
+
+
+def test_labels_of_equal_texts_count_once(spark):
+    from sieveline.llm.quality import QualityConfig, measured, risk_tests
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(30)]
+    rows = [(i, texts[i % 30], "*") for i in range(90)] + [(3, texts[3], "*")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(90)], "doc_id long, quality int")
+    measures = measured(docs).selectExpr("*", "false AS base_failed")
+    found = risk_tests(measures, labels, QualityConfig(min_good=10)).select("stratum", "n").distinct().collect()
+    assert [tuple(r) for r in found] == [("*", 30)]
+
+
+def test_white_space_of_any_length_is_encoded(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizers.path("byte_bpe_50k.json"))
+    rows = [(i, "ab" + c * 2_000_000 + "cd 's") for i, c in enumerate((" ", "\t", "\n"))]
+    pieces = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, PATTERN, added=(("<|endoftext|>", 50256),))
+    sizes = {r.doc_id: r.doc_tokens for r in pieces.select("doc_id", "doc_tokens").distinct().collect()}
+    assert sizes == {i: len(whole.encode(t, add_special_tokens=False).ids) + 1 for i, t in rows}
+
+
+def test_noise_and_unlearned_languages_go(spark):
+    from sieveline.llm.language import keep_identified
+
+    rng = random.Random(13)
+    sets = {"aa": "sun moon star cloud river stone".split(), "bb": "хлеб вода земля небо огонь ветер".split()}
+    clean = [(i, " ".join(rng.choice(sets[lang]) for _ in range(rng.randrange(40, 90))), lang) for i, lang in enumerate(["aa", "bb"] * 300)]
+    noise = [(1000 + i, " ".join("".join(rng.choice("qxzjkv") for _ in range(6)) for _ in range(60)), None) for i in range(40)]
+    noise += [(2000 + i, "\U00030000\U00030001 " * 40, None) for i in range(5)]
+    kept = {r.doc_id for r in keep_identified(spark.createDataFrame(clean + noise, "doc_id long, text string, lang string")).collect()}
+    assert len([i for i in kept if i < 1000]) >= 594 and not [i for i in kept if i >= 1000]
+
+
+def test_long_texts_of_a_repeated_pair(spark):
+    rows = [(i, "ab cd " * 150_000, "en") for i in range(3)] + [(9, "x", "en")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in repeated_words(table).collect()}
+    assert got == {0: (300_000, 0), 1: (300_000, 300_000), 2: (300_000, 300_000), 9: (1, 0)}
+
+
+def test_rows_of_one_id_keep_one_whatever_the_order(spark):
+    rows = [(1, f"text {i}", i) for i in range(5)] + [(2, "other", 0), (None, "x", 1), (None, "x", 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    first = sorted(map(str, keep_one(table.repartition(5)).collect()))
+    assert first == sorted(map(str, keep_one(table.repartition(2)).collect())) and len(first) == 4
