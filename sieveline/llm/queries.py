@@ -132,6 +132,26 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), t AS (
+            SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
+        ), p AS (
+            SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS l FROM t
+        ), g AS (
+            SELECT doc_id, i, md5(array_to_string(l, ' ')) AS h FROM p WHERE len(l) = 50
+        ), f AS (
+            SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS first FROM g
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM f WHERE first < doc_id
+        ), k AS (
+            SELECT t.doc_id, count(gone.i) AS n_removed, string_agg(word, ' ' ORDER BY t.i) FILTER (gone.i IS NULL) AS kept
+            FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY t.doc_id
+        )
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+    """,
     "op8_warc_roundtrip": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
@@ -214,4 +234,45 @@ ORACLE_SQL = {
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
         FROM kept QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
     """,
+    "op13_periodic_runs": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                   xor(list_reduce([4294967295] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                           lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+                       lambda acc, x: xor(xor(acc, x) >> 1, (xor(acc, x) & 1) * 3988292384)), 4294967295) AS h
+            FROM documents
+        ), c AS (
+            SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS ends, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM d
+        ), t0 AS (
+            SELECT doc_id, unnest(w) AS word, unnest(range(0, n)) AS i FROM c
+        ), t AS (
+            SELECT x.doc_id, x.n, x.i, t0.word
+            FROM (SELECT doc_id, n, i, CASE WHEN ends AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END AS j
+                  FROM (SELECT doc_id, n, ends, a, g, unnest(range(0, n)) AS i FROM c)) x
+            JOIN t0 ON t0.doc_id = x.doc_id AND t0.i = x.j
+        ), e AS (
+            SELECT l.doc_id, l.i, r.i - l.i AS q FROM t l JOIN t r ON r.doc_id = l.doc_id AND r.word = l.word AND r.i > l.i AND 4 * (r.i - l.i) <= l.n
+        ), s AS (
+            SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e)
+            GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+        ), runs AS (
+            SELECT doc_id, start, length, min(q) AS period FROM s GROUP BY doc_id, start, length
+        ), best AS (
+            SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1
+        ), lines AS (
+            SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed
+            FROM runs GROUP BY doc_id
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+        ), kept AS (
+            SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.i) FILTER (gone.i IS NULL) AS words
+            FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY t.doc_id
+        )
+        SELECT c.doc_id, coalesce(n_runs, 0) AS n_runs, best.start, best.length, best.period,
+               1000 * best.length // best.period AS exponent_milli,
+               sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept.words, '')) AS collapsed_sha256
+        FROM c LEFT JOIN lines ON lines.doc_id = c.doc_id LEFT JOIN best ON best.doc_id = c.doc_id
+               LEFT JOIN kept ON kept.doc_id = c.doc_id
+    """,
 }
