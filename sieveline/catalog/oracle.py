@@ -801,8 +801,9 @@ def statements() -> dict[str, str]:
             select vec_id, unnest(e) as v, unnest(range(64)) as pos, sqrt(list_inner_product(e, e)) as n
             from (select vec_id, list_transform(embedding, lambda x: x::double * (label + 1)) as e from embeddings))""",
         "mean_pool": """
-          select text_id, pos, round(avg(v), 6) as value
-          from (select vec_id // 4 as text_id, unnest(embedding)::double as v, unnest(range(64)) as pos from embeddings)
+          select text_id, pos, round(sum(v * m) / greatest(sum(m), 1e-9::double), 6) as value
+          from (select vec_id // 4 as text_id, (vec_id % 5 <> 0)::int as m, unnest(embedding)::double as v,
+                       unnest(range(len(embedding))) as pos from embeddings)
           group by all""",
         "bm25_topk": "select query_id, domain, rank, chunk_id, bm25_score from f_bm25_own",
         "route_queries": f"""

@@ -432,8 +432,11 @@ def l2_normalize(i: Inputs) -> DataFrame:
 
 @query
 def mean_pool(i: Inputs) -> DataFrame:
-    grouped = i.vectors.withColumn("text_id", F.floor(F.col("vec_id") / F.lit(4)))
-    return dense.mean_pool(grouped).select("text_id", F.posexplode("embedding").alias("pos", "value"))
+    """Four vectors are the tokens of one text; one token in five is masked."""
+    mask = (F.col("vec_id") % 5 != 0).cast("int")
+    grouped = i.vectors.withColumn("text_id", F.floor(F.col("vec_id") / F.lit(4))).withColumn("mask", mask)
+    pooled = dense.mean_pool(grouped, mask="mask")
+    return pooled.select("text_id", F.posexplode("embedding").alias("pos", "value"))
 
 
 @query
