@@ -323,20 +323,21 @@ class Inputs:
     def arms(self) -> DataFrame:
         """Events as grounding rows of two arms, one row per event.
 
-        The n-th event of an arm, user and condition has seed 41 + n.
+        One event in seven stands for an answer without passages, whatever its type. The n-th event of an arm, user and condition has seed 41 + n.
         """
         conditions = F.create_map(*[F.lit(x) for x in (
             "view", "normal", "click", "swapped_context", "purchase", "random_in_domain",
             "signup", "shuffled_order", "error", "corrupted_context",
         )])
+        k = F.get_json_object("props", "$.k").cast("int")
         events = self.table("events").select(
             F.when(F.col("event_id") % 2 == 0, "control").otherwise("treatment").alias("arm"),
             F.concat(F.lit("u"), F.col("user_id")).alias("query_id"),
-            conditions[F.col("event_type")].alias("condition"),
+            F.when(k % 7 == 3, "no_retrieval").otherwise(conditions[F.col("event_type")]).alias("condition"),
             "event_id",
             sequence_bucket(F.col("event_id"), 100_000).alias("bucket"),
             "value",
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
+            k.alias("k"),
         ).filter(F.col("condition").isNotNull())
         ranked = bucketed_rank(
             events, ["arm", "query_id", "condition"], "bucket", [F.col("event_id")], "nth"

@@ -414,7 +414,8 @@ VIEWS: dict[str, str] = {
            value as latency_ms
     from (select *, 41 + row_number() over (partition by arm, query_id, condition order by event_id) as seed
           from (select case when event_id % 2 = 0 then 'control' else 'treatment' end as arm, 'u' || user_id as query_id,
-                       case when event_type = 'view' then 'normal' when event_type = 'click' then 'swapped_context'
+                       case when json_extract(props, '$.k')::int % 7 = 3 then 'no_retrieval'
+                            when event_type = 'view' then 'normal' when event_type = 'click' then 'swapped_context'
                             when event_type = 'purchase' then 'random_in_domain'
                             when event_type = 'signup' then 'shuffled_order'
                             when event_type = 'error' then 'corrupted_context' end as condition,
