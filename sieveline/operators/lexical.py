@@ -36,8 +36,8 @@ _BLOCK = pa.schema(
         ("domain", pa.string()),
         ("slab", pa.int64()),
         ("term", pa.string()),
-        ("chunks", pa.list_(pa.int32())),
-        ("tf", pa.list_(pa.int32())),
+        ("chunks", pa.binary()),
+        ("tf", pa.binary()),
         ("max_tf", pa.int32()),
         ("min_dl", pa.int32()),
         ("doc_ids", pa.list_(pa.string())),
@@ -46,7 +46,7 @@ _BLOCK = pa.schema(
     ]
 )
 _BLOCK_DDL = (
-    "domain string, slab long, term string, chunks array<int>, tf array<int>, max_tf int, min_dl int, "
+    "domain string, slab long, term string, chunks binary, tf binary, max_tf int, min_dl int, "
     "doc_ids array<string>, chunk_ids array<string>, dl array<int>"
 )
 
@@ -56,8 +56,8 @@ class Bm25Index:
     """``blocks`` has a row per (domain, slab, term), and one per slab that lists its chunks.
 
     A slab is a range of at most ``SLAB_CHUNKS`` chunks of one domain. A block holds the numbers of
-    the chunks that contain the term, how often each does, and the largest count and least
-    chunk length in it, which bound every score it can give.
+    the chunks that contain the term and how often each does, as packed 32-bit numbers, and the
+    largest count and least chunk length in it, which bound every score it can give.
     """
 
     blocks: DataFrame
@@ -67,19 +67,40 @@ class Bm25Index:
     @property
     def postings(self) -> DataFrame:
         """domain, doc_id, chunk_id, dl, term, tf: one row per posting."""
+        def spread(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in tables:
+                offsets, chunk = _unpacked(table.column("chunks"))
+                sizes = np.diff(offsets)
+                kept = [table.column(c).take(pa.array(np.repeat(np.arange(len(table)), sizes))) for c in ("domain", "slab", "term")]
+                counts = _unpacked(table.column("tf"))[1].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(chunk), pa.array(counts)], ["domain", "slab", "term", "chunk", "tf"])
+
         keys = ["domain", "slab"]
         listed = self.blocks.filter(F.col("term") == DIRECTORY).select(
             *keys, F.posexplode(F.arrays_zip("doc_ids", "chunk_ids", "dl")).alias("chunk", "c")
         )
-        each = self.blocks.filter(F.col("term") != DIRECTORY).select(
-            *keys, "term", F.explode(F.arrays_zip("chunks", "tf")).alias("p")
-        )
-        each = each.select(*keys, "term", F.col("p.chunks").alias("chunk"), F.col("p.tf").cast("long").alias("tf"))
+        each = self.blocks.filter(F.col("term") != DIRECTORY).select(*keys, "term", "chunks", "tf")
+        each = each.mapInArrow(spread, "domain string, slab long, term string, chunk int, tf long")
         return each.join(listed, [*keys, "chunk"]).select(
             "domain", "c.doc_ids", "c.chunk_ids", F.col("c.dl").cast("long").alias("dl"), "term", "tf"
         ).toDF("domain", "doc_id", "chunk_id", "dl", "term", "tf")
 
 
+def _packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """One binary value of 32-bit numbers per stretch between two offsets."""
+    buffers = [None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(values.astype("<i4"))]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers)
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and numbers of ``_packed`` values."""
+    column = column.cast(pa.binary())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return (at - at[0]) // 4, whole[at[0] : at[-1]].view("<i4")
+
+
 class _Slab:
     """Chunks of one domain, as they come, until they are a slab."""
 
@@ -102,7 +123,7 @@ class _Slab:
         number, chunk = keys // n, (keys % n).astype(np.int32)
         starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
         terms = list(self.numbers)
-        offsets = pa.array(np.append(np.append(starts, len(keys)), len(keys)).astype(np.int32))
+        offsets = np.append(np.append(starts, len(keys)), len(keys))  # the last row, the directory, has no postings
         count = len(terms) + 1
 
         def listing(values: list, kind: pa.DataType) -> pa.Array:
@@ -113,8 +134,8 @@ class _Slab:
                 pa.array([domain] * count, pa.string()),
                 pa.array(np.full(count, slab)),
                 pa.array([*terms, DIRECTORY], pa.string()),
-                pa.ListArray.from_arrays(offsets, pa.array(chunk)),
-                pa.ListArray.from_arrays(offsets, pa.array(tf.astype(np.int32))),
+                _packed(chunk, offsets),
+                _packed(tf, offsets),
                 pa.array(np.append(np.maximum.reduceat(tf, starts), 0).astype(np.int32)),
                 pa.array(np.append(np.minimum.reduceat(dl[chunk], starts), 0).astype(np.int32)),
                 listing(self.doc_ids, pa.string()),
@@ -164,7 +185,7 @@ def chunk_lengths(blocks: DataFrame) -> DataFrame:
 
 
 def document_frequencies(blocks: DataFrame) -> DataFrame:
-    counted = blocks.filter(F.col("term") != DIRECTORY).select("domain", "term", F.size("chunks").cast("long").alias("n"))
+    counted = blocks.filter(F.col("term") != DIRECTORY).select("domain", "term", (F.octet_length("chunks") / 4).cast("long").alias("n"))
     return counted.groupBy("domain", "term").agg(F.sum("n").alias("df"))
 
 
@@ -335,10 +356,8 @@ def _slab_hits(slab: pa.Table, domain: str, queries: _QueryTerms, best: np.ndarr
     def impact(tf: np.ndarray, dl: np.ndarray) -> np.ndarray:
         return tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
 
-    chunk_lists = slab.column("chunks").chunk(0)
-    offsets = chunk_lists.offsets.to_numpy()
-    chunk = chunk_lists.values.to_numpy()
-    impacts = impact(slab.column("tf").chunk(0).values.to_numpy().astype(np.float64), lengths[chunk])
+    offsets, chunk = _unpacked(slab.column("chunks").chunk(0))
+    impacts = impact(_unpacked(slab.column("tf").chunk(0))[1].astype(np.float64), lengths[chunk])
     most = impact(slab.column("max_tf").to_numpy().astype(np.float64), slab.column("min_dl").to_numpy())
     row_of = np.full(int(queries.terms.max()) + 1, -1)
     row_of[numbers[numbers >= 0]] = np.flatnonzero(numbers >= 0)
