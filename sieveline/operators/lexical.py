@@ -30,6 +30,8 @@ from sieveline.sources.writers import stage
 
 #: Term of the row that lists the chunks of a slab; no word is empty.
 DIRECTORY = ""
+#: Numbers of slabs have this many bits below the number of their segment.
+SEGMENT_BITS = 56
 
 _BLOCK = pa.schema(
     [
@@ -239,6 +241,29 @@ def save_index(
     return load_index(spark, name, epsilon)
 
 
+def append_to_index(
+    chunks: DataFrame, name: str, buckets: int, epsilon: float = BM25_EPSILON
+) -> Bm25Index:
+    """Add the blocks of new chunks to a stored index, as a segment of its own slabs.
+
+    Only the new text is tokenised. Document frequencies add up; lengths are taken from the
+    directories of all slabs. ``buckets`` must be that of the index.
+    """
+    spark = chunks.sparkSession
+    blocks = f"{name}_blocks"
+    last = spark.table(blocks).filter(F.col("term") == DIRECTORY).agg(F.max(F.shiftright("slab", SEGMENT_BITS))).first()[0]
+    segment = 0 if last is None else last + 1
+    added = posting_blocks(chunks).withColumn("slab", F.col("slab") + F.lit(segment << SEGMENT_BITS))
+    added = stage(added.repartition(buckets, "slab"), "bm25-segment")
+    summed = spark.table(f"{name}_frequencies").unionByName(document_frequencies(added)).groupBy("domain", "term").agg(F.sum("df").alias("df"))
+    frequencies = stage(summed, "bm25-frequencies")
+    added.select(spark.table(blocks).columns).write.mode("append").partitionBy("domain").bucketBy(buckets, "slab").sortBy("term").saveAsTable(blocks)
+    corpus = stage(corpus_statistics(frequencies, chunk_lengths(spark.table(blocks))), "bm25-corpus")
+    for part, table in (("frequencies", frequencies), ("corpus", corpus)):
+        table.write.mode("overwrite").insertInto(f"{name}_{part}")
+    return load_index(spark, name, epsilon)
+
+
 def load_index(spark: SparkSession, name: str, epsilon: float = BM25_EPSILON) -> Bm25Index:
     corpus = spark.table(f"{name}_corpus")
     terms = term_weights(spark.table(f"{name}_frequencies"), corpus, epsilon)

@@ -115,6 +115,20 @@ def test_bounds_leave_out_no_hit():
         assert {(f"q{q:02d}", c, -s) for s, c in scores if s <= fifth and s < 0} <= hits
 
 
+def test_segments_add_up_to_a_full_index(small, spark, tmp_path):
+    _, _, c, q = small
+    second = F.substring("doc_id", 4, 9).cast("int") % 3 == 0
+    lexical.save_index(c.filter(~second), "t_seg", str(tmp_path / "idx"), 4)
+    whole = lexical.append_to_index(c.filter(second), "t_seg", 4)
+    full = lexical.bm25_index(c)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(whole.postings) == rows(full.postings)
+    assert rows(whole.terms.select("domain", "term", "df", F.round("idf", 9))) == rows(full.terms.select("domain", "term", "df", F.round("idf", 9)))
+    assert rows(lexical.bm25_topk(q, whole, 5)) == rows(lexical.bm25_topk(q, full, 5))
+    for part in ("blocks", "frequencies", "corpus"):
+        spark.sql(f"drop table t_seg_{part}")
+
+
 def test_stored_index_is_pruned_and_not_shuffled(small, spark, tmp_path):
     _, _, c, q = small
     stored = lexical.save_index(c, "t_idx", str(tmp_path / "idx"), 4)
@@ -150,13 +164,28 @@ def test_dense_topk_equals_brute_force_on_both_paths(spark, bound):
     assert sorted((r.query_id, r.chunk_id, r["rank"]) for r in got.collect()) == sorted(want)
 
 
-def test_ann_with_all_cells_is_exact(spark, data):
+def test_ann_with_all_cells_is_exact(spark, data, tmp_path):
     i = Inputs(spark, data)
     exact = dense.dense_topk(i.vector_queries, i.vectors, 5)
-    full = dense.ann_ivf_topk(i.vector_queries, i.vectors, 5, nlist=4, nprobe=4)
-    assert {r.recall for r in dense.recall_at_k(full, exact).collect()} == {1.0}
-    some = dense.recall_at_k(dense.ann_ivf_topk(i.vector_queries, i.vectors, 5, nlist=4, nprobe=2), exact)
+    dense.build_ivf(i.vectors, str(tmp_path / "ivf"), nlist=4, parts=16, sample_rows=300)
+    index = dense.load_ivf(spark, str(tmp_path / "ivf"))
+    assert index.codes.count() == i.vectors.count() and index.centers.shape == (4, 64)
+    for bound in (10**7, 64 * 200):
+        full = dense.ann_ivf_topk(i.vector_queries, index, i.vectors, 5, nprobe=4, depth=200, broadcast_bound=bound)
+        assert {r.recall for r in dense.recall_at_k(full, exact).collect()} == {1.0}
+    some = dense.recall_at_k(dense.ann_ivf_topk(i.vector_queries, index, i.vectors, 5, nprobe=2), exact)
     assert min(r.recall for r in some.collect()) > 0.5
+    plan = dense._look_up(i.vector_queries.limit(1), index, 5, 1)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "domain" in filters and "cell" in filters
+
+
+def test_ann_of_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "chunk_id string, doc_id string, domain string, embedding array<double>")
+    index = dense.build_ivf(none, str(tmp_path / "ivf"))
+    queries = spark.createDataFrame([("q", "d", [1.0])], "query_id string, domain string, embedding array<double>")
+    assert dense.ann_ivf_topk(queries, index, none, 5).count() == 0
+    assert dense.ann_ivf_topk(queries.limit(0), index, none, 5).count() == 0
 
 
 def hit(q, doc, rank, lst, chunk=0, domain="d"):
