@@ -181,7 +181,7 @@ def fingerprint_documents(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> Da
     is also sent to the range before, so each is sent once or twice, and a task
     streams through its sorted rows. A null text counts as empty. ``docs`` needs
     doc_id and text; other columns are ignored. A single document follows itself.
-    Empty tables give no rows.
+    Texts of any length are sampled whole. Empty tables give no rows.
 
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next.

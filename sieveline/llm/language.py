@@ -177,7 +177,7 @@ def identify_language(docs: DataFrame, folds: int = 5) -> DataFrame:
     which falls into the held-out fold. A text without letters, or a null one, is ``und`` with score
     0, and so is every text if nothing was learned. Ties go to the first language
     by name. Repeated rows are predicted each. ``docs`` needs doc_id, text, lang;
-    other columns are ignored. Empty tables give no rows.
+    other columns are ignored. Texts of any length count whole. Empty tables give no rows.
 
     Letters are classes (case folded), so scripts with thousands of letters share
     ``CLASSES`` classes. Returns doc_id, held_out, lang_pred, score (the cosine,

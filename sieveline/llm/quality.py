@@ -226,7 +226,8 @@ def quality_filter(docs: DataFrame, labels: DataFrame, config: QualityConfig = Q
     rules. A null language is a stratum of the pool. Labels without doc_id or
     quality are left out; of several labels of a doc_id the lowest counts. Rows
     with a null or repeated doc_id are judged as any other row. Without labels no
-    cutoff is certified and the base rules alone decide. Empty tables give no rows.
+    cutoff is certified and the base rules alone decide. Texts of any length are counted
+    whole. Empty tables give no rows.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, failed_rules.

@@ -113,7 +113,7 @@ def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, max_ratio: floa
     out; so are parts that look like words and have more characters a token.
 
     ``docs`` needs doc_id and text; other columns are ignored. A null text counts as
-    empty; null and repeated doc_ids are rows as any other; empty tables give no
+    empty; texts of any length are searched whole; null and repeated doc_ids are rows as any other; empty tables give no
     rows. Each row depends on its own text only: no shuffle.
 
     Returns doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans

@@ -215,7 +215,7 @@ def encode_documents(docs: DataFrame, table: list[tuple[str, int, float]], first
 
     ``docs`` needs doc_id and text; other columns are ignored.
     Null and empty texts have no ids. A text's own space marks decode to spaces, which
-    ``decoded_ok`` reports as they are. Repeated rows are encoded each; empty
+    ``decoded_ok`` reports as they are. Texts of any length are encoded whole. Repeated rows are encoded each; empty
     tables give no rows. Returns doc_id, n_tokens, ids, decoded_ok.
     """
     # The piece table is a fixed vocabulary: its size is bound by the model.

@@ -159,7 +159,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     are used. A shard exceeds the best one of single groups by less than one block.
 
     ``docs`` needs doc_id and text; other columns are ignored. A null text counts
-    as empty, size 16, in one group with empty texts. Null and repeated doc_ids
+    as empty, size 16, in one group with empty texts; texts have any length. Null and repeated doc_ids
     are rows as any other; rows equal in both share their slots in any order. An
     empty table gives no rows. Fewer groups than shards leave shards unused.
 

@@ -263,7 +263,7 @@ def _rejoined(spark: SparkSession, path: str, rows: DataFrame, broken: DataFrame
 def archive_roundtrip(pages: DataFrame) -> DataFrame:
     """Write pages (page_id, html) to a new shared folder and read the records back.
 
-    Empty tables give no rows. Returns page_id, payload_bytes, payload_digest,
+    Pages of any length are one record. Empty tables give no rows. Returns page_id, payload_bytes, payload_digest,
     record_type, refers_to, intact.
     """
     spark = pages.sparkSession

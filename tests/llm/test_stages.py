@@ -157,3 +157,38 @@ def test_likeness_estimates_generalised_jaccard(spark):
         exact = sum((x & y).values()) / sum((x | y).values())
         errors.append(got[i].near_next - exact)
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.08
+
+
+def test_texts_of_more_than_a_megabyte(spark):
+    """Every operator takes whole texts, whatever their length, beside clashing columns and repeated rows."""
+    from sieveline.llm.language import identify_language
+    from sieveline.llm.packing import pack_documents
+    from sieveline.llm.quality import quality_filter
+    from sieveline.llm.secrets import scan_secrets
+    from sieveline.llm.sentencepieces import encode_documents, first_byte_id, load_pieces
+    from sieveline.llm.sharding import shard_documents
+    from sieveline.llm.warc import archive_roundtrip
+
+    rng = random.Random(31)
+    long = " ".join(f"w{rng.randrange(5000)}" for _ in range(220_000)) + " password=abcdef123456 "
+    assert len(long) > 1 << 20
+    rows = [(1, long, "en", "s", 1), (2, "short text", "en", "s", 2), (2, "short text", "en", "s", 2), (None, long + "x", None, None, None), (3, None, "de", "s", 0)]
+    docs = spark.createDataFrame([(*r, 1, "d", 2) for r in rows], DDL + ", size long, digest string, html long")
+    n = 220_001
+
+    sizes = sorted(r.n_words for r in quality_filter(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int")).collect())
+    assert sizes == [0, 2, 2, n, n + 1]
+    assert {r.lang_pred for r in identify_language(docs).where("doc_id < 3").collect()} <= {"en", "und"}
+    found = scan_secrets(docs, tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN).collect()
+    assert sorted(r.n_assign for r in found) == [0, 0, 0, 1, 1]
+    model = tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_documents(docs, load_pieces(model), first_byte_id(model)).collect()
+    assert len(encoded) == 5 and all(r.decoded_ok for r in encoded if r.n_tokens > 200_000)
+    packed = pack_documents(docs, tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN)
+    whole = len(tokenizers_of().encode(long, add_special_tokens=False).ids) + 1
+    assert packed.where("doc_id = 1").agg({"length": "sum"}).first()[0] == whole
+    pages = spark.createDataFrame([(r[0], r[1], 1) for r in rows], "page_id long, html string, n_bytes long")
+    back = archive_roundtrip(pages).collect()
+    assert sorted(r.payload_bytes for r in back) == sorted(len((r[1] or "").encode()) for r in rows) and all(r.intact for r in back)
+    assert sorted(r.n_chars for r in fingerprint_documents(docs).collect()) == sorted(len(r[1] or "") for r in rows)
+    assert sorted(r["size"] for r in shard_documents(docs).collect()) == sorted(len((r[1] or "").encode()) + 16 for r in rows)
