@@ -10,6 +10,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -235,7 +236,8 @@ def save_index(
         writer.saveAsTable(f"{name}_{part}")
         return spark.table(f"{name}_{part}")
 
-    blocks = store(posting_blocks(chunks).repartition(buckets, "slab"), "blocks")
+    # As many tasks as buckets, so that small partitions of the chunks do not make small slabs.
+    blocks = store(posting_blocks(chunks.coalesce(buckets)).repartition(buckets, "slab"), "blocks")
     frequencies = store(document_frequencies(blocks), "frequencies")
     store(corpus_statistics(frequencies, chunk_lengths(blocks)), "corpus")
     return load_index(spark, name, epsilon)
@@ -253,7 +255,7 @@ def append_to_index(
     blocks = f"{name}_blocks"
     last = spark.table(blocks).filter(F.col("term") == DIRECTORY).agg(F.max(F.shiftright("slab", SEGMENT_BITS))).first()[0]
     segment = 0 if last is None else last + 1
-    added = posting_blocks(chunks).withColumn("slab", F.col("slab") + F.lit(segment << SEGMENT_BITS))
+    added = posting_blocks(chunks.coalesce(buckets)).withColumn("slab", F.col("slab") + F.lit(segment << SEGMENT_BITS))
     added = stage(added.repartition(buckets, "slab"), "bm25-segment")
     summed = spark.table(f"{name}_frequencies").unionByName(document_frequencies(added)).groupBy("domain", "term").agg(F.sum("df").alias("df"))
     frequencies = stage(summed, "bm25-frequencies")
@@ -387,6 +389,9 @@ def _slab_hits(slab: pa.Table, domain: str, queries: _QueryTerms, best: np.ndarr
     row_of = np.full(int(queries.terms.max()) + 1, -1)
     row_of[numbers[numbers >= 0]] = np.flatnonzero(numbers >= 0)
     total = np.zeros(len(lengths))
+    ids = slab.column("chunk_ids")[listed].values
+    place_of = np.empty(len(ids), np.int64)  # of a chunk in the order that settles ties
+    place_of[pa.compute.sort_indices(ids).to_numpy()] = np.arange(len(ids))
     found: list[tuple[int, np.ndarray, np.ndarray]] = []
     for q in range(len(queries.query_ids)):
         own = slice(queries.starts[q], queries.starts[q + 1])
@@ -412,6 +417,9 @@ def _slab_hits(slab: pa.Table, domain: str, queries: _QueryTerms, best: np.ndarr
             scores += np.where(chunk[block][place] == touched, weight * impacts[block][place], 0.0)
         scores = round_half_away(scores)
         touched, scores = kept_scores(best[q], touched, np.where(scores > 0, scores, -np.inf))
+        if len(touched) > best.shape[1]:
+            first = np.lexsort((place_of[touched], -scores))[: best.shape[1]]
+            touched, scores = touched[first], scores[first]
         if len(touched):
             found.append((q, touched, scores))
     sizes = [len(x[1]) for x in found]
@@ -422,7 +430,7 @@ def _slab_hits(slab: pa.Table, domain: str, queries: _QueryTerms, best: np.ndarr
             pa.array(names, pa.string()),
             pa.array([domain] * len(at), pa.string()),
             slab.column("doc_ids")[listed].values.take(at),
-            slab.column("chunk_ids")[listed].values.take(at),
+            ids.take(at),
             pa.array(np.concatenate([x[2] for x in found]) if found else np.empty(0)),
         ],
         schema=_HITS,
