@@ -418,7 +418,7 @@ def dense_topk(i: Inputs) -> DataFrame:
 @query
 def ann_ivf_topk(i: Inputs) -> DataFrame:
     """Recall of the stored index against exact search, per domain, and whether it is at least 0.9."""
-    hits = dense.ann_ivf_topk(i.vector_queries, i.ivf, i.vectors, 10, nprobe=13, depth=200)
+    hits = dense.ann_ivf_topk(i.vector_queries, i.ivf, i.vectors, 10, nprobe=13, depth=100)
     found = dense.recall_at_k(hits, dense.dense_topk(i.vector_queries, i.vectors, 10))
     return found.select("domain", "n_exact", (F.col("recall") >= 0.9).alias("recall_ok"))
 
