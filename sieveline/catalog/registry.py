@@ -796,7 +796,7 @@ def ingest_stream(i: Inputs) -> DataFrame:
     later = F.col("text").endswith(" copy")
     for arrival in (~F.coalesce(later, F.lit(False)), later):
         i.raw_docs.filter(arrival).write.mode("append").parquet(source)
-        run_ingest_stream(i.spark, source, sink, checkpoint).awaitTermination()
+        run_ingest_stream(i.spark, source, sink, checkpoint, state_partitions=8).awaitTermination()
     return i.spark.read.parquet(sink).select(
         "chunk_id", "doc_id", "domain", "start_token", "end_token", md5("text")
     )

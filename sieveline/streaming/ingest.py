@@ -82,6 +82,7 @@ def ingest_stream(
     stride: int = STRIDE,
     files_per_trigger: int = 1000,
     ttl_ms: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Drain the files waiting under ``source`` into chunks under ``sink``.
 
@@ -90,10 +91,15 @@ def ingest_stream(
     ``ingest_seq`` order. A micro-batch replaces its own folder (columns ``run`` and
     ``batch`` of the sink), so one that is run again after a failure adds nothing twice. With a new
     checkpoint the ids of an existing sink are the initial state, read once.
+
+    Each of ``state_partitions`` (by default the shuffle partitions of the session) is a store of
+    its own with some megabytes of files; their number stays as it was when the checkpoint was made.
     """
-    if spark.conf.get(_PROVIDER, None) != _ROCKSDB:
-        spark = spark.newSession()
-        spark.conf.set(_PROVIDER, _ROCKSDB)
+    partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
+    spark = spark.newSession()  # the settings below are for this stream alone
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     fresh = not _exists(spark, f"{checkpoint}/commits")
     known = _known(spark, sink) if fresh else None
     run = hashlib.md5(f"{checkpoint}".encode()).hexdigest()[:12]
