@@ -21,6 +21,13 @@ _COLUMNS = ["doc_id", "orig_id", "domain", "title", "text", "ingest_seq"]
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: All stores of an executor share one bound of memory, and commits write changes alone.
+_ROCKSDB_SETTINGS = {
+    "changelogCheckpointing.enabled": "true",
+    "boundedMemoryUsage": "true",
+    "maxMemoryUsageMB": "256",
+}
+
 
 class FirstCopy(StatefulProcessor):
     """Per document id: the copy with the smallest ``ingest_seq`` among those that come first.
@@ -99,7 +106,8 @@ def ingest_stream(
     spark = spark.newSession()  # the settings below are for this stream alone
     spark.conf.set(_PROVIDER, _ROCKSDB)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    for name, value in _ROCKSDB_SETTINGS.items():
+        spark.conf.set(f"spark.sql.streaming.stateStore.rocksdb.{name}", value)
     fresh = not _exists(spark, f"{checkpoint}/commits")
     known = _known(spark, sink) if fresh else None
     run = hashlib.md5(f"{checkpoint}".encode()).hexdigest()[:12]
