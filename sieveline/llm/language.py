@@ -19,8 +19,6 @@ GRAMS = CLASSES**3
 UNKNOWN = "und"
 #: Bound of what is broadcast, 2 kB per language; more distinct labels than that are an error, none is dropped.
 MAX_LANGUAGES = 100_000
-#: About as many labelled rows, chosen by the hash of their ids, set the least cosine of each language and length.
-CALIBRATION_ROWS = 20_000
 #: Fewer labelled rows of a language and length set none.
 LEAST_ROWS = 20
 #: Cosines of unrelated vectors stay below this: four standard deviations.
@@ -203,18 +201,16 @@ def identify_language(docs: DataFrame, folds: int = 5) -> DataFrame:
     return rows.select("doc_id", held_out(folds).alias("held_out"), "text").mapInArrow(predict, PREDICTED)
 
 
-def least_cosines(docs: DataFrame, prototypes: dict[str, np.ndarray], rows: int = CALIBRATION_ROWS) -> dict[tuple[str, int], float]:
+def least_cosines(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> dict[tuple[str, int], float]:
     """Per language and length class, the least cosine of texts that belong to the language.
 
-    About ``rows`` labelled documents, chosen by hash, are scored against the prototype of
-    their own label. The least cosine is that which 998 of 1,000 reach, or the lower outer fence if that is lower:
-    the first quartile less three times the range between the quartiles. So clean documents, and
-    those that quote another language, stay.
+    Every labelled document is scored against the prototype of its own label. The least cosine is
+    that which 998 of 1,000 reach, or the lower outer fence if that is lower: the first quartile
+    less three times the range between the quartiles. So clean documents, and those that quote
+    another language, stay.
     Texts of more distinct trigrams have cosines that vary less; hence the length classes.
     """
-    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL")
-    share = min(1.0, rows / max(labelled.count(), 1))
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share * 1_000_000).select("text", "lang")
+    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = {lang: _predictor({lang: vector}) for lang, vector in prototypes.items()} if len(prototypes) <= 16 else {}
@@ -225,7 +221,7 @@ def least_cosines(docs: DataFrame, prototypes: dict[str, np.ndarray], rows: int
             yield pa.RecordBatch.from_arrays(columns, ["lang", "bits", "cosine"])
 
     quartiles = (
-        chosen.mapInArrow(score, "lang string, bits int, cosine double")
+        labelled.mapInArrow(score, "lang string, bits int, cosine double")
         .where("bits > 0")
         .groupBy("lang", "bits")
         .agg(F.percentile_approx("cosine", [0.002, 0.25, 0.75], 10_000).alias("q"), F.count(F.lit(1)).alias("n"))
@@ -234,7 +230,7 @@ def least_cosines(docs: DataFrame, prototypes: dict[str, np.ndarray], rows: int
     return {(r["lang"], r["bits"]): min(r["q"][0], r["q"][1] - 3 * (r["q"][2] - r["q"][1])) for r in quartiles.collect()}
 
 
-def keep_identified(docs: DataFrame, rows: int = CALIBRATION_ROWS) -> DataFrame:
+def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text is in none of the learned languages.
 
     A text goes if it has no letter, or if its cosine with the best prototype is below the least
@@ -244,7 +240,7 @@ def keep_identified(docs: DataFrame, rows: int = CALIBRATION_ROWS) -> DataFrame:
     """
     labelled = docs.select("doc_id", "text", "lang")
     prototypes = train_prototypes(labelled.where(~held_out()))
-    least = least_cosines(labelled.where(~held_out()), prototypes, rows)
+    least = least_cosines(labelled.where(~held_out()), prototypes)
     cutoffs = {}
     for lang in prototypes:
         last = UNRELATED

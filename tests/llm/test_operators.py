@@ -404,6 +404,16 @@ def test_noise_and_unlearned_languages_go(spark):
     assert len([i for i in kept if i < 1000]) >= 594 and not [i for i in kept if i >= 1000]
 
 
+def test_cutoffs_come_from_every_labelled_document(spark):
+    """20 rows of a length among 25,000 are enough for its cutoff; a sample would leave some of them out."""
+    from sieveline.llm import language
+
+    rows = [(i, "sun moon", "aa") for i in range(25_000)] + [(30_000 + i, "sun moon star cloud river stone", "aa") for i in range(20)]
+    prototypes = {"aa": language.bundle(*language.counted("sun moon star cloud river stone"))}
+    found = language.least_cosines(spark.createDataFrame(rows, "doc_id long, text string, lang string"), prototypes)
+    assert {bits for _, bits in found} == {len(language.counted(t)[0]).bit_length() for t in ("sun moon", rows[-1][1])}
+
+
 def test_long_texts_of_a_repeated_pair(spark):
     rows = [(i, "ab cd " * 150_000, "en") for i in range(3)] + [(9, "x", "en")]
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
