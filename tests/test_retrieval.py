@@ -115,6 +115,55 @@ def test_bounds_leave_out_no_hit():
         assert {(f"q{q:02d}", c, -s) for s, c in scores if s <= fifth and s < 0} <= hits
 
 
+def test_a_search_in_rounds_equals_one_of_all_slabs(small):
+    """More slabs than ``4 * FIRST_ROUND``: thresholds of the first round leave out no hit of the others."""
+    chunks, queries, c, q = small
+    blocks = lexical.posting_blocks(c, 2)
+    frequencies = lexical.document_frequencies(blocks)
+    corpus = lexical.corpus_statistics(frequencies, lexical.chunk_lengths(blocks))
+    index = lexical.Bm25Index(blocks, lexical.term_weights(frequencies, corpus, 0.25), corpus)
+    assert lexical._rounds(index) == 2
+    for k in (1, 3, 50):
+        got = sorted((r.query_id, r.domain, r.chunk_id, r["rank"]) for r in lexical.bm25_topk(q, index, k).collect())
+        assert got == [(r[0], r[1], r[2], r[4]) for r in brute_bm25(chunks, queries, k)]
+
+
+def test_a_slab_gives_its_hits_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(lexical, "HIT_ROWS", 10)
+    monkeypatch.setattr(lexical, "TILE_CELLS", 100)
+    slab = lexical._Slab()
+    for i in range(30):
+        slab.add(f"d{i}", f"c{i}", ["a"] * (i % 3 + 1) + ["b"])
+    pdf = pd.DataFrame([(f"q{i}", "d", t, 1.0) for i in range(9) for t in "ab"], columns=["query_id", "domain", "term", "w"])
+    queries, vocabulary = lexical._by_domain(pdf)
+    number = dict(zip(vocabulary["term"], vocabulary["term_no"], strict=True))
+    table = pa.Table.from_batches([slab.rows("d", 1)])
+    table = table.append_column("term_no", pa.array([number[t] for t in table.column("term").to_pylist()], pa.int32()))
+    table = table.append_column("avgdl", pa.array([3.0] * len(table))).combine_chunks()
+    running = lexical.RunningTopK(np.full((9, 25), -np.inf))
+    sizes = [len(x) for x in lexical._slab_batches(table, "d", queries["d"], running, 1.5, 0.75)]
+    assert sum(sizes) == 9 * 25 and max(sizes) <= 10
+
+
+def test_a_task_gives_at_most_k_vectors_per_query(spark):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(25_000, 4))
+    v[::2] = v[0]  # one very common vector: ties at the k-th score
+    table = pa.table({
+        "chunk_id": [f"c{i:05d}" for i in range(len(v))], "doc_id": [f"d{i}" for i in range(len(v))],
+        "domain": ["d"] * len(v), "embedding": list(v),
+    })
+    vectors = spark.createDataFrame(table).coalesce(1)
+    queries = vectors.limit(5).select(F.col("chunk_id").alias("query_id"), "domain", "embedding")
+    hits = dense._visit(queries, 7, 10**6, lambda q: dense._against_broadcast(q, vectors, 7))
+    got = hits.collect()
+    assert len(got) == 5 * 7
+    for q in range(5):
+        scores = np.trunc(v @ v[q] * 1e6 + np.copysign(0.5, v @ v[q])) / 1e6
+        want = [f"c{i:05d}" for i in np.lexsort((np.arange(len(v)), -scores))[:7]]
+        assert [r.chunk_id for r in got if r.query_id == f"c{q:05d}"] == want
+
+
 def test_segments_add_up_to_a_full_index(small, spark, tmp_path):
     _, _, c, q = small
     second = F.substring("doc_id", 4, 9).cast("int") % 3 == 0
