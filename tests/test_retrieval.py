@@ -164,6 +164,29 @@ def test_a_task_gives_at_most_k_vectors_per_query(spark):
         assert [r.chunk_id for r in got if r.query_id == f"c{q:05d}"] == want
 
 
+def test_a_slab_without_thresholds_keeps_about_k_hits_a_query(monkeypatch):
+    """Its own k-th totals are thresholds; look-ups for all its chunks would take most of the time."""
+    rng = np.random.default_rng(5)
+    part = lexical._Slab()
+    for c in range(400):
+        part.add(f"d{c}", f"c{c:03d}", [f"w{w}" for w in rng.integers(0, 40, 30)])
+    queries, vocabulary = lexical._by_domain(pd.DataFrame(
+        [(f"q{q}", "d", f"w{w}", 1.0 + w / 100) for q in range(9) for w in rng.choice(40, 6, replace=False)],
+        columns=["query_id", "domain", "term", "w"],
+    ))
+    rows = pa.Table.from_batches([part.rows("d", 0)]).to_pandas().merge(vocabulary[["term", "term_no"]], on="term")
+    table = pa.Table.from_pandas(rows.assign(avgdl=30.0), preserve_index=False).combine_chunks()
+    looked_at = []
+    keep = lexical.RunningTopK.keep
+    monkeypatch.setattr(lexical.RunningTopK, "keep", lambda self, q, scores: looked_at.append(len(q)) or keep(self, q, scores))
+    found = lexical._slab_hits(table, "d", queries["d"], np.full((9, 5), -np.inf), 1.5, 0.75).to_pandas()
+    assert sum(looked_at) < 9 * 10
+    whole = lexical._slab_hits(table, "d", queries["d"], np.full((9, 400), -np.inf), 1.5, 0.75).to_pandas()
+    order = {"by": ["query_id", "bm25_score", "chunk_id"], "ascending": [True, False, True]}
+    best = whole.sort_values(**order).groupby("query_id").head(5)
+    assert found.sort_values(**order).reset_index(drop=True).equals(best.reset_index(drop=True))
+
+
 def test_segments_add_up_to_a_full_index(small, spark, tmp_path):
     _, _, c, q = small
     second = F.substring("doc_id", 4, 9).cast("int") % 3 == 0
