@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline.catalog.inputs import Inputs
+from sieveline.catalog.inputs import LETTERS, Inputs, encode
 from sieveline.operators import classify, dense, fusion, lexical, metrics
 
 HIT = "query_id string, domain string, doc_id string, chunk_id string, score double, bm25_score double, rank int, list_ord int"
@@ -187,6 +187,26 @@ def test_a_slab_without_thresholds_keeps_about_k_hits_a_query(monkeypatch):
     assert found.sort_values(**order).reset_index(drop=True).equals(best.reset_index(drop=True))
 
 
+def test_first_scores_of_a_vector_task_are_thresholds():
+    scores = np.random.default_rng(6).random((3, 50))
+    scores[2, :30] = np.nan
+    least = np.array([-np.inf, 0.5, -np.inf])
+    kept = scores >= dense._floor(scores, least, 4)[:, None]
+    assert kept.sum(axis=1).tolist() == [4, (scores[1] >= 0.5 - 1e-6).sum(), 4]
+    assert (dense._floor(scores[:, :4], least, 4) == least - 1e-6).all()
+
+
+def test_encoder_counts_letters_in_one_pass(spark):
+    texts = ["aAb z", None, "", "\u00c9t\u00e9 \u212aq\U0001f600", "x" * 3000]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", encode(F.col("t")).alias("v"))
+    for i, v in frame.collect():
+        counts = [(texts[i] or "").lower().count(c) for c in LETTERS]
+        size = math.sqrt(sum(c * c for c in counts))
+        assert v == [c / size if size else 0.0 for c in counts]
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "replace(" not in plan
+
+
 def test_segments_add_up_to_a_full_index(small, spark, tmp_path):
     _, _, c, q = small
     second = F.substring("doc_id", 4, 9).cast("int") % 3 == 0
