@@ -58,6 +58,17 @@ def test_corrupt_text_equals_plain_python(spark, text, factor):
     assert corrupt(spark, text, factor) == python_corrupt(text, factor)
 
 
+@pytest.mark.parametrize("text", [
+    "\U0001d400more \U0001f600more more\U0001d400 more\U0001f600", "\u017fuppress \u0130mproves MORE less_ _less less1 1.5less",
+    "More", "more", "", "higher,lower;Higher lower", "unmore moreover \u0301more more\u0301",
+])
+def test_corrupt_text_changes_whole_words_alone(spark, text):
+    assert corrupt(spark, text, 10.0) == python_corrupt(text, 10.0)
+    plan = spark.range(1).select(grounding.corrupt_text(F.concat(F.lit(text), F.col("id")), F.lit(42), F.col("id")))
+    found = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "[^\\p{L}\\p{N}_]+" not in found  # words that stay are not taken apart
+
+
 def test_corrupt_text_uses_both_factors_and_repeats(spark):
     text = " ".join(str(n) for n in range(101, 160))
     got = corrupt(spark, text)
