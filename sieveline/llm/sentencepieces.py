@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -172,7 +173,12 @@ def merge_word(word: str, table: dict[str, tuple[int, float]], first_byte: int)
 
 def decode(ids: list[int], raw: dict[int, bytes]) -> str:
     """Text of ids: pieces and bytes joined, space marks turned back, the leading space dropped."""
-    return b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE_MARK, " ").removeprefix(" ")
+    return read(b"".join(map(raw.__getitem__, ids)))
+
+
+def read(spelled: bytes) -> str:
+    """Text that the bytes of pieces stand for."""
+    return spelled.decode("utf-8", "replace").replace(SPACE_MARK, " ").removeprefix(" ")
 
 
 class Encoder:
@@ -182,7 +188,13 @@ class Encoder:
         self.table, self.first_byte = PieceTable(table), first_byte
         self.by_piece = {p: (i, s) for p, i, s in table}
         self.raw = {first_byte + b: bytes([b]) for b in range(256)} | {i: p.encode() for p, i, _ in table}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids of a word, packed as 32-bit numbers
+        self.spelled: dict[str, bytes] = {}  # bytes of the pieces of the same words
+
+    def _remember(self, new: list[str], encoded: list[list[int]]) -> None:
+        for word, ids in zip(new, encoded, strict=True):
+            self.known[word] = array("i", ids).tobytes()
+            self.spelled[word] = b"".join(map(self.raw.__getitem__, ids))
 
     def learn(self, new: list[str]) -> None:
         held: list[str] = []
@@ -191,18 +203,27 @@ class Encoder:
             held.append(word)
             size += len(word)
             if size >= LATTICE_CHARS:
-                self.known.update(zip(held, encode_words(held, self.table, self.first_byte), strict=True))
+                self._remember(held, encode_words(held, self.table, self.first_byte))
                 held, size = [], 0
         if held:
-            self.known.update(zip(held, encode_words(held, self.table, self.first_byte), strict=True))
+            self._remember(held, encode_words(held, self.table, self.first_byte))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def packed(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of each text as packed 32-bit numbers, and the bytes that its pieces spell: both joined by word."""
         split = [words(t) for t in texts]
         used = dict.fromkeys(w for ws in split for w in ws)
         if len(self.known) > REMEMBERED:
-            self.known = {}
+            self.known, self.spelled = {}, {}
         self.learn([w for w in used if len(w) <= MAX_LATTICE_CHARS and w not in self.known])
-        return [[i for w in ws for i in self.known.get(w) or merge_word(w, self.by_piece, self.first_byte)] for ws in split]
+        long = [w for w in used if len(w) > MAX_LATTICE_CHARS]
+        self._remember(long, [merge_word(w, self.by_piece, self.first_byte) for w in long])
+        out = [b"".join(map(self.known.__getitem__, ws)) for ws in split], [b"".join(map(self.spelled.__getitem__, ws)) for ws in split]
+        for w in long:
+            del self.known[w], self.spelled[w]
+        return out
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(ids, np.intc).tolist() for ids in self.packed(texts)[0]]
 
 
 def encode_documents(docs: DataFrame, table: list[tuple[str, int, float]], first_byte: int) -> DataFrame:
@@ -225,10 +246,13 @@ def encode_documents(docs: DataFrame, table: list[tuple[str, int, float]], first
         encoder = Encoder(shared.value, first_byte)
         for batch in pieces(batches, most=1 << 20):
             texts = batch.column("text").to_pylist()
-            encoded = encoder.encode(texts)
-            same = [decode(ids, encoder.raw) == text for ids, text in zip(encoded, texts, strict=True)]
+            packed, spelled = encoder.packed(texts)
+            same = [read(x) == text for x, text in zip(spelled, texts, strict=True)]
+            counts = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(map(len, encoded), pa.int64()), pa.array(encoded, pa.list_(pa.int32())), pa.array(same)],
+                [batch.column("doc_id"), pa.array(counts), ids, pa.array(same, pa.bool_())],
                 ["doc_id", "n_tokens", "ids", "decoded_ok"],
             )
 

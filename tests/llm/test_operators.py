@@ -382,6 +382,18 @@ def test_labels_of_equal_texts_count_once(spark):
     assert [tuple(r) for r in found] == [("*", 30)]
 
 
+def test_ids_of_words_are_joined_and_long_words_forgotten():
+    pieces = [(c, i + 300, 0.0) for i, c in enumerate("▁ab")] + [("ab", 310, -1.0), ("▁ab", 311, -2.0)]
+    encoder = sentencepieces.Encoder(pieces, 3)
+    texts = ["ab ab\u00e9", "a" * 100, "", "ab  b"]
+    packed, spelled = encoder.packed(texts)
+    assert [np.frombuffer(x, np.intc).tolist() for x in packed] == encoder.encode(texts)
+    assert encoder.encode(texts)[0] == [311, 311, 3 + 0xC3, 3 + 0xA9]
+    assert [sentencepieces.read(x) for x in spelled] == texts
+    assert [sentencepieces.decode(x, encoder.raw) for x in encoder.encode(texts)] == texts
+    assert max(map(len, encoder.known)) <= sentencepieces.MAX_LATTICE_CHARS and encoder.known.keys() == encoder.spelled.keys()
+
+
 def test_white_space_of_any_length_is_encoded(spark):
     from tokenizers import Tokenizer
 
