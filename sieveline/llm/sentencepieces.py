@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import heapq
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,6 +70,8 @@ class PieceTable:
         for piece, i, score in table:
             self.ids[number[piece]], self.scores[number[piece]] = i, score
         self.longest = max((len(p) for p, _, _ in table), default=0)
+        best_first, self.ranks = np.unique(-self.scores, return_inverse=True)  # equal scores share a rank
+        self.n_ranks = len(best_first)
 
     def extend(self, prefix: np.ndarray, char: np.ndarray) -> np.ndarray:
         """The prefix that each prefix and character make, 0 where there is none."""
@@ -82,7 +83,7 @@ class PieceTable:
 
 
 def lattice(chars: np.ndarray, ends: np.ndarray, table: PieceTable) -> tuple[np.ndarray, ...]:
-    """Edges (start, stop, id, score) over the characters of many words at once.
+    """Edges (start, stop, id, rank of the score) over the characters of many words at once.
 
     ``ends`` is the end of each character's word. Substrings from every start grow
     by one character a step and meet the piece table by equality; those that
@@ -96,15 +97,15 @@ def lattice(chars: np.ndarray, ends: np.ndarray, table: PieceTable) -> tuple[np.
         prefix = table.extend(prefix, chars[start + size - 1])
         start, prefix = start[prefix > 0], prefix[prefix > 0]
         piece = table.ids[prefix] >= 0
-        found.append((start[piece], start[piece] + size, table.ids[prefix[piece]], table.scores[prefix[piece]]))
+        found.append((start[piece], start[piece] + size, table.ids[prefix[piece]], table.ranks[prefix[piece]]))
     if not found:
         none = np.empty(0, np.int64)
-        return none, none, none, np.empty(0)
+        return none, none, none, none
     return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
 
-def encode_words(distinct: list[str], table: PieceTable, first_byte: int) -> list[list[int]]:
-    """Ids of each word, folded over the edges that are grouped by word.
+def encode_words(distinct: list[str], table: PieceTable, first_byte: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words in a row, and where each word's ids begin and end, folded over the edges that are grouped by word.
 
     The model is a merge model: its encoding is not the best path of the lattice. So
     a step of the fold takes, of each word's edges over two neighbouring parts, the
@@ -114,33 +115,38 @@ def encode_words(distinct: list[str], table: PieceTable, first_byte: int) -> lis
     chars = np.frombuffer("".join(distinct).encode("utf-32-le"), np.uint32).astype(np.int64)
     first = np.concatenate([[0], np.cumsum(sizes)])
     word = np.repeat(np.arange(len(distinct)), sizes)
-    start, stop, ids, scores = lattice(chars, first[1:][word], table)
+    start, stop, ids, ranks = lattice(chars, first[1:][word], table)
     single = stop - start == 1
     part = np.full(len(chars), -1, np.int64)
     part[start[single]] = ids[single]
-    order = np.lexsort((start, -scores, word[start]))
-    order = order[~single[order]]
-    start, stop, ids = start[order], stop[order], ids[order]
+    start, stop, ids, ranks = start[~single], stop[~single], ids[~single], ranks[~single]
+    owner = word[start]
+    # By word, best score, leftmost, shortest: one number, as sorting by four columns takes longer.
+    longest = int(sizes.max(initial=0)) + 1
+    order = np.argsort(((owner * table.n_ranks + ranks) * longest + start - first[owner]) * longest + stop - start)
+    start, stop, ids, owner = start[order], stop[order], ids[order], owner[order]
     whole = np.ones(len(chars) + 1, bool)
     after = np.arange(1, len(chars) + 2)
+    going = np.zeros(len(distinct), bool)
     while len(start):
         fits = np.flatnonzero(after[after[start]] == stop)
-        owner = word[start[fits]]
-        best = fits[np.concatenate([[True], owner[1:] != owner[:-1]])] if len(fits) else fits
+        owners = owner[fits]
+        best = fits[np.concatenate([[True], owners[1:] != owners[:-1]])] if len(fits) else fits
         whole[after[start[best]]] = False
         after[start[best]], part[start[best]] = stop[best], ids[best]
-        going = np.zeros(len(distinct), bool)
-        going[owner] = True
-        left = going[word[start]] & whole[start] & whole[stop] & (after[start] != stop)
-        start, stop, ids = start[left], stop[left], ids[left]
+        going[:] = False
+        going[owners] = True
+        left = np.flatnonzero(going[owner])
+        left = left[whole[start[left]] & whole[stop[left]] & (after[start[left]] != stop[left])]
+        start, stop, ids, owner = start[left], stop[left], ids[left], owner[left]
     kept = np.flatnonzero(whole[:-1])
-    cuts = np.searchsorted(kept, first)
-    flat = part[kept].tolist()
-    out = [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-    for k in np.unique(word[kept[part[kept] < 0]]).tolist():
-        places = kept[cuts[k] : cuts[k + 1]].tolist()
-        out[k] = [x for i, p in zip(out[k], places, strict=True) for x in ([i] if i >= 0 else (first_byte + b for b in chr(chars[p]).encode()))]
-    return out
+    flat = part[kept]
+    alone = flat < 0  # characters that no piece has: their UTF-8 bytes
+    code = chars[kept]
+    size = np.where(alone, 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF), 1)
+    flat = np.repeat(flat, size)
+    flat[np.repeat(alone, size)] = first_byte + np.frombuffer("".join(map(chr, code[alone].tolist())).encode(), np.uint8).astype(np.int64)
+    return flat, np.concatenate([[0], np.cumsum(size)])[np.searchsorted(kept, first)]
 
 
 def merge_word(word: str, table: dict[str, tuple[int, float]], first_byte: int) -> list[int]:
@@ -188,13 +194,25 @@ class Encoder:
         self.table, self.first_byte = PieceTable(table), first_byte
         self.by_piece = {p: (i, s) for p, i, s in table}
         self.raw = {first_byte + b: bytes([b]) for b in range(256)} | {i: p.encode() for p, i, _ in table}
+        self.sizes = np.zeros(max(self.raw) + 1, np.int64)
+        self.sizes[list(self.raw)] = list(map(len, self.raw.values()))
+        self._forget()
+
+    def _forget(self) -> None:
         self.known: dict[str, bytes] = {}  # ids of a word, packed as 32-bit numbers
         self.spelled: dict[str, bytes] = {}  # bytes of the pieces of the same words
-
-    def _remember(self, new: list[str], encoded: list[list[int]]) -> None:
-        for word, ids in zip(new, encoded, strict=True):
-            self.known[word] = array("i", ids).tobytes()
-            self.spelled[word] = b"".join(map(self.raw.__getitem__, ids))
+        self.misspelled: set[str] = set()  # those of them whose pieces do not spell them
+
+    def _remember(self, new: list[str], flat: np.ndarray, cuts: np.ndarray) -> None:
+        packed = flat.astype(np.intc).tobytes()
+        spelled = b"".join(map(self.raw.__getitem__, flat.tolist()))
+        at = (4 * cuts).tolist()
+        read_at = np.concatenate([[0], np.cumsum(self.sizes[flat])])[cuts].tolist()
+        for word, a, b, c, d in zip(new, at, at[1:], read_at, read_at[1:], strict=False):
+            self.known[word] = packed[a:b]
+            self.spelled[word] = made = spelled[c:d]
+            if made != word.encode():
+                self.misspelled.add(word)
 
     def learn(self, new: list[str]) -> None:
         held: list[str] = []
@@ -203,27 +221,54 @@ class Encoder:
             held.append(word)
             size += len(word)
             if size >= LATTICE_CHARS:
-                self._remember(held, encode_words(held, self.table, self.first_byte))
+                self._remember(held, *encode_words(held, self.table, self.first_byte))
                 held, size = [], 0
         if held:
-            self._remember(held, encode_words(held, self.table, self.first_byte))
+            self._remember(held, *encode_words(held, self.table, self.first_byte))
 
-    def packed(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Ids of each text as packed 32-bit numbers, and the bytes that its pieces spell: both joined by word."""
+    def _split(self, texts: list[str]) -> tuple[list[list[str]], list[str]]:
+        """Words of each text, all of them known now, and the long ones, to be dropped after use."""
         split = [words(t) for t in texts]
-        used = dict.fromkeys(w for ws in split for w in ws)
         if len(self.known) > REMEMBERED:
-            self.known, self.spelled = {}, {}
-        self.learn([w for w in used if len(w) <= MAX_LATTICE_CHARS and w not in self.known])
-        long = [w for w in used if len(w) > MAX_LATTICE_CHARS]
-        self._remember(long, [merge_word(w, self.by_piece, self.first_byte) for w in long])
-        out = [b"".join(map(self.known.__getitem__, ws)) for ws in split], [b"".join(map(self.spelled.__getitem__, ws)) for ws in split]
+            self._forget()
+        new = set().union(*split).difference(self.known)
+        long = [w for w in new if len(w) > MAX_LATTICE_CHARS]
+        self.learn(list(new.difference(long)))
+        for w in long:
+            ids = np.array(merge_word(w, self.by_piece, self.first_byte), np.int64)
+            self._remember([w], ids, np.array([0, len(ids)]))
+        return split, long
+
+    def _drop(self, long: list[str]) -> None:
         for w in long:
             del self.known[w], self.spelled[w]
+        self.misspelled.difference_update(long)
+
+    def _spell(self, split: list[str]) -> bytes:
+        return b"".join(map(self.spelled.__getitem__, split))
+
+    def packed(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of each text as packed 32-bit numbers, and the bytes that its pieces spell: both joined by word."""
+        split, long = self._split(texts)
+        out = [b"".join(map(self.known.__getitem__, ws)) for ws in split], [self._spell(ws) for ws in split]
+        self._drop(long)
         return out
 
+    def checked(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        """Ids of each text as packed 32-bit numbers, and whether they decode to the text.
+
+        Ids are decoded once for each word. A text without space marks of its own, all of whose words
+        are spelled by their pieces, decodes to itself; any other is put together and compared.
+        """
+        split, long = self._split(texts)
+        ids = [b"".join(map(self.known.__getitem__, ws)) for ws in split]
+        plain = [SPACE_MARK not in text and (not self.misspelled or self.misspelled.isdisjoint(ws)) for ws, text in zip(split, texts, strict=True)]
+        same = [fine or read(self._spell(ws)) == text for fine, ws, text in zip(plain, split, texts, strict=True)]
+        self._drop(long)
+        return ids, same
+
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [np.frombuffer(ids, np.intc).tolist() for ids in self.packed(texts)[0]]
+        return [np.frombuffer(ids, np.intc).tolist() for ids in self.checked(texts)[0]]
 
 
 def encode_documents(docs: DataFrame, table: list[tuple[str, int, float]], first_byte: int) -> DataFrame:
@@ -246,8 +291,7 @@ def encode_documents(docs: DataFrame, table: list[tuple[str, int, float]], first
         encoder = Encoder(shared.value, first_byte)
         for batch in pieces(batches, most=1 << 20):
             texts = batch.column("text").to_pylist()
-            packed, spelled = encoder.packed(texts)
-            same = [read(x) == text for x, text in zip(spelled, texts, strict=True)]
+            packed, same = encoder.checked(texts)
             counts = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))

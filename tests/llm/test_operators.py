@@ -394,6 +394,22 @@ def test_ids_of_words_are_joined_and_long_words_forgotten():
     assert max(map(len, encoder.known)) <= sentencepieces.MAX_LATTICE_CHARS and encoder.known.keys() == encoder.spelled.keys()
 
 
+def test_ids_are_decoded_by_word_and_only_doubtful_texts_put_together(monkeypatch):
+    pieces = [(c, i + 300, 0.0) for i, c in enumerate("▁ab")] + [("ab", 310, -1.0), ("▁ab", 311, -2.0), ("ba", 312, -1.0)]
+    encoder = sentencepieces.Encoder(pieces, 3)
+    asked = []
+    read = sentencepieces.read
+    monkeypatch.setattr(sentencepieces, "read", lambda x: asked.append(read(x)) or asked[-1])
+    texts = ["ab ab\u00e9\U00010400", "a" * 100, "", "ab  b", "a▁b", "aba"]
+    ids, same = encoder.checked(texts)
+    assert same == [True, True, True, True, False, True] and asked == ["a b"]
+    assert np.frombuffer(ids[0], np.intc).tolist()[-4:] == [3 + b for b in "\U00010400".encode()]
+    assert np.frombuffer(ids[5], np.intc).tolist() == [311, 301]
+    encoder.raw[312] = b"xx"
+    encoder._forget()
+    assert encoder.checked(["bba", "ab"])[1] == [False, True]
+
+
 def test_white_space_of_any_length_is_encoded(spark):
     from tokenizers import Tokenizer
 
