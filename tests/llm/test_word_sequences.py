@@ -153,6 +153,31 @@ def test_long_text_collocations(spark):
     assert [tuple(r) for r in collocations(table(spark, [(1, "a b. " * 250_000, None)])).collect()] == [("und", 1, "a b", 250_000, 250_000, 250_000, 500_000, 2000)]
 
 
+def test_suffixes_of_triples_that_are_not_frequent_stay_behind(spark, monkeypatch):
+    """Every pair is frequent and no triple of different words: only "new york city hall" leaves its task."""
+    kept = []
+    stage = phrases.stage
+    monkeypatch.setattr(phrases, "stage", lambda df, name: kept.append((name, out := stage(df, name))) or out)
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=400)), "en", "", 0) for i in range(120)]
+    rows += [(200 + i, "new york city hall", "en", "", 0) for i in range(40)]
+    words, counted = phrases.count_phrases(spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string"), 30)
+    plain = Counter()
+    for _, text, *_ in rows:
+        w = text.split()
+        plain.update(tuple(w[i : i + d]) for d in range(2, 6) for i in range(len(w) - d + 1))
+    spelled = {r.key: r.word for r in words.collect()}
+    got = {tuple(spelled[k] for k in r.words): r.n for r in counted.collect()}
+    assert got == {p: n for p, n in plain.items() if n >= 30} and len(got) > 800
+    assert dict(kept)["phrase-suffixes"].count() <= 4 * 16
+
+
+def test_names_of_pairs_come_back_from_keys():
+    words = np.random.default_rng(3).integers(1, 2**63, 1000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    assert (phrases._second(phrases._pairs(words)[:-1], words[:-1]) == words[1:]).all()
+
+
 def test_three_way_sort_counts_all_prefixes():
     rng = np.random.default_rng(1)
     rows = rng.integers(-2, 3, (400, 5))
