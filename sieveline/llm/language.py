@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -16,6 +16,8 @@ DIMENSIONS = 512
 #: Letters fall into this many classes: a to z, and hashed classes for all others; class 0 is the gap between words.
 CLASSES = 128
 GRAMS = CLASSES**3
+#: Bytes of texts whose trigrams a worker counts at once; sorting them takes some twenty times as much.
+COUNTED_BYTES = 1 << 20
 UNKNOWN = "und"
 #: Bound of what is broadcast, 2 kB per language; more distinct labels than that are an error, none is dropped.
 MAX_LANGUAGES = 100_000
@@ -23,6 +25,7 @@ MAX_LANGUAGES = 100_000
 LEAST_ROWS = 20
 #: Cosines of unrelated vectors stay below this: four standard deviations.
 UNRELATED = 4 / DIMENSIONS**0.5
+_GAP = np.zeros(1, np.int32)
 
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -57,10 +60,10 @@ def trigrams(text: str) -> np.ndarray:
     """Trigram numbers of a text, gaps of any length as one."""
     cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     known = _classes()
-    ids = known[np.minimum(cps, len(known) - 1)].astype(np.int64)
+    ids = known[np.minimum(cps, len(known) - 1)].astype(np.int32)
     for cp in np.unique(cps[cps >= len(known)]).tolist():
         ids[cps == cp] = _class_of(cp)
-    ids = np.concatenate([[0], ids, [0]])
+    ids = np.concatenate([_GAP, ids, _GAP])
     ids = ids[np.concatenate([[True], (ids[1:] > 0) | (ids[:-1] > 0)])]
     return (ids[:-2] * CLASSES + ids[1:-1]) * CLASSES + ids[2:]
 
@@ -69,7 +72,7 @@ def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(trigrams(text), return_counts=True)
 
 
-def bundle(grams: np.ndarray, counts: np.ndarray, step: int = 1 << 15) -> np.ndarray:
+def bundle(grams: np.ndarray, counts: np.ndarray, step: int = 1 << 13) -> np.ndarray:
     """Sum of the vectors of all occurrences, in slices of bounded memory."""
     total = np.zeros(DIMENSIONS, np.float32)
     for at in range(0, len(grams), step):
@@ -83,7 +86,7 @@ class Cache:
     def __init__(self, most: int = 1 << 15):
         self.place = np.full(GRAMS, -1, np.int32)
         self.vectors = np.empty((most, DIMENSIONS), np.float32)
-        self.known: np.ndarray = np.empty(0, np.int64)
+        self.known: np.ndarray = np.empty(0, np.int32)
 
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         new = grams[self.place[grams] < 0]
@@ -95,7 +98,8 @@ class Cache:
         if len(new):
             at = len(self.known)
             self.place[new] = np.arange(at, at + len(new))
-            self.vectors[at : at + len(new)] = bound(new)
+            for i in range(0, len(new), 1 << 13):
+                self.vectors[at + i : at + min(i + (1 << 13), len(new))] = bound(new[i : i + (1 << 13)])
             self.known = np.concatenate([self.known, new])
         return counts.astype(np.float32) @ self.vectors[self.place[grams]]
 
@@ -120,7 +124,7 @@ def train_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
             grams, counts = np.unique(np.concatenate(waiting.pop(lang)), return_counts=True)
             totals[lang] = totals.get(lang, 0) + bundle(grams, counts).astype(np.float64)
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=COUNTED_BYTES):
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 waiting.setdefault(lang, []).append(trigrams(text))
                 docs_of[lang] = docs_of.get(lang, 0) + 1
@@ -148,12 +152,15 @@ def train_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
     return found
 
 
-def _predictor(prototypes: dict[str, np.ndarray]):
-    """Function of a text that gives (language, cosine, length class: the bits of its number of distinct trigrams)."""
+def _predictor(prototypes: dict[str, np.ndarray], cache_: Cache | None = None):
+    """Function of a text that gives (language, cosine, length class: the bits of its number of distinct trigrams).
+
+    Vectors of trigrams are the same in all languages: predictors of one worker share a cache.
+    """
     names = sorted(prototypes)
     matrix = np.array([prototypes[n] for n in names], np.float64).reshape(len(names), DIMENSIONS)
     matrix = (matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-    cache_ = Cache()
+    cache_ = cache_ or Cache()
 
     def predict(text: str | None) -> tuple[str, float, int]:
         grams, counts = counted(text) if text else (np.empty(0, np.int64), None)
@@ -186,7 +193,7 @@ def identify_language(docs: DataFrame, folds: int = 5) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = _predictor(prototypes)
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=COUNTED_BYTES):
             found = [of(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -213,10 +220,13 @@ def least_cosines(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> dict[tu
     labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = {lang: _predictor({lang: vector}) for lang, vector in prototypes.items()} if len(prototypes) <= 16 else {}
-        for batch in pieces(batches):
+        shared = Cache()
+        own: dict[str, Callable] = {}
+        for batch in pieces(batches, most=COUNTED_BYTES):
             texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
-            found = [(own.get(lang) or _predictor({k: v for k, v in prototypes.items() if k == lang}))(text) for text, lang in zip(texts, langs, strict=True)]
+            for lang in {*langs} - {*own}:
+                own[lang] = _predictor({lang: prototypes[lang]} if lang in prototypes else {}, shared)
+            found = [own[lang](text) for text, lang in zip(texts, langs, strict=True)]
             columns = [batch.column("lang"), pa.array([x[2] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "bits", "cosine"])
 
@@ -249,7 +259,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = _predictor(prototypes)
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=COUNTED_BYTES):
             found = [of(text) for text in batch.column("text").to_pylist()]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= cutoffs[lang, bits] for lang, score, bits in found], pa.bool_()))
 

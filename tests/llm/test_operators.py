@@ -442,6 +442,43 @@ def test_cutoffs_come_from_every_labelled_document(spark):
     assert {bits for _, bits in found} == {len(language.counted(t)[0]).bit_length() for t in ("sun moon", rows[-1][1])}
 
 
+def test_language_steps_of_a_worker_stay_within_their_memory():
+    """A batch of 8 MB of text in twelve languages; trigrams of all of it at once, or a cache for each language, take more."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from sieveline.llm import language
+
+    class Docs:
+        """Keeps the function that tasks would run."""
+
+        def where(self, *_):
+            return self
+
+        select = where
+
+        def mapInArrow(self, step, schema):  # noqa: N802
+            self.step = step
+            raise StopIteration
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
+    texts = [" ".join(rng.choice(words) for _ in range(1_150)) for _ in range(1_000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": [f"l{i % 12}" for i in range(1_000)]})
+    prototypes = {f"l{i}": language.bundle(*language.counted(texts[i])) for i in range(12)}
+    for build in (language.train_prototypes, lambda docs: language.least_cosines(docs, prototypes)):
+        docs = Docs()
+        with pytest.raises(StopIteration):
+            build(docs)
+        tracemalloc.start()
+        made = list(docs.step(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(b.num_rows for b in made) in (12, 1_000)
+        assert peak < 128 << 20
+
+
 def test_long_texts_of_a_repeated_pair(spark):
     rows = [(i, "ab cd " * 150_000, "en") for i in range(3)] + [(9, "x", "en")]
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
