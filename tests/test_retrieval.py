@@ -164,6 +164,31 @@ def test_a_task_gives_at_most_k_vectors_per_query(spark):
         assert [r.chunk_id for r in got if r.query_id == f"c{q:05d}"] == want
 
 
+@pytest.mark.parametrize("bound", [10**6, 6_000])
+def test_hits_of_vectors_do_not_grow_with_their_partitions(spark, monkeypatch, bound):
+    """A task of queries meets all vectors of a block, so that k hits of a query and block are ranked."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(3_000, 4)) * [1, 1, 1, 1e-3]
+    v[::3] = v[0]  # ties at the k-th score, and vectors longer and shorter than 1
+    vectors = spark.createDataFrame(pa.table({
+        "chunk_id": [f"c{i:04d}" for i in range(3_000)], "doc_id": [f"d{i}" for i in range(3_000)],
+        "domain": ["d"] * 3_000, "embedding": list(v),
+    })).repartition(8)
+    q = [v[0], v[1], np.full(4, np.nan), np.full(4, 1e200), -1e-9 * v[2]]
+    queries = spark.createDataFrame(pa.table({"query_id": [f"q{i}" for i in range(5)], "domain": ["d"] * 5, "embedding": q}))
+    ranked, top_k = [], dense.top_k
+    monkeypatch.setattr(dense, "top_k", lambda hits, *rest: ranked.append(hits.count()) or top_k(hits, *rest))
+    monkeypatch.setattr(dense, "LARGER", 10**6)
+    monkeypatch.setattr(dense, "VECTOR_TILE", 500)
+    got = dense.dense_topk(queries, vectors, 7, broadcast_bound=bound).collect()
+    assert ranked[0] <= 4 * 7 * -(-12_000 // bound)
+    for i in (0, 1, 4):
+        scores = np.trunc(v @ q[i] * 1e6 + np.copysign(0.5, v @ q[i])) / 1e6
+        want = [f"c{c:04d}" for c in np.lexsort((np.arange(len(v)), -scores))[:7]]
+        assert [r.chunk_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == f"q{i}"] == want
+    assert [sum(r.query_id == f"q{i}" for r in got) for i in range(5)] == [7, 7, 0, 7, 7]
+
+
 def test_a_slab_without_thresholds_keeps_about_k_hits_a_query(monkeypatch):
     """Its own k-th totals are thresholds; look-ups for all its chunks would take most of the time."""
     rng = np.random.default_rng(5)
