@@ -128,6 +128,24 @@ def test_a_search_in_rounds_equals_one_of_all_slabs(small):
         assert got == [(r[0], r[1], r[2], r[4]) for r in brute_bm25(chunks, queries, k)]
 
 
+def test_hits_of_slabs_are_ranked_packed(small, monkeypatch):
+    """A row per slab and range of queries goes to the merge, not one per hit; ties go to the smallest ids."""
+    chunks, queries, c, q = small
+    copies = [(d, f"e{n}{doc}", f"e{n}{chunk}", title, text) for n in range(4) for d, doc, chunk, title, text in chunks[:20]]
+    blocks = lexical.posting_blocks(c.sparkSession.createDataFrame(copies, c.schema).repartition(3), 4)
+    frequencies = lexical.document_frequencies(blocks)
+    corpus = lexical.corpus_statistics(frequencies, lexical.chunk_lengths(blocks))
+    index = lexical.Bm25Index(blocks, lexical.term_weights(frequencies, corpus, 0.25), corpus)
+    seen, merged = [], lexical._merged
+    monkeypatch.setattr(lexical, "_merged", lambda packed, k: seen.append(packed.count()) or merged(packed, k))
+    for at_once, merged_hits, bound in ((1, 1, 30), (8, 10**6, 10**6)):
+        monkeypatch.setattr(lexical, "BLOCKS_AT_ONCE", at_once)
+        monkeypatch.setattr(lexical, "MERGED_HITS", merged_hits)
+        got = sorted((r.query_id, r.domain, r.chunk_id, r["rank"]) for r in lexical.bm25_topk(q, index, 6, broadcast_bound=bound).collect())
+        assert got == [(r[0], r[1], r[2], r[4]) for r in brute_bm25(copies, queries, 6)]
+    assert seen[-1] <= lexical._n_slabs(index)
+
+
 def test_a_slab_gives_its_hits_in_bounded_batches(monkeypatch):
     monkeypatch.setattr(lexical, "HIT_ROWS", 10)
     monkeypatch.setattr(lexical, "TILE_CELLS", 100)
