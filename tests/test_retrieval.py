@@ -146,6 +146,34 @@ def test_hits_of_slabs_are_ranked_packed(small, monkeypatch):
     assert seen[-1] <= lexical._n_slabs(index)
 
 
+def test_rows_of_common_terms_are_weighted_once(monkeypatch):
+    """Queries that give a term the same weight add its row as it is; others multiply it, with the same scores."""
+    slab = lexical._Slab()
+    for i in range(40):
+        slab.add(f"d{i}", f"c{i:02d}", ["a"] * (i % 3 + 1) + ["b"] * (i % 2) + ["c"])
+    named = [(f"q{i}", "d", t, w * (2.0 if i == 4 else 1.0)) for i in range(6) for t, w in (("a", 0.5), ("b", 0.25), ("c", 0.125))]
+    queries, vocabulary = lexical._by_domain(pd.DataFrame(named, columns=["query_id", "domain", "term", "w"]))
+    number = dict(zip(vocabulary["term"], vocabulary["term_no"], strict=True))
+    table = pa.Table.from_batches([slab.rows("d", 1)])
+    table = table.append_column("term_no", pa.array([number[t] for t in table.column("term").to_pylist()], pa.int32()))
+    table = table.append_column("avgdl", pa.array([3.5] * len(table))).combine_chunks()
+    multiplied = []
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def multiply(self, *x, **y):
+            multiplied.append(1)
+            return np.multiply(*x, **y)
+
+    monkeypatch.setattr(lexical, "np", Counted())
+    found = lexical._slab_hits(table, "d", queries["d"], np.full((6, 40), -np.inf), 1.5, 0.75).to_pandas()
+    assert len(multiplied) == 3  # the terms of the one query that names them twice
+    scores = found.pivot(index="chunk_id", columns="query_id", values="bm25_score")
+    assert np.allclose(scores["q4"], 2 * scores["q0"], atol=2e-6) and (scores["q0"] == scores["q5"]).all()
+
+
 def test_a_slab_gives_its_hits_in_bounded_batches(monkeypatch):
     monkeypatch.setattr(lexical, "HIT_ROWS", 10)
     monkeypatch.setattr(lexical, "TILE_CELLS", 100)
